@@ -7,10 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import secrets, token_output, url_filter
+from . import decontaminate, secrets, simhash, token_output, url_filter
 from .common import new_dir, table
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "bench.n_words", "bench.n_hit", F.size("bench.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("bench.items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -18,6 +26,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(r.kind) for r in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
@@ -33,7 +46,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_secret_scan, op9_token_output, op10_url_filter)}
+    return {f.__name__: f for f in (op3_benchmark_decontamination, op5_secret_scan, op7_simhash_near_dedup, op9_token_output, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
