@@ -7,10 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, secrets, simhash, token_output, url_filter
+from . import decontaminate, mixing, rules, secrets, simhash, token_output, url_filter
 from .common import new_dir, table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -46,8 +56,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_benchmark_decontamination, op5_secret_scan, op7_simhash_near_dedup, op9_token_output, op10_url_filter)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op7_simhash_near_dedup, op9_token_output, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": url_filter.verdict_sql()}
+    return {"op4_source_mixing": mixing.MIX_SQL, "op10_url_filter": url_filter.verdict_sql()}
