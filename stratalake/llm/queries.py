@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, rules, secrets, simhash, token_output, url_filter
-from .common import new_dir, table
+from . import decontaminate, mixing, rules, secrets, simhash, token_output, toxicity, url_filter
+from .common import fold, new_dir, table
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    score = F.col("toxicity.score")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), score.alias("score"), (score >= toxicity.REJECT).cast("int").alias("predicted"), "toxicity.spans")
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
@@ -56,7 +62,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op7_simhash_near_dedup, op9_token_output, op10_url_filter)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -112,7 +112,7 @@ class Encoder:
         found = {w for s in split if s for w in s}
         if len(self.memo) + len(found) > MEMO_WORDS:
             self.memo.clear()
-        if new := found - self.memo.keys():
+        if new := {w for w in found if w not in self.memo}:
             self.learn(new)
         memo = self.memo
         return [self.ids(t).tobytes() if s is None else b"".join([memo[w] for w in s]) for t, s in zip(texts, split)]
