@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, rules, secrets, simhash, token_output, toxicity, url_filter
+from . import decontaminate, language, mixing, quality, rules, secrets, simhash, token_output, toxicity, url_filter
 from .common import fold, new_dir, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), out="score")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= quality.GOOD).cast("int").alias("predicted"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
@@ -36,6 +41,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(r.kind) for r in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -62,7 +72,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
