@@ -18,6 +18,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE, -1), "")
 
 
+def settled(value: Column) -> Column:
+    """value, computed once per row: filters above it are not pushed below it with copies of its expression."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, settled
 
 #: Fixed value: characters that separate words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -117,7 +117,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     result = result.withColumn("_bs", F.when(F.size("_bh") == 0, begin).otherwise(F.aggregate("_bh", begin, lambda acc, h: F.when(F.size(acc) > 0, joined(acc, h)).otherwise(F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))))
     n_hit = F.aggregate("_bs", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
     items = F.sort_array(F.array_distinct(F.flatten(F.transform("_bh", lambda h: h["items"]))))
-    return result.withColumn(out, F.struct(F.size("_bw").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), F.col("_bs").alias("spans"))).drop("_bw", "_bh", "_bs")
+    found = F.struct(F.size("_bw").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), F.col("_bs").alias("spans"))
+    return result.withColumn(out, settled(found)).drop("_bw", "_bh", "_bs")
 
 
 def contaminated(bench: str = "bench") -> Column:
