@@ -71,8 +71,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
