@@ -260,6 +260,8 @@ def iri_sql(name: str) -> str:
 
 
 def number_sql(column: str, digits: int) -> str:
+    if column.startswith("age"):
+        return f"CAST(CAST(round({column}, {digits}) AS DECIMAL(28, {digits})) AS VARCHAR)"
     return f"CAST(CAST(CAST({column} AS DECIMAL(28, 6)) AS DECIMAL(28, {digits})) AS VARCHAR)"  # rounds in decimals, half up
 
 
