@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import fold, labelled_sample
 
 #: Most labelled documents that the model is fitted on, hashed features, words of a training sequence, words remembered.
-SAMPLE, FEATURES, SEQUENCE, MEMO = 6000, 1 << 16, 64, 300_000
+SAMPLE, FEATURES, SEQUENCE, MEMO = 5000, 1 << 16, 64, 300_000
 #: Lengths of the beginnings of a word; documents, their share, odds and standard deviations that a unit of the lexicon needs.
 PREFIXES, LEAST_DOCS, LEAST_SHARE, ODDS, SIGMAS = (4, 5, 6, 7, 8), 4, 0.02, 4.0, 5.0
-FEATURES_EACH = 1 + len(PREFIXES)
+FEATURES_EACH, MARKS = 1 + len(PREFIXES), 1 << 22
 #: Steps of training on 512 sequences each, step size, L2 weight.
 UPDATES, STEP, L2 = 600, 0.5, 1e-5
 #: Marginal from which a word is reported, score from which a document counts as toxic, least marginal that a score looks at.
@@ -39,40 +39,66 @@ class Model(NamedTuple):
     document: np.ndarray  # bias and weights of the document's features
 
 
-def units(word: bytes) -> tuple[bytes, ...]:
-    """What stands for a word: itself in lower case without marks around it, and its beginnings (of bytes)."""
+def units(word: bytes) -> list[int]:
+    """Hashes of what stands for a word: itself in lower case without marks around it, and its beginnings (of bytes)."""
     w = word.lower().strip(TRIM)
-    return (b"w" + w, *(b"p" + w[:k] for k in PREFIXES if k < len(w)))
+    return [zlib.crc32(b"w" + w)] + [zlib.crc32(b"p" + w[:k]) for k in PREFIXES if k < len(w)]
 
 
 def features(word: bytes) -> list[int]:
-    """Hashed features of a word, always FEATURES_EACH of them: those of its units, then of none."""
-    found = [1 + zlib.crc32(u) % (FEATURES - 1) for u in units(word)]
+    """Features of a word, always FEATURES_EACH of them: those of its units, then of none."""
+    found = [1 + u % (FEATURES - 1) for u in units(word)]
     return found + [0] * (FEATURES_EACH - len(found))
 
 
-def apart(documents: list[set[bytes]], overlap: float = 0.6) -> list[set[bytes]]:
-    """Those of the documents that don't share most of their words with one kept before: copies count once."""
-    kept: list[set[bytes]] = []
+class Vocabulary:
+    """The words of the sample by number, with the features of each and, for the lexicon, its units' hashes."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.features, self.marks = array("i"), array("i")
+
+    def read(self, text: str) -> np.ndarray:
+        words = text.encode("utf-8", "replace").split()
+        for w in words:
+            if w not in self.number:
+                self.number[w] = len(self.number)
+                self.features.extend(features(w))
+                marks = [u % MARKS for u in units(w)] if w.strip(TRIM) else []
+                self.marks.extend(marks + [-1] * (FEATURES_EACH - len(marks)))
+        return np.array([self.number[w] for w in words], np.int32)
+
+
+def apart(documents: list[np.ndarray], overlap: float = 0.6) -> list[np.ndarray]:
+    """Those of the documents that don't share most of their units with one kept before: copies count once."""
+    kept: list[set[int]] = []
+    out = []
     for d in documents:
-        if d and all(len(d & k) < overlap * min(len(d), len(k)) for k in kept):
-            kept.append(d)
-    return kept
+        mine = set(d.tolist())
+        if mine and all(len(mine & k) < overlap * min(len(mine), len(k)) for k in kept):
+            kept.append(mine)
+            out.append(d)
+    return out
+
 
+def lexicon(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """A mask over units of those that mark toxic documents: they stand in LEAST_DOCS and LEAST_SHARE of these at least,
+    near copies counted once, ODDS times as often as in clean ones, and SIGMAS standard deviations more often.
 
-def lexicon(documents: list[set[bytes]], labels: np.ndarray) -> set[bytes]:
-    """Units that mark toxic documents: they stand in LEAST_DOCS and LEAST_SHARE of these at least, near copies counted once, ODDS
-    times as often as in clean ones, and SIGMAS standard deviations more often."""
+    A document is the array of its different units."""
+    found, clean = np.zeros(MARKS, np.int32), np.zeros(MARKS, np.int32)
     toxic = apart([d for d, y in zip(documents, labels) if y])
-    count = lambda docs: Counter(u for d in docs for u in set().union(*map(units, d)))
-    found, clean = count([d for d in toxic if d]), count([d for d, y in zip(documents, labels) if d and not y])
-    n_clean = max(1, int((labels == 0).sum()))
-    chance = {u: (clean[u] + 0.5) / n_clean * len(toxic) for u in found}
-    return {u for u, n in found.items() if n >= max(LEAST_DOCS, LEAST_SHARE * len(toxic)) and n >= ODDS * chance[u] and n - chance[u] >= SIGMAS * max(chance[u], 0.5) ** 0.5}
+    for d in toxic:
+        found[d] += 1
+    for d, y in zip(documents, labels):
+        if not y:
+            clean[d] += 1
+    chance = (clean + np.float32(0.5)) / max(1, int((labels == 0).sum())) * len(toxic)
+    return (found >= max(LEAST_DOCS, LEAST_SHARE * len(toxic))) & (found >= ODDS * chance) & (found - chance >= SIGMAS * np.sqrt(np.maximum(chance, 0.5)))
 
 
-def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of the toxic tag (rows x steps) and expected transitions, of padded sequences in descending length.
+def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of the toxic tag (rows x steps) and, if asked for, expected transitions, of padded sequences in descending length.
 
     The messages are kept as log-odds of the two tags, so nothing under- or overflows.
     """
@@ -92,7 +118,7 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray) ->
         b[t, :n] = np.logaddexp(t10, t11 + x) - np.logaddexp(t00, t01 + x)
     marginal = 1 / (1 + np.exp(-np.clip(a + b, -60, 60)))
     pair = np.zeros((2, 2))
-    if steps > 1:
+    if pairs and steps > 1:
         left, right = a[:-1], b[1:] + e[1:]
         inside = np.arange(1, steps)[:, None] < length[None, :]
         parts = np.stack([np.full_like(left, t00), t01 + right, t10 + left, t11 + left + right])
@@ -101,8 +127,8 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray) ->
     return marginal.T, pair
 
 
-def train_chain(ids: np.ndarray, tags: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions by AdaGrad on the conditional likelihood; ids is sequences x steps x features."""
+def train_chain(ids: np.ndarray, known: np.ndarray, tags: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions by AdaGrad on the conditional likelihood; ids are word numbers, known[i] word i's features."""
     w, trans = np.zeros(FEATURES), np.zeros((2, 2))
     gw, gt = np.full(FEATURES, 1e-2), np.full((2, 2), 1.0)
     rng = np.random.default_rng(7)
@@ -111,9 +137,9 @@ def train_chain(ids: np.ndarray, tags: np.ndarray, length: np.ndarray) -> tuple[
         at = rng.choice(len(ids), min(512, len(ids)), replace=False)
         at = at[np.argsort(-length[at], kind="stable")]
         n = length[at]
-        x, y = ids[at], tags[at]
+        x, y = known[ids[at]], tags[at]
         inside = np.arange(x.shape[1])[None, :] < n[:, None]
-        marginal, pair = forward_backward(w[x].sum(axis=2) + w_bias, n, trans)
+        marginal, pair = forward_backward(w[x].sum(axis=2) + w_bias, n, trans, True)
         error = (y - marginal) * inside
         seen, both = np.zeros((2, 2)), inside[:, 1:]
         for i in (0, 1):
@@ -126,7 +152,7 @@ def train_chain(ids: np.ndarray, tags: np.ndarray, length: np.ndarray) -> tuple[
         gt += d * d
         trans += STEP * d / np.sqrt(gt)
     # every word has as many features: the bias goes into them evenly
-    return w + w_bias / ids.shape[2], trans
+    return w + w_bias / known.shape[1], trans
 
 
 class Tagger:
@@ -199,24 +225,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    split = [t.encode("utf-8", "replace").split() for t in texts]
-    bare = [[w.lower().strip(TRIM) for w in s] for s in split]
-    toxic_words = lexicon([set(s) - {b""} for s in bare], y)
-    ids, tags, length = [], [], []
-    for words, stems, label in zip(split, bare, y):
-        for lo in range(0, len(words), SEQUENCE):
-            tag = [int(label > 0 and not toxic_words.isdisjoint(units(s))) for s in stems[lo : lo + SEQUENCE]]
-            if label == 0 and zlib.crc32(b" ".join(words[lo : lo + 2])) % 4:
-                continue  # a quarter of the clean sequences is enough of them
-            ids.append(words[lo : lo + SEQUENCE]), tags.append(tag), length.append(len(tag))
-    x, t = np.zeros((len(ids), SEQUENCE, FEATURES_EACH), np.int32), np.zeros((len(ids), SEQUENCE), np.int8)
-    memo: dict[bytes, tuple] = {}
-    for k, words in enumerate(ids):
-        x[k, : len(words)] = [memo.get(w) or memo.setdefault(w, features(w)) for w in words]
-        t[k, : len(words)] = tags[k]
-    weights, transitions = train_chain(x, t, np.array(length))
-    found = zip(*Tagger(weights, transitions).marginals(texts))
-    return Model(weights.astype(np.float32), transitions, logistic(np.array([summary(*x) for x in found]), y))
+    vocabulary = Vocabulary()
+    numbers = [vocabulary.read(t) for t in texts]
+    known, marks = (np.array(x, np.int32).reshape(-1, FEATURES_EACH) for x in (vocabulary.features, vocabulary.marks))
+    vocabulary.number.clear()
+    distinct = []
+    for n in numbers:
+        own = np.unique(marks[np.unique(n)])
+        distinct.append(own[own >= 0])
+    toxic_units = lexicon(distinct, y)
+    toxic_word = (toxic_units[marks] & (marks >= 0)).any(axis=1)
+    parts = []
+    for n, label in zip(numbers, y):
+        for lo in range(0, len(n), SEQUENCE):
+            if label or zlib.crc32(n[lo : lo + 4].tobytes()) % 4 == 0:  # a quarter of the clean sequences is enough of them
+                parts.append((n[lo : lo + SEQUENCE], label))
+    ids, tags, length = np.zeros((len(parts), SEQUENCE), np.int32), np.zeros((len(parts), SEQUENCE), np.int8), np.zeros(len(parts), np.int64)
+    for k, (n, label) in enumerate(parts):
+        ids[k, : len(n)], length[k] = n, len(n)
+        if label:
+            tags[k, : len(n)] = toxic_word[n]
+    weights, transitions = train_chain(ids, known, tags, length)
+    tagger, rows = Tagger(weights, transitions), []
+    for lo in range(0, len(texts), 256):
+        rows += [summary(*x) for x in zip(*tagger.marginals(texts[lo : lo + 256]))]
+    return Model(weights.astype(np.float32), transitions, logistic(np.array(rows), y))
 
 
 def tag(text: Column, model: Model, spark) -> Column:
