@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import fold, labelled_sample
 
 #: Rows and length of the table of vectors, entries of an index vector other than 0, words to each side, words remembered.
-BUCKETS, DIM, ENTRIES, REACH, MEMO = 1 << 13, 24, 4, 2, 300_000
+BUCKETS, DIM, ENTRIES, REACH, MEMO = 1 << 13, 24, 4, 2, 400_000
 #: Most labelled documents that the network is fitted on, hidden units, passes, step, L2 weight, decision.
-SAMPLE, HIDDEN, EPOCHS, STEP, L2, GOOD = 8000, 32, 60, 0.01, 1e-3, 0.3
+SAMPLE, HIDDEN, EPOCHS, STEP, L2, GOOD = 5000, 32, 60, 0.01, 1e-3, 0.3
 
 
 def index_vectors() -> np.ndarray:
@@ -33,15 +33,24 @@ def index_vectors() -> np.ndarray:
     return out
 
 
+class Shapes(dict):
+    """What stands for each character in a word's shape."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = found = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
+        return found
+
+
 class Words:
     """Numbers of words and of their shapes, remembered by each worker."""
 
     def __init__(self):
         self.memo: dict[str, int] = {}
+        self.shapes, self.run = Shapes(), re.compile(r"(.)\1+", re.DOTALL)
 
     def number(self, word: str) -> int:
-        shape = re.sub(r"0+", "0", re.sub(r"\d", "0", re.sub(r"A+", "A", re.sub(r"a+", "a", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", word)))))
-        shape = re.sub(r"(.)\1+", r"\1", shape)
+        shape = self.run.sub(r"\1", word.translate(self.shapes))
         return zlib.crc32(b"w" + word.encode("utf-8", "replace")) % BUCKETS << 16 | zlib.crc32(b"s" + shape.encode("utf-8", "replace")) % BUCKETS
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,10 +67,10 @@ class Words:
 def gathered(rows: np.ndarray, vectors: np.ndarray, into: np.ndarray) -> None:
     """Adds vectors[i] to into[rows[i]]."""
     if len(rows):
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.int16), kind="stable")
         at = rows[order]
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        into[at[first]] += np.add.reduceat(vectors[order], first, axis=0)
+        into[at[first]] += np.add.reduceat(vectors[order], first, axis=0, dtype=np.int32)
 
 
 def context_table(docs: DataFrame) -> np.ndarray:
@@ -78,13 +87,15 @@ def context_table(docs: DataFrame) -> np.ndarray:
             for lo in range(0, len(texts), 128):
                 word, shape, n = words.numbers(texts[lo : lo + 128])
                 doc, vec = np.repeat(np.arange(len(n)), n), index[word] + index[shape]
-                around = np.zeros((len(word), DIM), np.int16)
+                around = np.zeros((len(word), DIM), np.int8)  # at most 2 * REACH * 2 in size
                 for d in range(1, REACH + 1):
-                    same = (doc[d:] == doc[:-d])[:, None]
-                    around[d:] += vec[:-d] * same
-                    around[:-d] += vec[d:] * same
+                    apart = np.flatnonzero(doc[d:] != doc[:-d])
+                    before, after = vec[:-d].copy(), vec[d:].copy()
+                    before[apart] = after[apart] = 0
+                    around[d:] += before
+                    around[:-d] += after
                 for rows in (word, shape):
-                    gathered(rows, around.astype(np.int64), total)
+                    gathered(rows, around, total)
                     seen += np.bincount(rows, minlength=BUCKETS)
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"b": at.astype(np.int32), "n": seen[at]} | {f"v{i}": total[at, i] for i in range(DIM)})
@@ -175,7 +186,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out:
     y = np.array([r.label > 0 for r in rows], float)
     net = None
     if len(y) and 0 < y.mean() < 1:
-        x = pooled([r.text or "" for r in rows], Words(), table).astype(float)
+        words = Words()
+        x = np.concatenate([pooled([r.text or "" for r in rows[lo : lo + 64]], words, table) for lo in range(0, len(rows), 64)]).astype(float)
         net = train(x, y, np.array([zlib.crc32(b"back" + str(r.doc_id).encode()) % 5 == 0 for r in rows]))
     model = spark.sparkContext.broadcast((table, net, float((y.sum() + 0.5) / (len(y) + 1))))
 
