@@ -1,4 +1,7 @@
-"""Small helpers shared by the training-data operators: word columns, splits, the shared folder."""
+"""Small helpers shared by the training-data operators: word columns, splits, the shared folder.
+
+Operators that add working columns for a while name them _stratalake_…; those names are theirs alone.
+"""
 
 from __future__ import annotations
 

@@ -106,19 +106,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
             rows = []
     if rows:
         blocks.append(Block(rows))
-    result = docs.withColumn("_bw", bench_words(F.col(text)))
+    result = docs.withColumn("_stratalake_bw", bench_words(F.col(text)))
     none = F.from_json(F.lit("[]"), "array<struct<at:int,n:int,items:array<string>>>")
-    result = result.withColumn("_bh", none if not blocks else F.concat(*[b.hits("_bw") for b in blocks]))
+    result = result.withColumn("_stratalake_bh", none if not blocks else F.concat(*[b.hits("_stratalake_bw") for b in blocks]))
     if len(blocks) > 1 or any(len(b.lengths) > 1 for b in blocks):
-        result = result.withColumn("_bh", F.sort_array("_bh"))
+        result = result.withColumn("_stratalake_bh", F.sort_array("_stratalake_bh"))
     begin = F.from_json(F.lit("[]"), "array<struct<first:int,end:int>>")
     last = lambda acc: F.element_at(acc, -1)
     joined = lambda acc, h: F.when((F.size(acc) > 0) & (h["at"] <= last(acc)["end"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["end"], h["at"] + h["n"]).alias("end"))))).otherwise(F.concat(acc, F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))
-    result = result.withColumn("_bs", F.when(F.size("_bh") == 0, begin).otherwise(F.aggregate("_bh", begin, lambda acc, h: F.when(F.size(acc) > 0, joined(acc, h)).otherwise(F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))))
-    n_hit = F.aggregate("_bs", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
-    items = F.sort_array(F.array_distinct(F.flatten(F.transform("_bh", lambda h: h["items"]))))
-    found = F.struct(F.size("_bw").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), F.col("_bs").alias("spans"))
-    return result.withColumn(out, settled(found)).drop("_bw", "_bh", "_bs")
+    result = result.withColumn("_stratalake_bs", F.when(F.size("_stratalake_bh") == 0, begin).otherwise(F.aggregate("_stratalake_bh", begin, lambda acc, h: F.when(F.size(acc) > 0, joined(acc, h)).otherwise(F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))))
+    n_hit = F.aggregate("_stratalake_bs", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
+    items = F.sort_array(F.array_distinct(F.flatten(F.transform("_stratalake_bh", lambda h: h["items"]))))
+    found = F.struct(F.size("_stratalake_bw").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), F.col("_stratalake_bs").alias("spans"))
+    return result.withColumn(out, settled(found)).drop("_stratalake_bw", "_stratalake_bh", "_stratalake_bs")
 
 
 def contaminated(bench: str = "bench") -> Column:

@@ -194,9 +194,9 @@ def deduplicate(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     found = classes(docs.select("doc_id", "text"), distance)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"))
-    first = stored(first.select("first.doc_id", "first.text_hash").withColumnsRenamed({"doc_id": "_keep_id", "text_hash": "_keep_hash"}), "kept")
-    tagged = docs.withColumn("_row_hash", F.xxhash64("text"))
-    kept = tagged.join(first, tagged["doc_id"].eqNullSafe(first["_keep_id"]) & (tagged["_row_hash"] == first["_keep_hash"]), "left_semi")
+    first = stored(first.select("first.doc_id", "first.text_hash").withColumnsRenamed({"doc_id": "_stratalake_keep_id", "text_hash": "_stratalake_keep_hash"}), "kept")
+    tagged = docs.withColumn("_stratalake_row_hash", F.xxhash64("text"))
+    kept = tagged.join(first, tagged["doc_id"].eqNullSafe(first["_stratalake_keep_id"]) & (tagged["_stratalake_row_hash"] == first["_stratalake_keep_hash"]), "left_semi")
     if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_row_hash"])
-    return kept.drop("_row_hash")
+        kept = kept.dropDuplicates(["doc_id", "_stratalake_row_hash"])
+    return kept.drop("_stratalake_row_hash")

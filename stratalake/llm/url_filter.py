@@ -41,9 +41,11 @@ GLOBS = (
     ("*.track*.*/*", "block"),
     ("*.doubleclick.*/*", "block"),
     ("*.casino*/*", "block"),
+    ("*/wp-login.php*", "block"),
     ("*/*/wp-login.php*", "block"),
+    ("*/wp-admin/*", "block"),
     ("*/*/wp-admin/*", "block"),
-    ("*/*/login*", "block"),
+    ("*/cart/*", "block"),
     ("*/*/cart/*", "block"),
     ("*/*.exe", "block"),
     ("*/*.zip", "block"),
