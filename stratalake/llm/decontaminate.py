@@ -133,3 +133,18 @@ def remove_spans(text: Column, spans: Column) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(f"([^{apart}]+[{apart}]*)"), 1)
     kept = F.filter(pieces, lambda p, i: ~F.exists(spans, lambda s: (s["first"] <= i) & (i < s["end"])))
     return F.when(F.size(spans) > 0, F.concat(lead, F.array_join(kept, ""))).otherwise(text)
+
+
+DECONTAMINATION_SQL = r"""WITH split(id, is_item, w) AS (
+  SELECT CAST(doc_id AS VARCHAR), false, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') FROM documents
+  UNION ALL SELECT CAST(item_id AS VARCHAR), true, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') FROM benchmark),
+wins AS (SELECT DISTINCT id AS item, least(len(w), 13) AS n, array_to_string(list_slice(w, k, k + 12), ' ') AS win
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM split WHERE is_item AND len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM wins),
+places AS (SELECT id, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM split, lengths WHERE NOT is_item AND len(w) >= n),
+hits AS (SELECT id, p.n, k, item FROM places p JOIN wins ON wins.n = p.n AND win = array_to_string(list_slice(w, k, k + p.n - 1), ' ')),
+found AS (SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(k, k + n)) AS place FROM hits) GROUP BY id),
+items AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM hits) GROUP BY id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM documents JOIN split ON NOT is_item AND id = CAST(doc_id AS VARCHAR) LEFT JOIN found USING (id) LEFT JOIN items USING (id)"""

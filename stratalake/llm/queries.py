@@ -82,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": mixing.MIX_SQL, "op10_url_filter": url_filter.verdict_sql()}
+    return {"op3_benchmark_decontamination": decontaminate.DECONTAMINATION_SQL, "op4_source_mixing": mixing.MIX_SQL, "op10_url_filter": url_filter.verdict_sql()}
