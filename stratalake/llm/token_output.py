@@ -16,6 +16,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 #: The id that ends each document.
 END = 1
 #: Bytes after which a task begins another file; rows of a range of ids; rows tokenised or read at a time; words that a worker remembers.
-FILE_BYTES, RANGE_ROWS, BATCH, MEMO_WORDS = 32 << 20, 4000, 256, 500_000
+FILE_BYTES, RANGE_ROWS, BATCH, MEMO_WORDS = 32 << 20, 4000, 256, 800_000
 MANIFEST = "part int, file int, path string, records long, ids long"
 
 
@@ -70,6 +71,9 @@ class Encoder:
 
         self.tokenizer, self.memo, self.split_on_space = Tokenizer.from_file(path), {}, split_on_space
         self.cut = self.ids(self.SEPARATOR)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.split_on_space &= len(self.cut) == 1
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 and END < 1 << 16 else 4
 
@@ -78,8 +82,6 @@ class Encoder:
 
     def learn(self, found: set[bytes]) -> None:
         """Puts the ids of words into the memo: words of letters and marks from their two parts, and many in one call."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
         pairs, single = [], set()
         for w in found:
             stem = w.rstrip(self.MARKS)
@@ -89,19 +91,25 @@ class Encoder:
             else:
                 single.add(w)
         texts = {w: w.decode("latin-1") for w in single if w not in self.memo}
-        plain = [w for w, t in texts.items() if self.SEPARATOR not in t and "<|" not in t]
-        if plain:
-            ids = self.ids(f" {self.SEPARATOR} ".join(texts[w] for w in plain))
-            cuts, raw, at = (np.flatnonzero(ids == self.cut[0]) * 4).tolist() + [4 * len(ids)], ids.tobytes(), 0
-            if len(cuts) != len(plain):
-                raise ValueError("this tokenizer doesn't keep words apart: use split_on_space=False")
-            for w, end in zip(plain, cuts):
-                self.memo[w], at = raw[at:end], end + 4
-        for w in texts.keys() - set(plain):
+        letters = [w for w, t in texts.items() if t.isalpha()]  # each is cut into one word, so one id ends it
+        ids = self.ids(" ".join(texts[w] for w in letters))
+        self.remember(letters, ids, (np.flatnonzero(self.last[ids]) + 1) * 4, 0)
+        plain = [w for w, t in texts.items() if not t.isalpha() and self.SEPARATOR not in t and "<|" not in t]
+        ids = self.ids(f" {self.SEPARATOR} ".join(texts[w] for w in plain))
+        self.remember(plain, ids, np.r_[np.flatnonzero(ids == self.cut[0]) * 4, 4 * len(ids)] if plain else np.zeros(0, int), 4)
+        for w in texts.keys() - set(letters) - set(plain):
             self.memo[w] = self.ids(texts[w]).tobytes()
         for w, stem, marks in pairs:
             self.memo[w] = self.memo[stem] + self.memo[marks]
 
+    def remember(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+        """Takes the words' ids from the ids of all of them, by the bytes at which each ends and those between two."""
+        if len(ends) != len(words):
+            raise ValueError("this tokenizer doesn't keep words apart: use split_on_space=False")
+        raw, at = ids.tobytes(), 0
+        for w, end in zip(words, ends.tolist()):
+            self.memo[w], at = raw[at:end], end + gap
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split: list[list[bytes] | None] = []
         for t in texts:
@@ -109,13 +117,25 @@ class Encoder:
                 split.append(t.encode("latin-1").lower().split() if self.split_on_space and "<|" not in t else None)
             except UnicodeEncodeError:
                 split.append(None)
-        found = {w for s in split if s for w in s}
-        if len(self.memo) + len(found) > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        if new := {w for w in found if w not in self.memo}:
+        get = self.memo.get
+        found = [s and list(map(get, s)) for s in split]
+        if new := {w for s, f in zip(split, found) if f and None in f for w, x in zip(s, f) if x is None}:
             self.learn(new)
-        memo = self.memo
-        return [self.ids(t).tobytes() if s is None else b"".join([memo[w] for w in s]) for t, s in zip(texts, split)]
+        memo, out = self.memo, []
+        for t, s, f in zip(texts, split, found):
+            if s is None:
+                out.append(self.ids(t).tobytes())
+            else:
+                out.append(b"".join([memo[w] if x is None else x for w, x in zip(s, f)] if None in f else f))
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str, split_on_space: bool) -> Encoder:
+    """The encoder of this worker process: later tasks find the words that earlier ones have met."""
+    return Encoder(path, split_on_space)
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -137,7 +157,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bo
     ordered = rows.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, (fs, base) = Encoder(tokenizer, split_on_space), open_fs(path)
+        encoder, (fs, base) = encoder_of(tokenizer, split_on_space), open_fs(path)
         fs.create_dir(base, recursive=True)
         part, file, done, out = TaskContext.get().partitionId(), 0, [], None
         small = f"<u{encoder.width}"
