@@ -165,9 +165,15 @@ class Tagger:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        for w in {w for w in words if w not in memo}:
-            memo[w] = float(self.weights[features(w)].sum())
-        return np.array([memo[w] for w in words], np.float64)
+        found = list(map(memo.get, words))
+        if None in found:
+            for i, x in enumerate(found):
+                if x is None:
+                    w = words[i]
+                    if (x := memo.get(w)) is None:
+                        x = memo[w] = float(self.weights[features(w)].sum())
+                    found[i] = x
+        return np.array(found, np.float64)
 
     def marginals(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[bytes]]]:
         """For each text, the toxic marginals of its words, and the words. Texts of like length run side by side."""
