@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +28,7 @@ BUCKETS, DIM, ENTRIES, REACH, MEMO = 1 << 13, 24, 4, 2, 400_000
 SAMPLE, HIDDEN, EPOCHS, STEP, L2, GOOD = 5000, 32, 60, 0.01, 1e-3, 0.3
 
 
+@lru_cache(maxsize=1)
 def index_vectors() -> np.ndarray:
     rng, out = np.random.default_rng(11), np.zeros((BUCKETS, DIM), np.int8)
     for row in out:
@@ -58,12 +61,23 @@ class Words:
         memo, split = self.memo, [t.split() for t in texts]
         if len(memo) > MEMO:
             memo.clear()
-        for w in {w for s in split for w in s if w not in memo}:
-            memo[w] = self.number(w)
-        both = np.array([memo[w] for s in split for w in s], np.int64)
+        words = list(chain.from_iterable(split))
+        found = list(map(memo.get, words))
+        if None in found:
+            for i, x in enumerate(found):
+                if x is None:
+                    w = words[i]
+                    found[i] = memo[w] = memo.get(w) or self.number(w)
+        both = np.array(found, np.int64)
         return both >> 16, both & 0xFFFF, np.array([len(s) for s in split], np.int64)
 
 
+@lru_cache(maxsize=1)
+def words_of_worker() -> Words:
+    """The memo of this worker process, which later tasks find filled."""
+    return Words()
+
+
 def gathered(rows: np.ndarray, vectors: np.ndarray, into: np.ndarray) -> None:
     """Adds vectors[i] to into[rows[i]]."""
     if len(rows):
@@ -81,7 +95,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, index, total, seen = Words(), index_vectors(), np.zeros((BUCKETS, DIM), np.int64), np.zeros(BUCKETS, np.int64)
+        words, index, total, seen = words_of_worker(), index_vectors(), np.zeros((BUCKETS, DIM), np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.text]
             for lo in range(0, len(texts), 128):
@@ -194,7 +208,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out:
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, net, share = model.value
-        words = Words()
+        words = words_of_worker()
         for batch in batches:
             texts = [t or "" for t in batch.tolist()]
             found = [np.full(len(texts[lo : lo + 256]), share) if net is None else net.probability(pooled(texts[lo : lo + 256], words, table)) for lo in range(0, len(texts), 256)]
