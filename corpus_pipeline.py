@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm import decontaminate, mixing, simhash, toxicity
-from stratalake.llm.common import stored, table
+from stratalake.llm.common import stored, table, words
 from stratalake.llm.queries import encoded
 
 
@@ -31,15 +31,19 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, in whole documents: taken / size, rounded; one of no words stays once."""
-    mixed = mixing.mix(docs.select("doc_id", "text", "source"))
-    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(1)
-    wanted = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("row_hash").alias("_hash"), copies.alias("_copies"))
-    wanted = wanted.groupBy("_id", "_source", "_hash").agg(F.sum("_copies").cast("int").alias("_copies"), F.count("*").alias("_rows"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["_id"]) & rows["source"].eqNullSafe(wanted["_source"]) & rows["_hash"].eqNullSafe(wanted["_hash"]))
-    each = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")  # equal rows share their copies
-    return joined.where("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), each))).select(*[rows[c] for c in docs.columns])
+    """A copy of a document for each of its passes of which the mix takes half or more, in the order of their training
+    positions; one of no words comes once.
+
+    A row is known by a digest of all its columns. Rows that are equal in all of them share one row of texts, which has
+    the passes of all of them, so none is lost or added.
+    """
+    keyed = docs.withColumn("_stratalake_key", F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})))
+    mixed = stored(mixing.mix(keyed.select("doc_id", "text", "source", "_stratalake_key"), keep=("_stratalake_key",)), "mixed")
+    passes = mixing.training_order(mixed).where(2 * F.col("pass_words") >= F.col("size")).select("_stratalake_key", F.col("position").alias("_stratalake_at"))
+    rows = keyed.groupBy("_stratalake_key").agg(F.first(F.struct(*docs.columns)).alias("_stratalake_row"))
+    order = ("_stratalake_at", "_stratalake_key")
+    copies = rows.join(passes, "_stratalake_key").repartitionByRange(*order).sortWithinPartitions(*order).select("_stratalake_row.*")
+    return copies.unionByName(docs.where(F.size(words(F.col("text"))) == 0))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import words
+from .common import stored, words
 
 #: Weights of the sources in turn, share of all words that the mix takes, most passes over a source.
 WEIGHTS, SHARE, PASSES = (5, 2, 1), 1.5, 2
@@ -49,8 +49,9 @@ def position(done: Column, ramp: Column) -> Column:
     return F.when(F.abs(ramp) < 1e-9, done).otherwise(F.coalesce(F.try_divide(2 * done, b + F.sqrt(F.greatest(b * b + 4 * ramp * done, F.lit(0.0)))), F.lit(0.0)))
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes: int = PASSES, ramps: tuple = RAMPS, text: str = "text") -> DataFrame:
-    """Rows (doc_id, source, row_hash, size, source_size, target, taken, place, first_position), one per row of docs.
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes: int = PASSES, ramps: tuple = RAMPS, text: str = "text", keep: tuple = ()) -> DataFrame:
+    """Rows (doc_id, source, row_hash, size, source_size, target, taken, place, first_position), one per row of docs, and
+    docs' columns `keep`, which take part in the order after the text hash.
 
     Within a source, documents stand in the order of md5(doc_id), then id and text hash; the mix takes the source's
     stream of words from its start, over and over, until the target is met, so a document gives whole passes and at most
@@ -60,7 +61,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     nothing. Equal rows are placed side by side. Sums over a hot source are taken in runs of about RUN_ROWS documents by
     hash, so no task holds a source; reruns agree as every order is a total one but for equal rows.
     """
-    sized = docs.select("doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), F.xxhash64(text).alias("row_hash"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"))
+    sized = docs.select("doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), F.xxhash64(text).alias("row_hash"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"), *keep)
     targets = source_targets(sized.select("source", "size"), weights, share, passes, ramps)
     runs = F.ceil(F.col("rows") / RUN_ROWS).cast("long")
     run = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / 4294967296.0 * runs).cast("long")
@@ -68,7 +69,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     per_run = placed.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
     before = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_run.select(F.col("source").alias("_s"), F.col("run").alias("_r"), F.coalesce(F.sum("run_size").over(before), F.lit(0)).alias("run_start"))
-    within = Window.partitionBy("source", "run").orderBy("key", "doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "run").orderBy("key", "doc_id", "row_hash", *keep).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(starts, placed["source"].eqNullSafe(starts["_s"]) & (placed["run"] == starts["_r"])).withColumn("place", F.col("run_start") + F.col("ahead"))
     goal = F.round("target").cast("long")
@@ -79,7 +80,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     done = F.col("place") / F.greatest(F.col("target"), F.lit(1.0))
     return placed.select(
         "doc_id", "source", "row_hash", "size", "source_size", "target", "ramp", taken.alias("taken"), "place",
-        F.when(taken > 0, position(done, F.col("ramp"))).alias("first_position"),
+        F.when(taken > 0, position(done, F.col("ramp"))).alias("first_position"), *keep,
     )
 
 
@@ -91,15 +92,31 @@ def few(targets: DataFrame, most: int = 10_000) -> bool:
 def training_order(mixed: DataFrame) -> DataFrame:
     """mix() as rows of passes (…, pass, position, pass_words), range-sorted by training position.
 
-    A document has a row for each whole or partial pass over it; positions of later passes lie source_size words on.
+    The passes are dealt from the demand, not from `taken`: a document's pass p starts place + p * source_size words into
+    its source's stream, which is given up to the target; a document has a row for each pass that gives words, whole or in
+    part. The pass's start, as a share of the target, is inverted through the schedule to its position.
     """
-    n = F.expr("CASE WHEN size > 0 THEN CAST(ceil(taken / size) AS INT) ELSE 0 END")
+    start, goal = F.col("place") + F.col("pass") * F.col("source_size"), F.round("target").cast("long")
+    n = F.expr("CASE WHEN size > 0 THEN CAST(ceil((round(target) - place) / source_size) AS INT) ELSE 0 END")
     passes = mixed.withColumn("n", n).where("n > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    done = (F.col("place") + F.col("pass") * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))
-    placed = passes.withColumns({"position": position(done, F.col("ramp")), "pass_words": F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size"))})
+    done = start / F.greatest(F.col("target"), F.lit(1.0))
+    placed = passes.withColumns({"position": position(done, F.col("ramp")), "pass_words": F.least(F.col("size"), goal - start)})
     return placed.drop("n", "first_position").repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id", "row_hash")
 
 
+def dealt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of mix() with `taken` summed up from the passes of training_order(), and those passes in their order.
+
+    Both are written to the shared folder, so the order is made once. A document that gives words starts at a place that
+    no other document of its source has, which is how its passes are found again; all others have taken nothing.
+    """
+    mixed = stored(mix(docs), "mixed")
+    order = stored(training_order(mixed), "training-order")
+    given = order.groupBy(F.col("source").alias("_s"), F.col("place").alias("_p")).agg(F.sum("pass_words").alias("_given"))
+    joined = mixed.join(given, mixed["source"].eqNullSafe(given["_s"]) & (mixed["place"] == given["_p"]) & (mixed["size"] > 0), "left")
+    return joined.withColumn("taken", F.coalesce("_given", F.lit(0)).cast("long")).drop("_s", "_p", "_given"), order
+
+
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,

@@ -69,3 +69,18 @@ def test_query_matches_sql(spark, data):
     want = c.execute(m.MIX_SQL).df().sort_values("doc_id").reset_index(drop=True)
     got = queries.op4_source_mixing(spark, data).toPandas().sort_values("doc_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want[got.columns], check_exact=True)
+
+
+def test_query_follows_training_order(spark, data, monkeypatch):
+    whole = queries.op4_source_mixing(spark, data).collect()
+    order = m.training_order
+    monkeypatch.setattr(m, "training_order", lambda mixed: order(mixed).where("position < 0.5"))
+    half = queries.op4_source_mixing(spark, data).collect()
+    assert len(half) == len(whole) and 0 < sum(r.taken for r in half) < 0.7 * sum(r.taken for r in whole)
+
+
+def test_dealt_equals_plain_shares(spark, odd, empty):
+    got, order = m.dealt(odd)
+    assert sorted((str(r.doc_id), r.row_hash, r.taken) for r in got.collect()) == sorted((str(r.doc_id), r.row_hash, r.taken) for r in m.mix(odd).collect())
+    assert got.where("size = 0 AND taken = 0").count() == 4 and [r.position for r in order.collect()] == sorted(r.position for r in order.collect())
+    assert m.dealt(empty)[0].count() == 0

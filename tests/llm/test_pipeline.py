@@ -6,6 +6,7 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from stratalake.llm import mixing
 from stratalake.llm.common import stored, table
 
 from .test_decontaminate import plain
@@ -55,3 +56,17 @@ def test_odd_rows(spark, odd, data):
 
 def test_registered():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_mixing_takes_positioned_passes(spark, odd):
+    docs = odd.where("doc_id IS NOT NULL").unionByName(odd.where("doc_id = 1").withColumn("lang", F.lit("de")))
+    got = corpus_pipeline.mix_sources(spark, docs, "")
+    passes = mixing.training_order(mixing.mix(docs, keep=("lang",))).where("2 * pass_words >= size").orderBy("position")
+    want = Counter((r.doc_id, r.lang, r.row_hash) for r in passes.collect())
+    rows = got.withColumn("row_hash", F.xxhash64("text")).collect()
+    sized = [r for r in rows if (r.text or "").split()]
+    assert sum(want.values()) == len(sized) and {(r.doc_id, r.row_hash) for r in sized} == {(d, h) for d, _, h in want}
+    assert Counter(r.doc_id for r in rows if not (r.text or "").split()) == {3: 1, 4: 1, 5: 1}
+    place = {(r.doc_id, r.row_hash): r.position for r in reversed(passes.collect())}
+    firsts = list(dict.fromkeys((r.doc_id, r.row_hash) for r in sized))
+    assert [place[k] for k in firsts] == sorted(place[k] for k in firsts)
