@@ -10,15 +10,15 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import labelled_sample, settled, words
+from .common import settled, words
 
 #: Fixed values of the base rules.
 SYMBOLS, LEAST_WORDS, MOST_REPEATED = "#*$%&|<>", 50, 50
 #: Buckets of hashed n-grams, n-grams of a text (runs of letters or digits, and runs of other marks, are its units).
 BUCKETS, LONGEST = 1 << 13, 2
 UNIT = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+"
-#: Most labelled documents that the target is made of, what is added to each bucket's share, and the verdict's threshold.
-TARGET_ROWS, SMOOTHING, THRESHOLD = 12_000, 0.5, -0.3
+#: What is added to each bucket's share, the verdict's threshold, and most trusted ids that are sent to all tasks.
+SMOOTHING, THRESHOLD, MOST_SENT = 0.5, -0.3, 500_000
 
 
 def repeated_words(w: str, n: int = 3) -> Column:
@@ -72,18 +72,31 @@ def grams(units: str) -> Column:
     return F.when(F.size(units) > 0, found).otherwise(F.array().cast("array<int>"))
 
 
-def counts(texts: DataFrame) -> dict[int, int]:
-    """How often each bucket occurs: at most BUCKETS rows, combined in the tasks before they are shuffled."""
-    rows = texts.select(buckets(F.col("text")).alias("u")).select("u", F.size("u").alias("n")).select(F.explode(grams("u")).alias("b"))
-    return {r.b: r.n for r in rows.groupBy("b").agg(F.count("*").alias("n")).collect()}
+def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs with a column _good: 1 where the id's largest label is 1, else null. Null ids and labels are left out.
+
+    The distinct trusted ids are sent to all tasks if there are at most MOST_SENT of them, which is counted; if there are
+    more, the join shuffles.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+    good = known.groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("q")).where("q = 1").select(F.col("doc_id").alias("_id"), F.lit(1).alias("_good"))
+    few = good.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return docs.join(F.broadcast(good) if few else good, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+
+
+def counts(texts: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """How often each bucket occurs in texts (text, _good) that are good, and in all: one pass over them, at most BUCKETS
+    rows, combined in the tasks before they are shuffled."""
+    rows = texts.select(buckets(F.col("text")).alias("u"), "_good").select("u", F.size("u").alias("n"), "_good").select(F.explode(grams("u")).alias("b"), "_good")
+    found = rows.groupBy("b").agg(F.count("_good").alias("good"), F.count("*").alias("n")).collect()
+    return {r.b: r.good for r in found}, {r.b: r.n for r in found}
 
 
-def ratios(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS) -> list[float]:
-    """log(target share / raw share) of each bucket. The raw counts cover every document; the target is a sample of at
-    most `target_rows` labelled documents, those of it that are labelled 1. With no such document all ratios are 0."""
-    sample = labelled_sample(docs, labels, "quality", target_rows).where("label = 1")
-    target, raw = counts(sample), counts(docs.select("text"))
-    if not target:
+def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
+    """log(target share / raw share) of each bucket. The raw counts cover every document, the target every one that is
+    labelled 1. With no such document, or no n-gram in them, all ratios are 0."""
+    target, raw = counts(trusted(docs.select("doc_id", "text"), labels))
+    if not any(target.values()):
         return [0.0] * BUCKETS
     import math
 
@@ -91,13 +104,13 @@ def ratios(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS) -
     return [math.log((target.get(b, 0) + SMOOTHING) / t) - math.log((raw.get(b, 0) + SMOOTHING) / r) for b in range(BUCKETS)]
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """docs with the columns of base_counts(), llr (per n-gram; 0 where there are none) and kept.
 
     kept is false where base_failed is true, else llr >= threshold. Every document is judged, by itself; repeated rows
     get equal results and other columns stay.
     """
-    weights = ratios(docs.select("doc_id", F.col(text).alias("text")), labels, target_rows)
+    weights = ratios(docs.select("doc_id", F.col(text).alias("text")), labels)
     constant = F.from_json(F.lit(json.dumps({"v": [round(x, 9) for x in weights]})), "v array<double>")["v"]
     scored = base_counts(docs, text).withColumn("_stratalake_u", buckets(F.col(text)))
     size, add = F.size("_stratalake_u"), lambda i: sum((F.get(constant, bucket("_stratalake_u", i, n)) for n in range(2, LONGEST + 1)), F.get(constant, bucket("_stratalake_u", i, 1)))

@@ -64,3 +64,14 @@ def test_query_keeps_good_and_drops_bad(spark, data):
     for r in queries.op2_quality_rules(spark, data).collect():
         want = plain(docs[r.doc_id])
         assert {k: r[k] for k in want} == want
+
+
+def test_target_is_every_trusted_document(spark, monkeypatch):
+    docs = spark.range(13_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    twice = labels.unionByName(labels.withColumn("quality", F.lit(0)))  # the larger label counts, once
+    assert rules.ratios(docs, twice) == [0.0] * rules.BUCKETS  # all is trusted, so both shares agree
+    half = labels.where("doc_id % 2 = 0")
+    sent = rules.ratios(docs, half)
+    monkeypatch.setattr(rules, "MOST_SENT", 10)
+    assert rules.ratios(docs, half) == sent != [0.0] * rules.BUCKETS
