@@ -122,3 +122,17 @@ def test_context_vectors_equal_plain_sums(spark):
     centred = mean - np.average(mean, axis=0, weights=seen[rows])
     np.testing.assert_allclose(got[rows], centred / np.linalg.norm(centred, axis=1, keepdims=True), atol=1e-5)
     assert not got[~rows].any()
+
+
+@pytest.mark.parametrize("module, score, label, most", [(quality, "score_quality", "quality", 8000), (toxicity, "score_toxicity", "toxic", 6000)])
+def test_sample_is_as_large_as_it_was(spark, monkeypatch, module, score, label, most):
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    taken, sample = [], module.labelled_sample
+
+    def spied(*args):
+        taken.append(sample(*args).count())
+        return sample(*args)
+
+    monkeypatch.setattr(module, "labelled_sample", spied)
+    getattr(module, score)(docs, docs.select("doc_id", F.lit(1).alias(label)))
+    assert taken == [most]
