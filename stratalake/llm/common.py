@@ -72,11 +72,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """Rows (doc_id, text, label) of at most `most` labelled documents, chosen by a hash of the id.
+    """At most `most` rows (doc_id, text, label), one for each of as many labelled ids, chosen by a hash of the id.
 
     The ids are chosen from the label rows alone, so that side has at most `most` rows and is broadcast; the
-    documents are not shuffled. An id with several label rows counts once, with its largest label; null ids and labels
-    are left out. A document that repeats an id comes as often as it occurs.
+    documents are cut to the chosen ids and then, with map-side combining, to one row per id: the text with the least hash.
+    An id with several label rows counts once, with its largest label; null ids and labels are left out.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -84,4 +84,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
         .groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label"))

@@ -134,14 +134,17 @@ def train(texts: list[str], langs: list[str], kept_back: np.ndarray, inverse: np
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from docs (doc_id, text, lang), null languages left out; None without any. Document frequencies cover all
-    of docs, the regression at most `sample` of them, chosen by a hash of the id."""
+    of docs, the regression at most `sample` of them, chosen by a hash of the id, one row per id: that whose text has the
+    least hash."""
     docs = docs.where(F.col("lang").isNotNull())
     found, n = frequencies(docs)
     if not n:
         return None
     inverse = np.log((1 + n) / (1 + found)) + 1
     chosen = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_h")).distinct().orderBy("_h", "_id").limit(sample).select("_id")
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "lang").limit(4 * sample).collect()
+    row = F.min_by(F.struct("text", "lang"), F.struct(F.xxhash64("text"), "lang")).alias("row")
+    found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(row).select("doc_id", "row.text", "row.lang")
+    rows = sorted(found.collect(), key=lambda r: r.doc_id)
     back = np.array([zlib.crc32(b"back" + str(r.doc_id).encode()) % 5 == 0 for r in rows])
     return train([r.text or "" for r in rows], [str(r.lang) for r in rows], back, inverse)
 

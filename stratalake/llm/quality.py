@@ -196,7 +196,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out:
     """
     spark = docs.sparkSession
     table = context_table(docs.select("text"))
-    rows = labelled_sample(docs, labels.where(fold(F.col("doc_id"), 5).isin(1, 2, 3, 4)), "quality", sample).collect()
+    rows = sorted(labelled_sample(docs, labels.where(fold(F.col("doc_id"), 5).isin(1, 2, 3, 4)), "quality", sample).collect(), key=lambda r: r.doc_id)
     y = np.array([r.label > 0 for r in rows], float)
     net = None
     if len(y) and 0 < y.mean() < 1:

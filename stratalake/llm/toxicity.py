@@ -226,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     The rows are the bound of what the driver holds. With no labelled document, or labels of one kind only, every score
     is that kind's smoothed share.
     """
-    rows = labelled_sample(docs, labels, "toxic", sample).select("text", "label").collect()
+    rows = sorted(labelled_sample(docs, labels, "toxic", sample).collect(), key=lambda r: r.doc_id)
     texts, y = [r.text or "" for r in rows], np.array([r.label > 0 for r in rows], float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)

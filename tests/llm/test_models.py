@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm import language, quality, queries, toxicity
+from stratalake.llm import common, language, quality, queries, toxicity
 
 from .conftest import prose, same_rows
 
@@ -136,3 +136,17 @@ def test_sample_is_as_large_as_it_was(spark, monkeypatch, module, score, label,
     monkeypatch.setattr(module, "labelled_sample", spied)
     getattr(module, score)(docs, docs.select("doc_id", F.lit(1).alias(label)))
     assert taken == [most]
+
+
+def test_repeated_ids_give_one_training_row(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, f"hot {i}", "en" if i % 2 else "de") for i in range(600)] + [(i, prose(i, 9), "en") for i in range(20, 40)] + [(None, "x", "en")], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    rows = [sorted(common.labelled_sample(docs.repartition(n), labels, "quality", 15).collect()) for n in (1, 5)]
+    assert rows[0] == rows[1] and len({r.doc_id for r in rows[0]}) == len(rows[0]) == 15
+    whole = common.labelled_sample(docs, labels, "quality", 1000).collect()
+    assert sorted(r.doc_id for r in whole) == [7, *range(20, 40)]
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, langs, back, inverse: seen.append((texts, langs)))
+    for n in (1, 5):
+        language.fit(docs.repartition(n), 1000)
+    assert seen[0] == seen[1] and len(seen[0][0]) == 21
