@@ -6,13 +6,16 @@ Operators that add working columns for a while name them _stratalake_…; those
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
+
+from ..storage import new_dir, remove, shared_dir, stored  # noqa: F401  (the operators take them from here)
 
 #: The white space that separates words, for Java's and for DuckDB's patterns.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Most bytes of the texts of a sample that the driver takes, and keys that may count as hot, with the rows that one must have.
+SAMPLE_BYTES, HOT_KEYS, HOT_ROWS = 64 << 20, 10_000, 1_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,43 +39,13 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(-1))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="stratalake-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
-    path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a path of new_dir() that nothing will read again."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most `most` rows (doc_id, text, label), one for each of as many labelled ids, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """At most `most` rows (doc_id, text, label) with `most_bytes` of text, one row for each of as many labelled ids, chosen
+    by a hash of the id.
 
     The ids are chosen from the label rows alone, so that side has at most `most` rows and is broadcast; the
     documents are cut to the chosen ids and then, with map-side combining, to one row per id: the text with the least hash.
@@ -85,4 +58,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label"))
+    return within_bytes(rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label")), most_bytes)
+
+
+def within_bytes(rows: DataFrame, most_bytes: int) -> DataFrame:
+    """Of a sample (doc_id, text, …) of few rows with an id each, those whose texts in the order of the ids' hashes come to
+    most_bytes or less together. Only ids and lengths are put in order."""
+    kept = stored(rows, "sample")
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fit = kept.select("doc_id", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(upto).alias("_upto")).where(F.col("_upto") <= most_bytes)
+    return kept.join(F.broadcast(fit.select("doc_id")), "doc_id", "left_semi")
+
+
+def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows (about `total` of them) joined to found, which has one row per key and its number of rows in a column n, which
+    goes. Null keys find nothing.
+
+    Keys with more rows than HOT_ROWS and than a HOT_KEYS-th of all are HOT_KEYS at most, so these are sent to all
+    tasks, and their rows stay where they are. The other keys join by a shuffle in which no key has more rows than that.
+    """
+    limit = max(total // HOT_KEYS, HOT_ROWS)
+    if total <= limit:
+        return rows.join(found.drop("n"), keys)
+    hot, cold = (found.where(f"n {op} {limit}").drop("n") for op in (">", "<="))
+    many = rows.join(F.broadcast(hot), keys)
+    few = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return many.unionByName(few)

@@ -4,8 +4,10 @@ A fingerprint's 64 bits are 32 segments of two bits, and its embedding holds the
 unary form, so that the Manhattan distance of two embeddings is the number of bits in which they differ. It never
 exceeds the Hamming distance. The segments are dealt into G groups; fingerprints within distance D agree in the
 embedding of G - D groups at least. Each choice of so many groups is a grid whose cells are the embedding's values there,
-so all pairs within reach share a cell of some grid. Within cells the Manhattan bound is tested, then the Hamming
-distance.
+so all pairs within reach share a cell of some grid. That is the range join under the Manhattan distance: each differing
+segment adds one or two to the distance, so of embeddings at most D apart D segments differ at most, which lie in D of
+the G groups at most; and the grid over the others holds both in one cell. Within every cell, however large, the Manhattan
+bound is tested first, then the Hamming distance.
 
 Only distinct fingerprints are joined, so copies cost nothing. Cells of more than BLOCK members are parted into blocks
 and each pair of blocks is a task's work of bounded size; from a cell come the links of a spanning forest, not all pairs.
@@ -22,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import looked_up, stored
 from .components import components
 
 #: Words of a shingle, seed of its hash, most differing bits of a link, members of a block, cells whose pairs are all emitted.
@@ -93,14 +95,23 @@ def grids(groups: int, distance: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
+def unary_of(members: np.ndarray) -> np.ndarray:
+    """embedding() of whole arrays."""
+    low = np.uint64(LOW)
+    a, b = members & low, members >> np.uint64(1) & low
+    return a | b | (a & b) << np.uint64(1)
+
+
 def forest(members: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join all members within reach of each other, one less than the members of each class."""
+    unary = unary_of(members)
     left, a, b = np.arange(len(members)), [], []
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = np.bitwise_count(members[left] ^ members[at]) <= distance
+            near = np.bitwise_count(unary[left] ^ unary[at]) <= distance  # the Manhattan bound
+            near[near] = np.bitwise_count(members[left[near]] ^ members[at]) <= distance
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -124,8 +135,7 @@ def linked(flat: np.ndarray, offsets: np.ndarray, distance: int) -> tuple[np.nda
         i, j = np.triu_indices(m, 1)
         for lo in range(0, len(at), step := max(1, 2_000_000 // len(i))):
             cells = flat[at[lo : lo + step, None] + np.arange(m)]
-            unary = (cells & np.uint64(LOW)) | (cells >> np.uint64(1) & np.uint64(LOW))
-            unary |= (cells & np.uint64(LOW)) << np.uint64(1) & cells
+            unary = unary_of(cells)
             k, p = np.nonzero(np.bitwise_count(unary[:, i] ^ unary[:, j]) <= distance)  # the Manhattan bound
             x, y = cells[k, i[p]], cells[k, j[p]]
             near = np.bitwise_count(x ^ y) <= distance
@@ -144,18 +154,18 @@ def links(prints: DataFrame, distance: int = DISTANCE, groups: int | None = None
     with at most `distance` differing bits. `groups` sets the grids' fineness; by default more groups for more rows,
     so that the members of a cell stay few.
     """
+    n = prints.count()
     if groups is None:
-        n = prints.count()
         groups = distance + (2 if n < 3_000_000 else 3 if n < 300_000_000 else 4)
     masks = grids(groups, distance)
     cells = prints.select("fp", embedding(F.col("fp")).alias("e")).select(
         "fp", F.posexplode(F.array(*[F.col("e").bitwiseAND(F.lit(m)) for m in masks])).alias("grid", "cell")
     )
     many = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    many = many.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")
     paired = (
-        cells.join(many, ["grid", "cell"]).withColumn("blocks", blocks).withColumn("own", own)
+        looked_up(cells, many, ["grid", "cell"], n * len(masks)).withColumn("own", own)
         .select("fp", "grid", "cell", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .groupBy("grid", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         .agg(F.sort_array(F.collect_set("fp")).alias("members"))
@@ -176,14 +186,17 @@ def classes(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Fingerprints link at `distance` or fewer differing bits; component_id is the smallest doc_id reachable over links, a
     document itself and those with its fingerprint included. Null ids are passed over for the smallest; a component of
-    null ids only has a null component_id. Empty and null texts share fingerprint 0, which links like any other.
+    null ids only has a null component_id. Empty and null texts share fingerprint 0, which links like any other. Rows of a
+    fingerprint that very many documents share, or of a class of very many fingerprints, are not gathered.
     """
     prints = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")), "prints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    found = components(links(distinct.select("fp"), distance))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.select("fp", "root").join(named, "root"), "fp")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+    found = components(links(distinct.select("fp"), distance)).withColumnRenamed("node", "fp")
+    linked = stored(distinct.join(found, "fp"), "linked")  # each fingerprint stands once on both sides
+    named = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    together = looked_up(linked.withColumnRenamed("n", "rows"), named, ["root"], linked.count()).select("fp", F.col("rows").alias("n"), "root", "component_id")
+    alone = distinct.join(linked.select("fp"), "fp", "left_anti").select("fp", "n", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    return looked_up(prints, stored(together.unionByName(alone), "rooted"), ["fp"], prints.count())
 
 
 def deduplicate(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -192,7 +205,7 @@ def deduplicate(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Classes are those of classes(); all columns stay. A class of null ids only keeps the row with the least text hash;
     of equal rows one stays.
     """
-    found = classes(docs.select("doc_id", "text"), distance)
+    found = stored(classes(docs.select("doc_id", "text"), distance), "classes")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"))
     first = stored(first.select("first.doc_id", "first.text_hash").withColumnsRenamed({"doc_id": "_stratalake_keep_id", "text_hash": "_stratalake_keep_hash"}), "kept")
     tagged = docs.withColumn("_stratalake_row_hash", F.xxhash64("text"))
