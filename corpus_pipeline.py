@@ -6,6 +6,8 @@ stage's docs; run() does so in the shared folder. All but the last return the co
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm import decontaminate, mixing, simhash, toxicity
@@ -13,21 +15,29 @@ from stratalake.llm.common import stored, table, words
 from stratalake.llm.queries import encoded
 
 
+#: Working columns, named as no column of documents is.
+SCORED, FOUND, KEY, ROW, AT, CHUNK = (f"_stratalake_{x}" for x in ("scored", "found", "key", "row", "at", "chunk"))
+#: Copies of one row that one task may be given, and the setting that names the folder in which the token files stay.
+COPIES, TOKENS_DIR = 1000, "spark.stratalake.tokens.dir"
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the limit; a document with any text or none has a score."""
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), out="_toxicity")
-    return scored.where(F.col("_toxicity.score") < toxicity.REJECT).select(*docs.columns)
+    """Documents whose toxicity score is below the limit; a document with any text or none has a score, so null, empty and
+    repeated rows are judged like any other. Other columns stay as they are."""
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), out=SCORED)
+    return scored.where(F.col(f"{SCORED}.score") < toxicity.REJECT).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the smallest id."""
+    """One document of each class of near-duplicates: the one with the smallest id; of rows equal in id and text one."""
     return simhash.deduplicate(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words are benchmark passages, or none."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_bench")
-    return found.where(~decontaminate.contaminated("_bench")).select(*docs.columns)
+    """Documents of which less than a twentieth of the words are benchmark passages, or none; a null text has no words and
+    stays."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), out=FOUND)
+    return found.where(~decontaminate.contaminated(FOUND)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,20 +45,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     positions; one of no words comes once.
 
     A row is known by a digest of all its columns. Rows that are equal in all of them share one row of texts, which has
-    the passes of all of them, so none is lost or added.
+    the passes of all of them, so none is lost or added; COPIES of them at most are put together by one task.
     """
-    keyed = docs.withColumn("_stratalake_key", F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})))
-    mixed = stored(mixing.mix(keyed.select("doc_id", "text", "source", "_stratalake_key"), keep=("_stratalake_key",)), "mixed")
-    passes = mixing.training_order(mixed).where(2 * F.col("pass_words") >= F.col("size")).select("_stratalake_key", F.col("position").alias("_stratalake_at"))
-    rows = keyed.groupBy("_stratalake_key").agg(F.first(F.struct(*docs.columns)).alias("_stratalake_row"))
-    order = ("_stratalake_at", "_stratalake_key")
-    copies = rows.join(passes, "_stratalake_key").repartitionByRange(*order).sortWithinPartitions(*order).select("_stratalake_row.*")
+    keyed = docs.withColumn(KEY, F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})))
+    mixed = mixing.mix(keyed.select("doc_id", "text", "source", KEY), keep=(KEY,))
+    chunk = F.floor(F.col("copy") / COPIES)
+    passes = mixing.training_order(mixed).where(2 * F.col("pass_words") >= F.col("size")).select(KEY, chunk.alias(CHUNK), F.col("position").alias(AT))
+    rows = keyed.groupBy(KEY).agg(F.first(F.struct(*docs.columns)).alias(ROW), F.count("*").alias(CHUNK))
+    rows = rows.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(CHUNK) - 1) / COPIES))))
+    copies = rows.join(passes, [KEY, CHUNK]).repartitionByRange(AT, KEY).sortWithinPartitions(AT, KEY).select(f"{ROW}.*")
     return copies.unionByName(docs.where(F.size(words(F.col("text"))) == 0))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids written as binary records and read back: doc_id, start, n_tokens, ids_crc32."""
-    return encoded(docs)
+    """Token ids written as binary records and read back: doc_id, start, n_tokens, ids_crc32. The files stay in the folder
+    that the setting spark.stratalake.tokens.dir names, under a name of their own; where it is unset they go with the driver."""
+    folder = spark.conf.get(TOKENS_DIR, None)
+    return encoded(docs, folder and f"{folder.rstrip('/')}/tokens-{uuid.uuid4().hex}")
 
 
 STAGES = [

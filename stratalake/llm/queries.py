@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, language, mixing, quality, rules, secrets, simhash, token_output, toxicity, url_filter
@@ -23,7 +22,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round("first_position", 9).alias("first_position"), "passes")
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +60,13 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
 
-def encoded(docs: DataFrame) -> DataFrame:
-    path = new_dir(docs.sparkSession, "tokens")
-    token_output.write_records(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """docs, a stored table, written as token records and read back. The files stay under `path`; without one they lie in
+    the shared folder until the driver ends."""
+    import public_tokenizers
+
+    path = path or new_dir(docs.sparkSession, "tokens")
+    token_output.write_records(docs, path, public_tokenizers.path("word_bpe_49k.json"), split_on_space=True, part_equal=True)
     return token_output.read_records(docs.sparkSession, path)
 
 

@@ -27,8 +27,11 @@ from pyspark.sql.window import Window
 
 #: The id that ends each document.
 END = 1
-#: Bytes after which a task begins another file; rows of a range of ids; rows tokenised or read at a time; words that a worker remembers.
-FILE_BYTES, RANGE_ROWS, BATCH, MEMO_WORDS = 32 << 20, 4000, 256, 800_000
+#: Bytes after which a task begins another file; rows tokenised or read at a time; words that a worker remembers.
+FILE_BYTES, BATCH, MEMO_WORDS = 32 << 20, 256, 800_000
+#: Bytes of text and rows of a range of ids at most, ranges for each core where the whole is small, and the characters by
+#: which rows of one id are put in order first.
+RANGE_BYTES, RANGE_ROWS, RANGES_EACH, LEADING = 128 << 20, 200_000, 6, 64
 MANIFEST = "part int, file int, path string, records long, ids long"
 
 
@@ -142,19 +145,30 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bool = True) -> DataFrame:
+def ranges_of(rows: int, size: int, cores: int) -> int:
+    """Ranges for `rows` rows with `size` bytes of text: bounded ones, and RANGES_EACH a core unless that makes them tiny."""
+    return max(1, -(-size // RANGE_BYTES), -(-rows // RANGE_ROWS), min(RANGES_EACH * cores, size >> 20))
+
+
+def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bool = False, part_equal: bool = False) -> DataFrame:
     """Encodes every whole text of docs (doc_id, text) and writes its ids under `path`; returns the manifest.
 
-    Documents are written in ascending order of doc_id, null ids first, rows of one id by text, null texts (which are
-    encoded as empty ones) first. Repeated rows are written as often as they occur; other columns are not read. An empty
-    table gives an empty manifest and no file. `path` is a folder that all executors reach, by an address that Arrow
-    knows (file, hdfs, s3, gs). Ranges of ids hold about RANGE_ROWS rows, also where one id fills several of them: rows
-    of one id are then parted by their text's hash, and equal rows may stand in any order as they are equal.
+    Documents are written in ascending order of doc_id, null ids first, rows of one id by their first LEADING characters,
+    null texts (which are encoded as empty ones) first, and then by the hash of the text. Repeated rows are written as often
+    as they occur; other columns are not read. An empty table gives an empty manifest and no file. `path` is a folder that
+    all executors reach, by an address that Arrow knows (file, hdfs, s3, gs).
+
+    Ranges of rows in this order are bounded in bytes and rows, also where one id fills several of them. Rows equal
+    in id and text stand in one range unless `part_equal`, which deals them by their place in the input: give it for a
+    table read from storage only, whose rows a task that runs again finds in their old places.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranges = max(1, -(-docs.select("doc_id").count() // RANGE_ROWS))
-    ordered = rows.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    counted = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    ranges = ranges_of(counted.n, counted.bytes, spark.sparkContext.defaultParallelism)
+    order = [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, LEADING).asc_nulls_first(), F.xxhash64("text").asc()]
+    equal = [F.monotonically_increasing_id().asc()] if part_equal else []
+    ordered = rows.repartitionByRange(ranges, *order, *equal).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, (fs, base) = encoder_of(tokenizer, split_on_space), open_fs(path)
