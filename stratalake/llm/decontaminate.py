@@ -1,9 +1,10 @@
 """Benchmark decontamination with built-in functions only.
 
-The benchmark's windows of words form a hash set that every task gets as a constant: a bitset over the hashes of the
-windows' first words, which a document's positions are held against first, and buckets of the windows themselves, in
-which the positions that pass are looked up exactly. So documents are neither exploded nor shuffled. A set of more than
-`block_windows` windows is split, and all documents run against each block in turn.
+The benchmark's distinct windows of words are a table. A document's positions are first held against a bitset of fixed size
+over the hashes of the windows' first words, so that only the few that pass are emitted, each with its words; these are
+verified against the windows themselves, by a broadcast hash set where the table's counted size allows it and by a salted
+shuffle where it does not. What a text holds is then gathered by the text's digest and joined to the documents. The
+plan and what the driver holds have the same size whatever the benchmark's.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, settled
+from .common import ascii_lower, settled, stored
 
 #: Fixed value: characters that separate words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WINDOW, ANCHOR = 13, 3
-#: Windows of one constant hash set, and bits and buckets of a window in it.
-BLOCK_WINDOWS, BITS_EACH, BUCKETS_EACH = 20_000, 16, 1
+#: Windows that are sent to all tasks at most, bits of the bitset, bytes of any table sent to all tasks, shares of a shuffled key.
+BLOCK_WINDOWS, BITS, SENT_BYTES, SALTS = 200_000, 1 << 20, 32 << 20, 32
 
 
 def bench_words(text: Column) -> Column:
@@ -31,9 +32,9 @@ def anchor(words: str, at: Column, n: int) -> Column:
 
 
 def bench_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (n, win, anchor, items): each distinct window, its length, the hash of its first words, and its items' ids.
+    """Distinct rows (n, win, anchor, item_id): each item's windows, their lengths and the hashes of their first words.
 
-    Items of fewer than `window` words, but not none, are one window. Items with a null id count as windows without an id.
+    Items of fewer than `window` words, but not none, are one window. Items with a null id give windows without an id.
     """
     split = benchmark.select(F.col("item_id").cast("string").alias("item_id"), bench_words(F.col("text")).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
@@ -42,83 +43,94 @@ def bench_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         *[anchor("w", F.col("at"), k).alias(f"a{k}") for k in range(1, ANCHOR + 1)],
     )
     key = F.coalesce(*[F.when(F.col("n") >= k, F.col(f"a{k}")) for k in range(ANCHOR, 0, -1)])
-    return rows.groupBy("n", "win", key.alias("anchor")).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-
-
-def constant(value: list, kind: str) -> Column:
-    """A literal of nested arrays, as one constant."""
-    return F.from_json(F.lit(json.dumps({"v": value}, ensure_ascii=False)), f"v {kind}")["v"]
-
-
-class Block:
-    """One constant hash set: windows of some lengths."""
-
-    def __init__(self, rows: list):
-        self.lengths = sorted({r.n for r in rows})
-        self.bits = 1 << max(10, (BITS_EACH * len(rows)).bit_length())
-        words = [0] * (self.bits // 64)
-        for r in rows:
-            h = r.anchor % self.bits
-            words[h // 64] |= 1 << h % 64
-        self.bitset = constant([w - (1 << 64) if w >> 63 else w for w in words], "array<bigint>")
-        self.buckets = max(1, len(rows) * BUCKETS_EACH)
-        table = [[] for _ in range(self.buckets)]
-        for r in rows:
-            table[r.hash % self.buckets].append({"w": r.win, "i": list(r.items)})
-        self.table = constant(table, "array<array<struct<w:string,i:array<string>>>>")
-
-    def hits(self, words: str) -> Column:
-        """Structs (at, n, items) of the windows that occur in the array column `words`, by place."""
-        found = []
-        for size in sorted({min(n, ANCHOR) for n in self.lengths}):
-            places = F.sequence(F.lit(0), F.size(words) - size)
-            bit = lambda at: F.pmod(anchor(words, at, size), F.lit(self.bits))  # noqa: B023, E731
-            passed = F.filter(places, lambda at: self.test(bit(at)))  # noqa: B023
-            passed = F.when(F.size(words) >= size, passed).otherwise(F.array().cast("array<int>"))
-            for n in (n for n in self.lengths if min(n, ANCHOR) == size):
-                fits = F.filter(passed, lambda at: at + n <= F.size(words))  # noqa: B023
-                found.append(F.flatten(F.transform(fits, lambda at: self.look_up(at, F.array_join(F.slice(words, at + 1, F.lit(n)), " "), n))))  # noqa: B023
-        return F.concat(*found)
-
-    def test(self, bit: Column) -> Column:
-        word = F.get(self.bitset, F.shiftright(bit, 6).cast("int"))
-        return F.call_function("getbit", word, F.pmod(bit, F.lit(64)).cast("int")) == 1
-
-    def look_up(self, at: Column, win: Column, n: int) -> Column:
-        bucket = F.get(self.table, F.pmod(F.xxhash64(win), F.lit(self.buckets)).cast("int"))
-        return F.transform(F.filter(bucket, lambda e: e["w"] == win), lambda e: F.struct(at.alias("at"), F.lit(n).alias("n"), e["i"].alias("items")))
+    return rows.select("n", "win", key.alias("anchor"), "item_id").distinct()
+
+
+def bitset(windows: DataFrame) -> Column:
+    """A constant array of BITS / 64 integers with the bits of the windows' anchors set. Tasks unite bits into integers, so
+    the driver gets BITS / 64 rows at most."""
+    bit = F.pmod("anchor", F.lit(BITS))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    found = windows.groupBy(F.shiftright(bit, 6).cast("int").alias("at")).agg(F.bit_or(mask).alias("mask")).collect()
+    whole = [0] * (BITS // 64)
+    for r in found:
+        whole[r.at] = r["mask"]
+    return F.from_json(F.lit(json.dumps({"v": whole})), "v array<bigint>")["v"]
+
+
+def candidates(words: str, bits: Column, lengths: list[int]) -> Column:
+    """Structs (at, n, win) of the places in the array column `words` whose first words pass the bitset, for each length."""
+    found = []
+    for size in sorted({min(n, ANCHOR) for n in lengths}):
+        bit = lambda at: F.pmod(anchor(words, at, size), F.lit(BITS))  # noqa: B023, E731
+        set_at = lambda b: F.call_function("getbit", F.get(bits, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
+        passed = F.filter(F.sequence(F.lit(0), F.size(words) - size), lambda at: set_at(bit(at)))  # noqa: B023
+        passed = F.when(F.size(words) >= size, passed).otherwise(F.array().cast("array<int>"))
+        for n in (n for n in lengths if min(n, ANCHOR) == size):
+            fits = F.filter(passed, lambda at: at + n <= F.size(words))  # noqa: B023
+            found.append(F.transform(fits, lambda at: F.struct(at.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice(words, at + 1, F.lit(n)), " ").alias("win"))))  # noqa: B023
+    return F.concat(*found)
+
+
+def verified(rows: DataFrame, windows: DataFrame, sent: bool, how: str) -> DataFrame:
+    """rows joined to windows on win. Shuffled, a window that very many rows hold is dealt to SALTS tasks."""
+    if sent:
+        return rows.join(F.broadcast(windows), "win", how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    each = windows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(each, ["win", "_salt"], how).drop("_salt")
+
+
+def text_hits(texts: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame | None:
+    """For texts (key, text), a row (key, items, spans) for each key with a hit: items are the ids, as sorted strings, of items with
+    windows in the text, spans the hit runs of words (first, end exclusive). None if the benchmark has no window.
+
+    Windows are sent to all tasks if they are at most block_windows and SENT_BYTES, which is counted.
+    """
+    windows = stored(bench_windows(benchmark, window), "windows")
+    distinct = windows.select("n", "win", "anchor").distinct()
+    lengths = sorted(r.n for r in distinct.select("n").distinct().collect())
+    if not lengths:
+        return None
+    counted = windows.agg(F.count("*").alias("n"), F.sum(F.octet_length("win") + F.coalesce(F.octet_length("item_id"), F.lit(0))).alias("bytes")).first()
+    sent = counted.n <= block_windows and counted.bytes <= SENT_BYTES
+    split = texts.select("key", bench_words(F.col("text")).alias("w"))
+    passed = split.select("key", F.inline(candidates("w", bitset(distinct), lengths)))
+    hits = stored(verified(passed, distinct.select("win"), sent, "left_semi").distinct(), "hits")
+    begin = F.from_json(F.lit("[]"), "array<struct<first:int,end:int>>")
+    alone = lambda h: F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))
+    last = lambda acc: F.element_at(acc, -1)
+    longer = lambda acc, h: F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["end"], h["at"] + h["n"]).alias("end"))))
+    joined = lambda acc, h: F.when(F.size(acc) == 0, alone(h)).when(h["at"] <= last(acc)["end"], longer(acc, h)).otherwise(F.concat(acc, alone(h)))
+    places = hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("places"))
+    spans = places.select("key", F.aggregate("places", begin, joined).alias("spans"))
+    of_item = verified(hits.select("key", "win").distinct(), windows.where("item_id IS NOT NULL").select("win", "item_id").distinct(), sent, "inner")
+    items = of_item.groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    return spans.join(items, "key", "left")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, out: str = "bench") -> DataFrame:
     """docs with a struct column `out` (replacing one of that name): n_words, n_hit, items, spans.
 
-    A word is hit if it lies in any occurrence of a window; items are the ids of items with occurring windows, as sorted
-    strings; spans are the hit runs of words (first, end exclusive). Null and empty texts have no words. An empty
-    benchmark hits nothing. Rows are judged one by one, so repeated rows give repeated results; other columns stay.
-    The benchmark's windows are read once, by the driver, block by block of `block_windows`.
+    A word is hit if it lies in any occurrence of a window; items and spans are those of text_hits(). Null and empty texts
+    have no words. An empty benchmark hits nothing. Rows with one text are found by its digest and have equal results;
+    all rows and other columns stay. The texts with hits are sent to all tasks if they come to SENT_BYTES or less, else
+    documents are shuffled to them.
     """
-    windows = bench_windows(benchmark, window).withColumn("hash", F.xxhash64("win")).orderBy("hash", "win")
-    blocks, rows = [], []
-    for row in windows.toLocalIterator():
-        rows.append(row)
-        if len(rows) == block_windows:
-            blocks.append(Block(rows))
-            rows = []
-    if rows:
-        blocks.append(Block(rows))
-    result = docs.withColumn("_stratalake_bw", bench_words(F.col(text)))
-    none = F.from_json(F.lit("[]"), "array<struct<at:int,n:int,items:array<string>>>")
-    result = result.withColumn("_stratalake_bh", none if not blocks else F.concat(*[b.hits("_stratalake_bw") for b in blocks]))
-    if len(blocks) > 1 or any(len(b.lengths) > 1 for b in blocks):
-        result = result.withColumn("_stratalake_bh", F.sort_array("_stratalake_bh"))
-    begin = F.from_json(F.lit("[]"), "array<struct<first:int,end:int>>")
-    last = lambda acc: F.element_at(acc, -1)
-    joined = lambda acc, h: F.when((F.size(acc) > 0) & (h["at"] <= last(acc)["end"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["end"], h["at"] + h["n"]).alias("end"))))).otherwise(F.concat(acc, F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))
-    result = result.withColumn("_stratalake_bs", F.when(F.size("_stratalake_bh") == 0, begin).otherwise(F.aggregate("_stratalake_bh", begin, lambda acc, h: F.when(F.size(acc) > 0, joined(acc, h)).otherwise(F.array(F.struct(h["at"].alias("first"), (h["at"] + h["n"]).alias("end")))))))
-    n_hit = F.aggregate("_stratalake_bs", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
-    items = F.sort_array(F.array_distinct(F.flatten(F.transform("_stratalake_bh", lambda h: h["items"]))))
-    found = F.struct(F.size("_stratalake_bw").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), F.col("_stratalake_bs").alias("spans"))
-    return result.withColumn(out, settled(found)).drop("_stratalake_bw", "_stratalake_bh", "_stratalake_bs")
+    none = {"items": F.array().cast("array<string>"), "spans": F.from_json(F.lit("[]"), "array<struct<first:int,end:int>>")}
+    found = text_hits(docs.select(F.md5(text).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL"), benchmark, window, block_windows)
+    if found is None:
+        result = docs.withColumns({f"_stratalake_{c}": v for c, v in none.items()})
+    else:
+        found = stored(found.select(F.col("key").alias("_stratalake_hit"), *[F.coalesce(c, v).alias(f"_stratalake_{c}") for c, v in none.items()]), "found")
+        size = 64 + 8 * F.size("_stratalake_spans") + F.octet_length(F.array_join("_stratalake_items", ",   "))
+        small = found.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= SENT_BYTES
+        keyed = docs.withColumn("_stratalake_text", F.md5(text))
+        result = keyed.join(F.broadcast(found) if small else found, F.col("_stratalake_text") == F.col("_stratalake_hit"), "left")
+        result = result.withColumns({f"_stratalake_{c}": F.coalesce(f"_stratalake_{c}", v) for c, v in none.items()})
+    n_hit = F.aggregate("_stratalake_spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
+    bench = F.struct(F.size(bench_words(F.col(text))).cast("long").alias("n_words"), n_hit.alias("n_hit"), F.col("_stratalake_items").alias("items"), F.col("_stratalake_spans").alias("spans"))
+    return result.withColumn(out, settled(bench)).drop("_stratalake_text", "_stratalake_hit", *[f"_stratalake_{c}" for c in none])
 
 
 def contaminated(bench: str = "bench") -> Column:
