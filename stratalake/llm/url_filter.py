@@ -5,7 +5,8 @@ the automaton on byte c is D = ((D << 1) & STEP[c]) | (D & STAY[c]): Shift-And,
 a `*` stands. All rules run at once over each canonical URL, and whole Arrow batches of URLs run side by side in numpy.
 
 A rule is `hostglob/pathglob`, matched against the canonical form `.host/path` (host in lower case, no query or
-fragment). `*` in the host part stands for any characters but `/`, in the path part for any characters; `?` for one.
+fragment). `*` in the host part stands for any characters but `/`, in the path part for any characters; `?` for one
+character, of however many bytes.
 """
 
 from __future__ import annotations
@@ -74,7 +75,13 @@ class Automaton:
         self.step, self.stay = np.zeros((256, self.words), np.uint64), np.zeros((256, self.words), np.uint64)
         self.start = np.zeros(self.words, np.uint64)
         for bit, c in step:
-            self.step[slice(None) if c == ord("?") else c, bit // 64] |= np.uint64(1 << bit % 64)
+            mask = np.uint64(1 << bit % 64)
+            if c == ord("?"):  # one character: its first byte leads on, the bytes that continue it stay
+                self.step[:0x80, bit // 64] |= mask
+                self.step[0xC0:, bit // 64] |= mask
+                self.stay[0x80:0xC0, bit // 64] |= mask
+            else:
+                self.step[c, bit // 64] |= mask
         for bit, in_host in stay:
             self.stay[:, bit // 64] |= np.uint64(1 << bit % 64)
             if in_host:
