@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fold
+from .common import SAMPLE_BYTES, fold, within_bytes
 
 #: Hashed features, characters of the longest n-gram, characters handled at a time.
 BUCKETS, LONGEST, PIECE = 1 << 15, 3, 400_000
@@ -132,10 +132,10 @@ def train(texts: list[str], langs: list[str], kept_back: np.ndarray, inverse: np
     return Model(names, (weights * inverse[:, None]).astype(np.float32), bias.astype(np.float32), float(min(np.geomspace(0.02, 8, 81), key=loss)))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
+def fit(docs: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model | None:
     """A model from docs (doc_id, text, lang), null languages left out; None without any. Document frequencies cover all
-    of docs, the regression at most `sample` of them, chosen by a hash of the id, one row per id: that whose text has the
-    least hash."""
+    of docs, the regression at most `sample` of them with `most_bytes` of text, chosen by a hash of the id, one row per id:
+    that whose text has the least hash."""
     docs = docs.where(F.col("lang").isNotNull())
     found, n = frequencies(docs)
     if not n:
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     chosen = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_h")).distinct().orderBy("_h", "_id").limit(sample).select("_id")
     row = F.min_by(F.struct("text", "lang"), F.struct(F.xxhash64("text"), "lang")).alias("row")
     found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(row).select("doc_id", "row.text", "row.lang")
-    rows = sorted(found.collect(), key=lambda r: r.doc_id)
+    rows = sorted(within_bytes(found, most_bytes).collect(), key=lambda r: r.doc_id)
     back = np.array([zlib.crc32(b"back" + str(r.doc_id).encode()) % 5 == 0 for r in rows])
     return train([r.text or "" for r in rows], [str(r.lang) for r in rows], back, inverse)
 

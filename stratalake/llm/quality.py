@@ -188,8 +188,8 @@ def train(x: np.ndarray, y: np.ndarray, kept_back: np.ndarray) -> Network:
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str = "quality_score") -> DataFrame:
     """docs with a score from 0 to 1 in column `out` (replacing one of that name): how likely the label 1 is.
 
-    The word vectors come from all texts; the network is fitted on at most `sample` rows of `labels` (doc_id, quality)
-    whose crc32(doc_id as text) mod 5 is not 0, a fifth of them kept back for the temperature. Documents with a null id
+    The word vectors come from all texts; the network is fitted on at most `sample` rows of `labels` (doc_id, quality), with
+    at most SAMPLE_BYTES of text (common.labelled_sample), whose crc32(doc_id as text) mod 5 is not 0, a fifth of them kept back for the temperature. Documents with a null id
     are scored, never learned from; doc_id, lang and source are no inputs. Null, empty and blank texts share one
     score, that of no words. Labels of one kind only give all documents that kind's smoothed share. Rows and other
     columns stay.

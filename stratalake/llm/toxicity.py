@@ -221,9 +221,10 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.1) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` rows of `labels` (doc_id, toxic) whose documents are in docs, chosen by a hash.
+    """A model from at most `sample` rows of `labels` (doc_id, toxic) whose documents are in docs, chosen by a hash, with at most
+    SAMPLE_BYTES of text (common.labelled_sample), and from all their sequences of words.
 
-    The rows are the bound of what the driver holds. With no labelled document, or labels of one kind only, every score
+    These are the bounds of what the driver holds. With no labelled document, or labels of one kind only, every score
     is that kind's smoothed share.
     """
     rows = sorted(labelled_sample(docs, labels, "toxic", sample).collect(), key=lambda r: r.doc_id)
@@ -244,8 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     parts = []
     for n, label in zip(numbers, y):
         for lo in range(0, len(n), SEQUENCE):
-            if label or zlib.crc32(n[lo : lo + 4].tobytes()) % 4 == 0:  # a quarter of the clean sequences is enough of them
-                parts.append((n[lo : lo + SEQUENCE], label))
+            parts.append((n[lo : lo + SEQUENCE], label))
     ids, tags, length = np.zeros((len(parts), SEQUENCE), np.int32), np.zeros((len(parts), SEQUENCE), np.int8), np.zeros(len(parts), np.int64)
     for k, (n, label) in enumerate(parts):
         ids[k, : len(n)], length[k] = n, len(n)
@@ -292,6 +292,9 @@ def tag(text: Column, model: Model, spark) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out: str = "toxicity") -> DataFrame:
     """docs with the struct of tag() in column `out`, which replaces one of that name; rows and other columns stay.
 
+    A score looks at the words whose marginal is LEAST_MARGINAL or more: for each different one the largest marginal, all
+    of them by a noisy or; words below that add nothing.
+
     The model is fitted on documents whose crc32(doc_id as text) mod 3 is not 1; documents with a null id are never
     learned from. doc_id, lang and source are no inputs of a score.
     """
