@@ -115,7 +115,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"b": at.astype(np.int32), "n": seen[at]} | {f"v{i}": total[at, i] for i in range(DIM)})
 
     columns = [f"v{i}" for i in range(DIM)]
-    rows = docs.select("text").mapInPandas(run, "b int, n long, " + ", ".join(f"{c} long" for c in columns)).groupBy("b").agg(*[F.sum(c).alias(c) for c in ("n", *columns)]).toPandas()
+    rows = docs.select("text").mapInPandas(run, "b int, n long, " + ", ".join(f"{c} long" for c in columns)).groupBy("b").agg(*[F.sum(c).alias(c) for c in ("n", *columns)]).toPandas().sort_values("b")
     table = np.zeros((BUCKETS, DIM), np.float32)
     if len(rows):
         sums, n = rows[columns].to_numpy(float), rows.n.to_numpy(float)

@@ -70,3 +70,17 @@ def test_query(spark, data):
     for r in queries.op3_benchmark_decontamination(spark, data).collect():
         n, hit, found = want[r.doc_id]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(found), hit > 0 and 20 * hit >= n)
+
+
+def test_plan_is_as_large_for_any_benchmark(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    size = lambda n: len(d.decontaminate(docs, spark.range(n).select(F.col("id").alias("item_id"), F.concat(F.lit("w "), F.col("id")).alias("text")))._jdf.queryExecution().optimizedPlan().toString())
+    assert size(2000) < 1.1 * size(20) and size(20) < 20_000
+
+
+def test_common_window_and_many_items(spark, monkeypatch):
+    monkeypatch.setattr(d, "SENT_BYTES", 0)  # all joins shuffle
+    items = spark.range(50).select(F.col("id").alias("item_id"), F.lit("a b c").alias("text"))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("A b C "), F.col("id")).alias("text"))
+    got = d.decontaminate(docs, items).collect()
+    assert len(got) == 300 and {(r.bench.n_hit, len(r.bench["items"])) for r in got} == {(3, 50)}

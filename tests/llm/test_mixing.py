@@ -84,3 +84,24 @@ def test_dealt_equals_plain_shares(spark, odd, empty):
     assert sorted((str(r.doc_id), r.row_hash, r.taken) for r in got.collect()) == sorted((str(r.doc_id), r.row_hash, r.taken) for r in m.mix(odd).collect())
     assert got.where("size = 0 AND taken = 0").count() == 4 and [r.position for r in order.collect()] == sorted(r.position for r in order.collect())
     assert m.dealt(empty)[0].count() == 0
+
+
+def test_ramps_decide_positions_and_order(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    orders, shares = [], []
+    for ramps in ((0.5, 0.0, -0.5), (0.0, 0.0, 0.0), (-0.5, 0.0, 0.5)):
+        rows = m.training_order(m.mix(docs, ramps=ramps)).collect()
+        orders.append([(r.doc_id, r["pass"]) for r in rows])
+        first = min(r.source for r in rows if r.source is not None)
+        shares.append(sum(r.pass_words for r in rows if r.source == first and r.position < 0.5))
+    assert orders[0] != orders[1] != orders[2] and shares[0] < shares[1] < shares[2]
+    assert len({frozenset(o) for o in orders}) == 1
+
+
+def test_equal_rows_and_hot_ids_are_placed_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(m, "RUN_ROWS", 10)
+    docs = spark.createDataFrame([(None, "a b c", "s")] * 40 + [(7, f"x{i} y", "s") for i in range(200)] + [(1, "q", "t")], "doc_id long, text string, source string")
+    rows = m.mix(docs).collect()
+    assert len(rows) == 241 and sorted(r.copy for r in rows if r.doc_id is None) == list(range(40))
+    spans = sorted((r.place, r.size) for r in rows if r.source == "s")
+    assert spans == [(sum(n for _, n in spans[:i]), n) for i, (_, n) in enumerate(spans)]

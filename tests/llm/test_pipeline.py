@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm import mixing
@@ -70,3 +71,30 @@ def test_mixing_takes_positioned_passes(spark, odd):
     place = {(r.doc_id, r.row_hash): r.position for r in reversed(passes.collect())}
     firsts = list(dict.fromkeys((r.doc_id, r.row_hash) for r in sized))
     assert [place[k] for k in firsts] == sorted(place[k] for k in firsts)
+
+
+@pytest.fixture
+def clashing(odd):
+    """Columns named as working columns might be, and documents' own."""
+    return odd.select("doc_id", "text", "lang", "source", *[F.lit(f"own {c}").alias(c) for c in ("_toxicity", "_bench", "_hash", "_id", "_source", "_copies", "_rows", "_n", "fp", "root", "key", "n", "size", "target", "bench", "toxicity", "place", "copies", "w", "m")])
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_clashing_names_empty_tables_and_repeated_rows(spark, clashing, data, at):
+    name, stage = corpus_pipeline.STAGES[at]
+    docs = stored(clashing.unionByName(clashing), "clashing")
+    got = stage(spark, docs, data)
+    assert stage(spark, docs.where("false"), data).count() == 0
+    if name == "tokens":
+        assert got.count() == docs.count()
+        return
+    assert got.columns == docs.columns and set(map(str, got.collect())) <= set(map(str, docs.collect()))
+    ids = Counter(r.doc_id for r in got.collect())
+    assert ids[9] == (1 if name == "near_copies" else ids[9]) and ids[9] >= 1
+
+
+def test_equal_rows_share_no_more_copies_than_passes(spark):
+    docs = spark.createDataFrame([(5, "a b c d", "en", "s", None)] * 3 + [(6, "e f g h i j k l", "en", "t", None)], "doc_id long, text string, lang string, source string, n_chars long")
+    passes = mixing.training_order(mixing.mix(docs)).where("2 * pass_words >= size").groupBy("doc_id").count().collect()
+    got = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    assert got == {r.doc_id: r["count"] for r in passes} and got[5] <= 6

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stratalake.llm import queries, simhash as s
+from stratalake.llm import common as s_common, queries, simhash as s
 from stratalake.llm.components import components
 
 from .conftest import prose
@@ -108,3 +108,25 @@ def test_query(spark, data):
         assert (r.fingerprint, r.component_id) == ("%016x" % prints[r.doc_id], roots[r.doc_id])
 
 
+
+
+def test_hot_fingerprint_and_class_are_not_gathered(spark, monkeypatch):
+    """One text for most rows and one class of many fingerprints: their rows stay in the tasks that hold them."""
+    monkeypatch.setattr(s_common, "HOT_ROWS", 20)
+    rows = spark.range(4000).select(F.col("id").alias("fp"), F.lit(7).alias("v")).withColumn("fp", F.when(F.col("fp") % 4 > 0, F.lit(0).cast("long")).otherwise(F.col("fp"))).repartition(8)
+    found = rows.groupBy("fp").agg(F.count("*").alias("n")).withColumn("component_id", F.col("fp"))
+    got = s_common.looked_up(rows, found, ["fp"], 4000)
+    assert got.columns == ["fp", "v", "component_id"] and got.count() == 4000 and got.where("fp <> component_id").count() == 0
+    hot = got.where("fp = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(hot) >= 8 and max(r["count"] for r in hot) < 600
+    edges = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(i, i + 1000) for i in range(1, 300)], "a long, b long")
+    assert {r.root for r in components(edges).collect()} == {0}
+
+
+def test_bound_is_tested_in_large_cells():
+    r = np.random.default_rng(5)
+    members = np.unique(np.r_[r.integers(0, 1 << 63, 100, dtype=np.uint64), np.uint64(1) << np.arange(60, dtype=np.uint64)])
+    a, b = s.linked(members, np.array([0, len(members)]), 4)
+    assert (np.bitwise_count(a ^ b) <= 4).all()
+    want = plain_classes(members.tolist(), lambda x, y: (x ^ y).bit_count() <= 4)
+    assert len(a) == len(members) - len(set(want.values()))

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratalake.llm import queries, token_output as t
@@ -81,3 +82,28 @@ def test_query(spark, data, library):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     got = sorted((tuple(r) for r in queries.op9_token_output(spark, data).collect()), key=lambda r: r[1])
     assert got == expected(docs, library)
+
+
+def parts(manifest):
+    return manifest.select("part").distinct().count()
+
+
+def test_one_id_fills_several_ranges(spark, library, monkeypatch):
+    monkeypatch.setattr(t, "RANGE_ROWS", 100)
+    docs = spark.range(2000).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("boilerplate " * 9), F.col("id").cast("string")).alias("text"))
+    path = new_dir(spark, "test")
+    manifest = t.write_records(docs, path, PATH)
+    assert parts(manifest) > 10 and manifest.agg({"records": "max"}).first()[0] < 400 and t.read_records(spark, path).count() == 2000
+    equal, path = docs.withColumn("text", F.lit("same")), new_dir(spark, "test")
+    manifest = t.write_records(equal, path, PATH, part_equal=True)
+    assert parts(manifest) > 10 and manifest.agg({"records": "sum"}).first()[0] == 2000
+
+
+def test_ranges_are_bounded():
+    assert t.ranges_of(0, 0, 8) == 1 and t.ranges_of(10**10, 10**14, 8000) == 10**14 // t.RANGE_BYTES + 1
+    assert t.ranges_of(1000, 1 << 20, 8) == 1 and t.ranges_of(300_000, 1 << 29, 8) == 8 * t.RANGES_EACH
+
+
+def test_files_stay_where_they_are_asked_to(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert queries.encoded(docs, f"file://{tmp_path}/kept").count() == 1 and list((tmp_path / "kept").glob("*.rec"))

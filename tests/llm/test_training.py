@@ -1,0 +1,151 @@
+"""Training steps of the fitted operators against plain forms: enumeration, numerical gradients, one-row-at-a-time updates."""
+
+import math
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import common, language, quality, toxicity
+
+from .conftest import prose
+
+
+def test_hashed_ngrams_equal_plain_runs():
+    texts = ["Ab c", "", "ÉÜ 漢字", "x" * 50]
+    seen = {}
+    for features, cut in language.hashed(texts):
+        for t, a, b in zip(texts, cut[:-1], cut[1:]):
+            seen[t] = features[a:b].tolist()
+    known = {}
+    for t, found in seen.items():
+        padded = " " + " ".join(t.lower().split()) + " "
+        plain = [padded[i : i + k] for k in range(1, language.LONGEST + 1) for i in range(len(padded) - k + 1)]
+        assert len(found) == len(plain)
+        for gram, f in zip(plain, found):
+            assert known.setdefault(gram, f) == f  # one gram, one feature, wherever it stands
+    assert len(set(known.values())) > 0.95 * len(known)
+
+
+def test_document_frequencies(spark):
+    texts = ["ab", "b", None, "ab ab", "zz"]
+    found, n = language.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    want = np.zeros(language.BUCKETS)
+    for t in texts:
+        for features, cut in language.hashed([t or ""]):
+            want[np.unique(features)] += 1
+    assert n == 5 and (found == want).all()
+
+
+def test_leader_equals_plain_updates(monkeypatch):
+    monkeypatch.setattr(language, "PASSES", 2)
+    monkeypatch.setattr(language, "UPDATES", 1)
+    r = np.random.default_rng(4)
+    rows = []
+    for _ in range(6):
+        f = np.sort(r.choice(40, 5, replace=False))
+        rows.append((np.r_[f, language.BUCKETS], np.r_[r.random(5), 1.0], int(r.integers(3))))
+    got, bias = language.leader(rows, 3)
+    z, n = {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= language.L1:
+            return 0.0
+        return -(z[key] - math.copysign(language.L1, z[key])) / ((language.BETA + math.sqrt(n[key])) / language.ALPHA + language.L2)
+
+    order = np.random.default_rng(3)
+    for _ in range(2):
+        for i in order.permutation(6):
+            f, x, y = rows[i]
+            w = {(a, c): weight((a, c)) for a in f for c in range(3)}
+            s = [sum(w[a, c] * v for a, v in zip(f, x)) for c in range(3)]
+            total = sum(math.exp(v) for v in s)
+            for a, v in zip(f, x):
+                for c in range(3):
+                    g = v * (math.exp(s[c]) / total - (c == y))
+                    old = n.get((a, c), 0.0)
+                    z[a, c] = z.get((a, c), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / language.ALPHA * w[a, c]
+                    n[a, c] = old + g * g
+    for a in range(40):
+        np.testing.assert_allclose(got[a], [weight((a, c)) for c in range(3)], atol=1e-9)
+    np.testing.assert_allclose(bias, [weight((language.BUCKETS, c)) for c in range(3)], atol=1e-9)
+
+
+def test_probabilities_are_tf_idf_scores():
+    texts = ["der die das", "the and of", "le la les"] * 4
+    inverse = np.linspace(1, 2, language.BUCKETS)
+    model = language.train(texts, ["de", "en", "fr"] * 4, np.array([False] * 9 + [True] * 3), inverse)
+    got = model.probabilities(["the la", "x"])
+    for row, t in zip(got, ("the la", "x")):
+        for features, cut in language.hashed([t]):
+            score = model.bias + sum(model.weights[f] for f in features) / len(features)
+            e = np.exp((score - score.max()) / model.temperature)
+            np.testing.assert_allclose(row, e / e.sum(), rtol=1e-4, atol=1e-6)
+    assert model.names == ["de", "en", "fr"] and [model.names[i] for i in model.probabilities(texts[:3]).argmax(axis=1)] == ["de", "en", "fr"]
+
+
+def test_pooled_features_equal_plain_means():
+    texts = ["A b b 12", "", "c"]
+    words, table = quality.Words(), np.random.default_rng(1).normal(size=(quality.BUCKETS, quality.DIM)).astype(np.float32)
+    got = quality.pooled(texts, words, table)
+    for row, t in zip(got, texts):
+        both = [(x >> 16, x & 0xFFFF) for x in map(words.number, t.split())]
+        parts = [f(np.array([table[b[k]] for b in both]), axis=0) if both else np.zeros(quality.DIM) for k in (0, 1) for f in (np.mean, np.std)]
+        np.testing.assert_allclose(row, np.concatenate(parts), atol=1e-3)
+
+
+def test_network_learns_and_is_calibrated():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(1500, 6))
+    truth = 1 / (1 + np.exp(-2 * (np.abs(x[:, 0]) - 1 + x[:, 1])))
+    y = (r.random(1500) < truth).astype(float)
+    net = quality.train(x, y, np.arange(1500) % 5 == 0)
+    p = net.probability(x)
+    assert np.mean(np.abs(p - truth)) < 0.13 and abs(p.mean() - y.mean()) < 0.05
+    back = np.arange(1500) % 5 == 0
+    loss = lambda c: np.logaddexp(0, -net.logits(x[back]) / c * (2 * y[back] - 1)).mean()
+    assert loss(net.temperature) <= min(loss(c) for c in np.geomspace(0.25, 8, 61)) + 1e-9
+
+
+def log_likelihood(emit, trans, tags):
+    score = lambda y: sum(emit[i] * y[i] for i in range(len(y))) + sum(trans[a, b] for a, b in zip(y, y[1:]))
+    return score(tags) - math.log(sum(math.exp(score(y)) for y in product((0, 1), repeat=len(tags))))
+
+
+def test_chain_gradient_is_the_likelihoods():
+    r = np.random.default_rng(6)
+    emit, trans, tags = r.normal(size=5), r.normal(size=(2, 2)), (0, 1, 1, 0, 1)
+    marginal, pairs = toxicity.forward_backward(emit[None], np.array([5]), trans, True)
+    seen = np.zeros((2, 2))
+    for a, b in zip(tags, tags[1:]):
+        seen[a, b] += 1
+    step = 1e-5
+    for i in range(5):
+        up, down = emit.copy(), emit.copy()
+        up[i] += step
+        down[i] -= step
+        slope = (log_likelihood(up, trans, tags) - log_likelihood(down, trans, tags)) / (2 * step)
+        assert abs(slope - (tags[i] - marginal[0, i])) < 1e-6
+    for a, b in product((0, 1), repeat=2):
+        up, down = trans.copy(), trans.copy()
+        up[a, b] += step
+        down[a, b] -= step
+        slope = (log_likelihood(emit, up, tags) - log_likelihood(emit, down, tags)) / (2 * step)
+        assert abs(slope - (seen - pairs)[a, b]) < 1e-6
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(None, "y")], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    rows = [sorted(r.doc_id for r in common.labelled_sample(docs.repartition(n), labels, "quality", 40, most_bytes=1000).collect()) for n in (1, 4)]
+    assert rows[0] == rows[1] and len(rows[0]) == 10
+
+
+@pytest.mark.parametrize("n", [3, 40])
+def test_same_model_on_every_run(spark, n):
+    docs = spark.createDataFrame([(i, prose(i, 30) + (" vile" if i % 2 else " kind"), "de" if i % 3 else "en") for i in range(n)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), (F.col("doc_id") % 2).cast("int").alias("quality"))
+    for f, of in ((lambda d: toxicity.score_toxicity(d, labels), lambda r: r.toxicity.score), (lambda d: quality.score_quality(d, labels), lambda r: r.quality_score), (lambda d: language.identify(d), lambda r: r.language.score)):
+        a, b = ([of(r) for r in sorted(f(docs.repartition(k)).collect(), key=lambda r: r.doc_id)] for k in (1, 3))
+        np.testing.assert_allclose(a, b, atol=1e-6)  # batches of other sizes may round the last digits otherwise
