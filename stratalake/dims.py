@@ -64,11 +64,11 @@ NAMESPACES = {
     "dcat": "http://www.w3.org/ns/dcat#",
     "own": BASE,
 }
+# The reference system of all geometry text, and the window and order of the smoothing.
 CRS = "<http://www.opengis.net/def/crs/EPSG/0/4326>"
-WINDOW, POLYORDER, GAP_KA = 11, 2, 50.0
+WINDOW, POLYORDER = 11, 2
 # Scale and offset that take each proxy's ages to years before 2000.
 DATUM_SHIFTS = {"ch4": (1000.0, 50.0), "d18o": (1000.0, 50.0), "dd": (1.0, 0.0), "do2n2": (1000.0, 50.0), "dust": (1000.0, -8.0)}
-SLICE = (115_000.0, 250_000.0)
 
 
 def iri(name: str, base: str = BASE) -> str:

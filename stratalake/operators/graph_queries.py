@@ -25,14 +25,17 @@ def sites_with_geometry(triples: DataFrame, distinct: bool = False, base: str =
 
 
 def star(triples: DataFrame, predicates: dict[str, str], kind: str | None = None, base: str = BASE) -> DataFrame:
-    """Subjects that have all the predicates (column: prefix:local), one row each, in one shuffle instead of self joins; of
-    one class if `kind` is given. Each predicate must have one value per subject."""
+    """Subjects that have all the predicates (column: prefix:local), one row each; of one class if `kind` is given. One read
+    and one shuffle, also for the class, which is one more column of the same aggregate. Each predicate must have one value
+    per subject."""
     full = {iri(p, base): c for c, p in predicates.items()}
-    found = triples.where(F.col("p").isin(list(full))).groupBy("s").agg(*[F.max(F.when(F.col("p") == p, F.col("o"))).alias(c) for p, c in full.items()]).dropna()
+    p, o = F.col("p"), F.col("o")
+    asked, member = p.isin(list(full)), F.lit(True)
     if kind:
-        members = triples.where((F.col("p") == iri("rdf:type", base)) & (F.col("o") == iri(kind, base))).select("s")
-        found = found.join(members, "s", "left_semi")
-    return found
+        member = (p == iri("rdf:type", base)) & (o == iri(kind, base))
+        asked |= member
+    found = triples.where(asked).groupBy("s").agg(*[F.max(F.when(p == x, o)).alias(c) for x, c in full.items()], F.max(F.when(member, True)).alias("_member"))
+    return found.dropna().drop("_member")
 
 
 def observations_by_age(triples: DataFrame, kind: str, age: str = "sosa:resultTime", value: str = "sosa:hasSimpleResult", smoothed: str = "own:smoothedValue_rollingMedian", base: str = BASE) -> DataFrame:

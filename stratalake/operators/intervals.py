@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..dims import STAGE_KINDS
+from .series import is_small
 
 
-def clip_stages(extents: DataFrame, stages: DataFrame, keys: Sequence[str]) -> DataFrame:
+def binned(stages: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """stages with a row for each bin that they reach into (_bin), and the bin of an age. Bins are as wide as a stage is on
+    average, so that an equality join replaces the comparison of all pairs."""
+    r = stages.agg(F.min("top").alias("a"), F.max("bottom").alias("b"), F.count("*").alias("n")).first()
+    width = max((r.b - r.a) / r.n, 1e-9)
+    of = lambda x: F.floor((x - r.a) / width)
+    return stages.withColumn("_bin", F.explode(F.sequence(of(F.col("top")), of(F.col("bottom"))))), of
+
+
+def clip_stages(extents: DataFrame, stages: DataFrame, keys: Sequence[str], most: int = 10_000) -> DataFrame:
     """Stages clipped to each key's [lo, hi] (…, stage, kind, drawn_as, visible_top, visible_bottom, label_at).
 
-    A stage that only touches the extent is left out. The stage table has a few dozen rows and is sent to all tasks.
+    A stage that only touches the extent is left out. A stage table of at most `most` rows, counted, is sent to all tasks; a larger
+    one is joined by bins of age.
     """
     top, bottom = F.greatest("top", "lo"), F.least("bottom", "hi")
     kinds = F.create_map(*[F.lit(x) for pair in STAGE_KINDS.items() for x in pair])
-    return extents.join(F.broadcast(stages), top < bottom).select(
+    if is_small(stages, most):
+        met = extents.join(F.broadcast(stages), top < bottom)
+    else:
+        spread, of = binned(stages)
+        reach = extents.withColumn("_bin", F.explode(F.sequence(of(F.col("lo")), of(F.col("hi")))))
+        met = reach.join(spread, "_bin").where((top < bottom) & (F.col("_bin") == of(top)))
+    return met.select(
         *keys, "stage", "kind", F.coalesce(F.try_element_at(kinds, F.col("kind")), F.lit("cold")).alias("drawn_as"),
         top.alias("visible_top"), bottom.alias("visible_bottom"), ((top + bottom) / 2).alias("label_at"),
     )
 
 
-def tag_stage(df: DataFrame, stages: DataFrame, age: str = "age") -> DataFrame:
-    """df with the stage whose half-open interval [top, bottom) holds its age, else null; no row is doubled."""
-    return df.join(F.broadcast(stages.select("top", "bottom", "stage")), (F.col(age) >= F.col("top")) & (F.col(age) < F.col("bottom")), "left").drop("top", "bottom")
+def tag_stage(df: DataFrame, stages: DataFrame, age: str = "age", most: int = 10_000) -> DataFrame:
+    """df with the stage whose half-open interval [top, bottom) holds its age, else null; no row is doubled, as stages don't
+    overlap. A stage table of at most `most` rows, counted, is sent to all tasks; a larger one is joined by bins of age."""
+    table, x = stages.select("top", "bottom", "stage"), F.col(age)
+    inside = (x >= F.col("top")) & (x < F.col("bottom"))
+    if is_small(stages, most):
+        return df.join(F.broadcast(table), inside, "left").drop("top", "bottom")
+    spread, of = binned(table)
+    return df.join(spread, (of(x) == F.col("_bin")) & inside, "left").drop("top", "bottom", "_bin")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import number
+from .blocks import in_blocks, largest_key, with_position
 
 
 def coerce(df: DataFrame, columns: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
@@ -36,20 +37,24 @@ def round_by_proxy(df: DataFrame, digits: dict[str, int], value: str = "value",
     return df.withColumn(value, rounded)
 
 
-def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, start: int = 0, out: str = "seq") -> DataFrame:
-    """A running number per key in a total order. Give a tie-break as the last of `order`."""
+def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, start: int = 0, out: str = "seq", block_rows: int | None = None) -> DataFrame:
+    """A running number per key in a total order. Give a tie-break as the last of `order`. With block_rows, keys are numbered
+    in parts if one has more rows than that."""
+    if block_rows and largest_key(df, keys) > block_rows:
+        placed = with_position(df, keys, order, block_rows)
+        return placed.withColumn(out, F.col("pos") - 1 + start).drop(*{"pos", "n"} - {out})
     return df.withColumn(out, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1 + start).cast("bigint"))
 
 
-def summarise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], slice_on: str | None = None, low: float = 0, high: float = 0) -> DataFrame:
-    """Rows, and least and greatest of each column, per key; with slice_on the same again within the closed slice, in the
-    same pass. NaN counts as missing."""
-    clean = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
+def summarise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], slice_on: str | None = None, low: float = 0, high: float = 0, present: Sequence[str] = ()) -> DataFrame:
+    """Rows, and least and greatest of each column, per key; with slice_on the same again within the closed slice, and for the
+    columns of `present` whether the key has any value of it, all in the same pass. NaN counts as missing."""
+    clean = {c: F.when(~F.isnan(c), F.col(c)) for c in {*columns, *present}}
     aggs: list[Column] = [F.count("*").alias("n")] + [f(clean[c]).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
     if slice_on:
         inside = F.col(slice_on).between(low, high)
         aggs += [F.count(F.when(inside, 1)).alias("n_slice")] + [f(F.when(inside, clean[c])).alias(f"{name}_{c}_slice") for c in columns for name, f in (("min", F.min), ("max", F.max))]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, *[(F.count(clean[c]) > 0).alias(f"has_{c}") for c in present])
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -57,17 +62,22 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     return df.groupBy(*keys).agg(*[F.min_by(c, F.struct(*order)).alias(c) for c in columns])
 
 
-def display_extents(df: DataFrame, keys: Sequence[str], value: str, padding: float = 0.05, ticks: dict | None = None) -> DataFrame:
+def display_extents(df: DataFrame, keys: Sequence[str], value: str, padding: float = 0.05, ticks: DataFrame | dict | None = None) -> DataFrame:
     """Axis limits per key (low, high): of the ticks of the first key where given, padded by a twentieth of their span (half
-    a unit if that is 0), else of the data, padded by `padding` of their range."""
+    a unit if that is 0), else of the data, padded by `padding` of their range.
+
+    Ticks are a table (first key, ticks array<double>), or a dict of few keys; keys without ticks use the data.
+    """
     found = df.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     span = F.col("hi") - F.col("lo")
     low, high = F.col("lo") - span * padding, F.col("hi") + span * padding
-    for key, t in (ticks or {}).items():
-        pad = (max(t) - min(t)) * 0.05 or 0.5
-        low = F.when(F.col(keys[0]) == key, F.lit(min(t) - pad)).otherwise(low)
-        high = F.when(F.col(keys[0]) == key, F.lit(max(t) + pad)).otherwise(high)
-    return found.select(*keys, low.alias("low"), high.alias("high"))
+    if ticks is None:
+        return found.select(*keys, low.alias("low"), high.alias("high"))
+    if isinstance(ticks, dict):
+        ticks = df.sparkSession.createDataFrame([(k, [float(x) for x in t]) for k, t in ticks.items()], f"{keys[0]} {dict(df.dtypes)[keys[0]]}, ticks array<double>")
+    found = attach_config(found, ticks.select(keys[0], F.array_min("ticks").alias("_least"), F.array_max("ticks").alias("_most")), [keys[0]], how="left")
+    pad = F.when(F.col("_most") > F.col("_least"), (F.col("_most") - F.col("_least")) * 0.05).otherwise(0.5)
+    return found.select(*keys, F.coalesce(F.col("_least") - pad, low).alias("low"), F.coalesce(F.col("_most") + pad, high).alias("high"))
 
 
 def missing_series(expected: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,22 +85,38 @@ def missing_series(expected: DataFrame, df: DataFrame, keys: Sequence[str]) -> D
     return expected.select(*keys).distinct().join(df.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def find_gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], threshold: float, age: str = "age", value: str = "value") -> DataFrame:
-    """Segments (x1, y1, x2, y2) that bridge steps of age over the threshold; x is the value, y the age."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    both = df.select(*keys, F.lag(value).over(w).alias("x1"), F.lag(age).over(w).alias("y1"), F.col(value).alias("x2"), F.col(age).alias("y2"))
-    return both.where(F.col("y2") - F.col("y1") > threshold)
+def find_gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], threshold: float, age: str = "age", value: str = "value", block_rows: int | None = None) -> DataFrame:
+    """Segments (x1, y1, x2, y2) that bridge steps of age over the threshold; x is the value, y the age. With block_rows, keys
+    are cut into blocks if one has more rows than that."""
+    own, at = F.lit(True), [*keys]
+    if block_rows and largest_key(df, keys) > block_rows:
+        df, own, at, order = in_blocks(with_position(df, keys, order, block_rows), 1, block_rows), F.col("_own"), [*keys, "_block"], ["pos"]
+    w = Window.partitionBy(*at).orderBy(*order)
+    both = df.select(*keys, F.lag(value).over(w).alias("x1"), F.lag(age).over(w).alias("y1"), F.col(value).alias("x2"), F.col(age).alias("y2"), own.alias("_mine"))
+    return both.where(F.col("_mine") & (F.col("y2") - F.col("y1") > threshold)).drop("_mine")
+
+
+def is_small(df: DataFrame, most: int = 100_000) -> bool:
+    """Whether a table has at most `most` rows: counted, and no further than that."""
+    return df.limit(most + 1).count() <= most
 
 
-def attach_config(df: DataFrame, config: DataFrame, keys: Sequence[str], most: int = 100_000) -> DataFrame:
+def attach_config(df: DataFrame, config: DataFrame, keys: Sequence[str], most: int = 100_000, how: str = "inner") -> DataFrame:
     """df with a configuration's columns; sent to all tasks if it has at most `most` rows, else joined by shuffle."""
-    small = config.limit(most + 1).count() <= most
-    return df.join(F.broadcast(config) if small else config, list(keys))
+    return df.join(F.broadcast(config) if is_small(config, most) else config, list(keys), how)
+
+
+#: Columns of the observation table that all kinds of series share.
+HARMONISED = {
+    "dataset": "string", "series_id": "string", "site": "string", "entity": "string", "proxy": "string", "unit": "string", "chronology": "string",
+    "age_ka": "double", "depth": "double", "depth_unit": "string", "value": "double", "median": "double", "savgol": "double",
+}
 
 
 def harmonise(*series: DataFrame) -> DataFrame:
-    """One observation table of several series, columns that one lacks null."""
-    out = series[0]
-    for s in series[1:]:
-        out = out.unionByName(s, allowMissingColumns=True)
+    """One observation table (HARMONISED) of several series: columns that one lacks are null, others are left out."""
+    parts = [s.select(*[(F.col(c) if c in s.columns else F.lit(None)).cast(t).alias(c) for c, t in HARMONISED.items()]) for s in series]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out

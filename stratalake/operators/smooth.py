@@ -12,33 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..dims import POLYORDER, WINDOW, savgol_weights
-
-
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], per_bucket: int) -> DataFrame:
-    """df with pos (from 1) and n, its key's rows, without sorting a key in one task.
-
-    The first of `order`, a number or time, is cut into buckets of equal width, so many that one holds about
-    per_bucket rows of the densest key; rows are numbered within (key, bucket), and a running sum over the buckets, one row
-    each, gives where each begins.
-    """
-    first = F.col(order[0]).cast("timestamp").cast("double") if dict(df.dtypes)[order[0]].startswith("timestamp") else F.col(order[0]).cast("double")
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(first).alias("_lo"), F.max(first).alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) * per_bucket / F.col("_n"), F.lit(1e-9))
-    tagged = df.join(per_key, list(keys)).withColumn("_bucket", F.floor((first - F.col("_lo")) / width))
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    numbered = tagged.withColumn("_rn", F.row_number().over(within)).join(starts, [*keys, "_bucket"])
-    return numbered.withColumn("pos", (F.col("_start") + F.col("_rn")).cast("bigint")).withColumnRenamed("_n", "n").drop("_lo", "_hi", "_bucket", "_rn", "_start")
-
-
-def in_blocks(df: DataFrame, halo: int, block_rows: int) -> DataFrame:
-    """Rows with pos and n, each in its block and, as a copy (_own false), in those it is within `halo` rows of."""
-    last = F.expr(f"(n - 1) DIV {block_rows}")
-    block = lambda p: F.expr(f"CAST(({p}) DIV {block_rows} AS BIGINT)")
-    each = F.sequence(F.greatest(block(f"pos - 1 - {halo}"), F.lit(0).cast("bigint")), F.least(block(f"pos - 1 + {halo}"), last))
-    return df.withColumn("_block", F.explode(each)).withColumn("_own", F.col("_block") == block("pos - 1"))
+from .blocks import in_blocks, largest_key, with_position
 
 
 def median_over(value: str, keys: Sequence[str], order: Sequence[str], window: int) -> Column:
@@ -63,10 +37,13 @@ def fit_over(value: str, keys: Sequence[str], order: Sequence[str], window: int,
 def smooth(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, median: str | None = "median", savgol: str | None = "savgol", window: int = WINDOW, polyorder: int = POLYORDER, block_rows: int | None = None) -> DataFrame:
     """df with the rolling median and the Savitzky-Golay value of each row in its key, in one pass over one sort.
 
-    `order` must be total within a key: end it with a tie-break. With block_rows a key is cut into blocks of so many rows,
-    so one long series does not land in one task; the results are the same.
+    `order` must be total within a key: end it with a tie-break. With block_rows, keys are cut into blocks of so many rows if
+    one has more, which is counted, so one long series does not land in one task; the results are the same. Null keys are
+    a key, nulls in the order come first.
     """
     keys = list(keys)
+    if block_rows and largest_key(df, keys) <= block_rows:
+        block_rows = None
     if block_rows:
         halo = window - 1 if savgol else window // 2
         rows, at, by = in_blocks(with_position(df, keys, order, block_rows), halo, block_rows), [*keys, "_block"], ["pos"]

@@ -80,3 +80,11 @@ def test_stages(spark):
     assert (last.visible_top, last.visible_bottom) == (621.0, 648.679)
     ages = spark.createDataFrame([(0.0,), (14.0,), (533.0,), (None,)], "age double")
     assert sorted(str(r.stage) for r in intervals.tag_stage(ages, dims.stages(spark, "cave")).collect()) == ["MIS 1", "MIS 2", "None", "None"]
+
+
+def test_large_stage_tables_join_by_bins(spark):
+    extents = spark.createDataFrame([("m", 0.0, 648.679), ("touch", 14.0, 29.0), ("old", 5000.0, 6000.0)], "k string, lo double, hi double")
+    ages = spark.createDataFrame([(x / 2,) for x in range(-20, 1400)] + [(None,)], "age double")
+    stages = dims.stages(spark, "cave")
+    for f in (lambda most: intervals.clip_stages(extents, stages, ["k"], most), lambda most: intervals.tag_stage(ages, stages, most=most)):
+        assert sorted(map(str, f(100).collect())) == sorted(map(str, f(1).collect()))

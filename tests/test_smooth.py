@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake import dims
-from stratalake.operators import smooth
+from stratalake.operators import blocks, series, smooth
 
 
 def frame(spark, values, key="a"):
@@ -69,3 +69,27 @@ def test_empty(spark):
 def test_variants(spark):
     got = smooth.smoothing_variants(frame(spark, [1.0] * 12), ["k"], ["t"], "v", ["t"]).groupBy("variant").agg(F.count("*").alias("n")).collect()
     assert {r.variant: r.n for r in got} == {"unsmoothed": 12, "smooth11": 12, "savgol11p2": 12}
+
+
+def odd_series(spark, n=400):
+    """Null keys, null and tied orders, and an outlier far from all else."""
+    rows = [(k, None if i % 50 == 0 else float(i // 100), i, float(i % 13)) for k in ("a", None) for i in range(n)] + [("a", 1e12, -1, 5.0)]
+    return spark.createDataFrame(rows, "k string, t double, id int, v double")
+
+
+def test_blocks_keep_nulls_ties_and_outliers(spark):
+    df = odd_series(spark)
+    a, b = (smooth.smooth(df, ["k"], ["t", "id"], "v", block_rows=x).orderBy("k", "t", "id").toPandas() for x in (None, 16))
+    assert len(b) == 801
+    pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, atol=1e-9)
+    for f in (lambda x: series.with_sequence(df, ["k"], ["t", "id"], block_rows=x), lambda x: series.find_gaps(df, ["k"], ["t", "id"], 0.5, "t", "v", block_rows=x)):
+        assert sorted(map(str, f(None).collect())) == sorted(map(str, f(16).select(*f(None).columns).collect()))
+
+
+def test_parts_are_balanced(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(blocks, "stored", lambda df, name: seen.append(df) or df.persist())
+    blocks.with_position(odd_series(spark, 2000), ["k"], ["t", "id"], 100).count()
+    sizes = [r["count"] for r in seen[0].groupBy("_part").count().collect()]
+    seen[0].unpersist()
+    assert len(sizes) > 30 and max(sizes) < 300

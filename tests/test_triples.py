@@ -89,3 +89,12 @@ def test_text_outputs(spark, tmp_path):
     assert {r.measure: r.number for r in spark.read.json(str(tmp_path / "report")).collect()}["n_triples"] == 26.0
     sinks.write_series(g.withColumn("series_id", F.lit("x")), str(tmp_path / "series"))
     assert spark.read.parquet(str(tmp_path / "series")).count() == 26
+
+
+def test_large_subjects_get_several_blocks(spark):
+    links = [("own:D", "own:hasObservation", f"own:O{i}", None, None) for i in range(100)] + [("own:E", "rdf:type", "own:D", None, None)]
+    g = triples.constants(spark, "g", links)
+    got = sinks.subject_blocks(g, most=10).collect()
+    own = [r.block for r in got if r.s.endswith("D")]
+    assert 5 < len(own) < 20 and sum(b.count("hasObservation") for b in own) == 100 and max(b.count("hasObservation") for b in own) < 30
+    assert len(got) == len(own) + 1 and all(b.endswith(" .") for b in own)
