@@ -159,42 +159,90 @@ def collection_members(members: DataFrame, graph: str | Column, collection: str,
     return headers.unionByName(edges)
 
 
-def core_metadata(spark: SparkSession, graph: str, created: str, proxies: Sequence[str] = ("CH4", "d18O"), core: str = "IceCore", site: str = "Site", dataset: str = "Dataset", lon: float = 0.0, lat: float = 0.0, licence: str = "https://creativecommons.org/licenses/by/3.0/", base: str = BASE) -> DataFrame:
-    """The fixed records behind a core's observations: data set, catalogue, sources, site, collections, core, campaign,
-    properties, chronologies, smoothing methods and measurement types; 93 triples for two proxies."""
-    en, none = "en", None
-    d, cat, s, g, c, camp = f"own:{dataset}", f"own:{dataset}_Catalog", f"own:{site}", f"own:{site}_Geometry", f"own:{core}", f"own:{core}_Campaign"
-    all_sites, own_sites = f"own:{ALL_SITES}", f"own:{site}_Collection"
-    rows = [
-        (d, "rdf:type", "dcat:Dataset", none, none), (d, "dct:title", "Ice-core records", none, en), (d, "dct:description", "Proxy measurements of an ice core", none, en),
-        (d, "dct:license", licence, none, none), (d, "dct:publisher", "Data publisher", none, none), (d, "dct:created", created, "xsd:date", none),
-        (cat, "rdf:type", "dcat:Catalog", none, none), (cat, "rdfs:label", "Ice-core catalogue", none, en), (cat, "dct:title", "Ice-core catalogue", none, en),
-        (cat, "dct:description", "Catalogue of the core's data sets", none, en), (cat, "dct:publisher", "Data publisher", none, none), (cat, "dct:license", licence, none, none),
-        (cat, "dct:created", created, "xsd:date", none), (cat, "dcat:dataset", d, none, none),
-    ]
-    for p in proxies:
-        src, part, prop, mtype, chron = f"own:Source_{p}", f"{d}_{p}", f"own:Property_{p}", f"own:MeasurementType_{p}", f"own:Chronology_{p}"
-        rows += [
-            (src, "rdf:type", "dct:BibliographicResource", none, none), (src, "dct:title", f"{p} record", none, en), (src, "dct:creator", "Authors of the record", none, none), (src, "dct:date", created[:4], "xsd:gYear", none), (d, "dct:source", src, none, none),
-            (part, "rdf:type", "dcat:Dataset", none, none), (part, "dct:title", f"{p} data set", none, en), (part, "dct:description", f"{p} measurements of the core", none, en), (part, "dct:source", src, none, none), (part, "dct:license", licence, none, none), (part, "dcat:distribution", src, none, none), (cat, "dcat:dataset", part, none, none),
-            (prop, "rdf:type", "sosa:ObservableProperty", none, none), (prop, "rdf:type", "crmsci:S9_Property_Type", none, none), (prop, "rdfs:label", p, none, en), (prop, "qudt:unit", "unit:PPB" if p == "CH4" else "unit:PERMILLE", none, none),
-            (chron, "rdf:type", "crmsci:S6_Data_Evaluation", none, none), (chron, "rdfs:label", f"Chronology of {p}", none, en),
-            (mtype, "rdf:type", "own:MeasurementType", none, none), (mtype, "rdfs:label", f"{p} measurement", none, en), (mtype, "rdfs:comment", f"Marks observations of {p}", none, en),
-        ]
-    rows += [
-        *[(s, "rdf:type", t, none, none) for t in ("geo:Feature", "own:DrillingSite", "crm:E53_Place", "crm:E27_Site")], (s, "rdfs:label", "Drilling site", none, en), (s, "crm:P87_is_identified_by", f"{lat}, {lon}", "xsd:string", none),
-        (g, "rdf:type", "sf:Point", none, none), (g, "geo:asWKT", f"{CRS} POINT({lon} {lat})", "geo:wktLiteral", none), (s, "geo:hasGeometry", g, none, none),
-        (own_sites, "rdf:type", "geo:FeatureCollection", none, none), (own_sites, "rdfs:label", "Drilling sites", none, en), (own_sites, "rdfs:member", s, none, none),
-        (all_sites, "rdf:type", "geo:FeatureCollection", none, none), (all_sites, "rdfs:label", "All sites", none, en), (all_sites, "rdfs:comment", "Sites of all data sets", none, en), (all_sites, "rdfs:member", s, none, none),
-        (c, "rdf:type", "sosa:Sample", none, none), (c, "rdf:type", "crm:E22_Human-Made_Object", none, none), (c, "rdfs:label", "Ice core", none, en), (c, "sosa:isSampleOf", s, none, none), (c, "crm:P53_has_former_or_current_location", s, none, none), (c, "crm:P2_has_type", "Ice Core", none, en),
-        (camp, "rdf:type", "crm:E7_Activity", none, none), (camp, "rdf:type", "crmsci:S1_Matter_Removal", none, none), (camp, "rdfs:label", "Drilling campaign", none, en), (camp, "crm:P7_took_place_at", s, none, none), (camp, "crm:P4_has_time-span", "not stated", "xsd:string", none), (camp, "crmsci:O1_removed", c, none, none),
-    ]
+def dataset_triples(cores: DataFrame, graph: str | Column, base: str = BASE) -> DataFrame:
+    """14 triples per core's data set and its catalogue, from columns dataset, title, description, publisher, licence (an
+    address), created, catalogue_label, catalogue_description. A null leaves its triple out."""
+    d, cat, en = mint("%s", F.col("dataset"), base=base), mint("%s_Catalog", F.col("dataset"), base=base), {"lang": "en", "base": base}
+    return emitted(cores, graph, [
+        link(d, "rdf:type", "dcat:Dataset", base), literal(d, "dct:title", F.col("title"), **en), literal(d, "dct:description", F.col("description"), **en),
+        link(d, "dct:license", F.col("licence"), base), literal(d, "dct:publisher", F.col("publisher"), base=base), literal(d, "dct:created", F.col("created"), "xsd:date", base=base),
+        link(cat, "rdf:type", "dcat:Catalog", base), literal(cat, "rdfs:label", F.col("catalogue_label"), **en), literal(cat, "dct:title", F.col("catalogue_label"), **en),
+        literal(cat, "dct:description", F.col("catalogue_description"), **en), literal(cat, "dct:publisher", F.col("publisher"), base=base), link(cat, "dct:license", F.col("licence"), base),
+        literal(cat, "dct:created", F.col("created"), "xsd:date", base=base), link(cat, "dcat:dataset", d, base),
+    ])
+
+
+def source_triples(proxies: DataFrame, graph: str | Column, base: str = BASE) -> DataFrame:
+    """12 triples per core and proxy: its source and its part of the data set, from columns dataset, proxy, title, creator, year,
+    part_title, part_description, licence."""
+    d, cat, part, src = (mint(t, F.col("dataset"), *([F.col("proxy")] if "%s_%s" in t else []), base=base) for t in ("%s", "%s_Catalog", "%s_%s", "Source_%s_%s"))
+    en = {"lang": "en", "base": base}
+    return emitted(proxies, graph, [
+        link(src, "rdf:type", "dct:BibliographicResource", base), literal(src, "dct:title", F.col("title"), **en), literal(src, "dct:creator", F.col("creator"), base=base),
+        literal(src, "dct:date", F.col("year"), "xsd:gYear", base=base), link(d, "dct:source", src, base), link(part, "rdf:type", "dcat:Dataset", base),
+        literal(part, "dct:title", F.col("part_title"), **en), literal(part, "dct:description", F.col("part_description"), **en), link(part, "dct:source", src, base),
+        link(part, "dct:license", F.col("licence"), base), link(part, "dcat:distribution", src, base), link(cat, "dcat:dataset", part, base),
+    ])
+
+
+def drilling_triples(cores: DataFrame, graph: str | Column, base: str = BASE) -> DataFrame:
+    """25 triples per core: its site with geometry and collections, the core, and the campaign that removed it; from columns core, site,
+    site_label, lon, lat, core_label, campaign_label, time_span. A place that is not known leaves its two triples out."""
+    s, g, own = mint("%s", F.col("site"), base=base), mint("%s_Geometry", F.col("site"), base=base), mint("%s_Collection", F.col("site"), base=base)
+    c, camp, en = mint("%s", F.col("core"), base=base), mint("%s_Campaign", F.col("core"), base=base), {"lang": "en", "base": base}
+    everyone = F.lit(iri(f"own:{ALL_SITES}", base))
+    return emitted(cores, graph, [
+        *[link(s, "rdf:type", t, base) for t in ("geo:Feature", "own:DrillingSite", "crm:E53_Place", "crm:E27_Site")], literal(s, "rdfs:label", F.col("site_label"), **en),
+        literal(s, "crm:P87_is_identified_by", F.when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), F.format_string("%.4f, %.4f", "lat", "lon")), "xsd:string", base=base),
+        link(g, "rdf:type", "sf:Point", base), literal(g, "geo:asWKT", wkt_point(F.col("lon"), F.col("lat")), "geo:wktLiteral", base=base), link(s, "geo:hasGeometry", g, base),
+        link(own, "rdf:type", "geo:FeatureCollection", base), literal(own, "rdfs:label", F.concat(F.lit("Sites of "), F.col("site_label")), **en), link(own, "rdfs:member", s, base), link(everyone, "rdfs:member", s, base),
+        link(c, "rdf:type", "sosa:Sample", base), link(c, "rdf:type", "crm:E22_Human-Made_Object", base), literal(c, "rdfs:label", F.col("core_label"), **en), link(c, "sosa:isSampleOf", s, base),
+        link(c, "crm:P53_has_former_or_current_location", s, base), literal(c, "crm:P2_has_type", "Ice Core", **en),
+        link(camp, "rdf:type", "crm:E7_Activity", base), link(camp, "rdf:type", "crmsci:S1_Matter_Removal", base), literal(camp, "rdfs:label", F.col("campaign_label"), **en),
+        link(camp, "crm:P7_took_place_at", s, base), literal(camp, "crm:P4_has_time-span", F.col("time_span"), "xsd:string", base=base), link(camp, "crmsci:O1_removed", c, base),
+    ])
+
+
+def property_triples(proxies: DataFrame, graph: str | Column, base: str = BASE) -> DataFrame:
+    """9 triples per proxy (proxy, label, unit, chronology_label, comment): property, chronology and measurement type."""
+    prop, mtype, chron = (mint(f"{x}_%s", F.col("proxy"), base=base) for x in ("Property", "MeasurementType", "Chronology"))
+    en = {"lang": "en", "base": base}
+    return emitted(proxies, graph, [
+        link(prop, "rdf:type", "sosa:ObservableProperty", base), link(prop, "rdf:type", "crmsci:S9_Property_Type", base), literal(prop, "rdfs:label", F.col("label"), **en),
+        link(prop, "qudt:unit", F.concat(F.lit(iri("unit:", base)), F.col("unit")), base), link(chron, "rdf:type", "crmsci:S6_Data_Evaluation", base), literal(chron, "rdfs:label", F.col("chronology_label"), **en),
+        link(mtype, "rdf:type", "own:MeasurementType", base), literal(mtype, "rdfs:label", F.concat(F.col("label"), F.lit(" measurement")), **en), literal(mtype, "rdfs:comment", F.col("comment"), **en),
+    ])
+
+
+def method_triples(spark: SparkSession, graph: str, base: str = BASE) -> DataFrame:
+    """The 12 records that all cores share: both smoothing methods and the head of the collection of all sites."""
+    everyone, en, none = f"own:{ALL_SITES}", "en", None
+    rows = [(everyone, "rdf:type", "geo:FeatureCollection", none, none), (everyone, "rdfs:label", "All sites", none, en), (everyone, "rdfs:comment", "Sites of all data sets", none, en)]
     for m, label in ((f"own:RollingMedian_w{WINDOW}", "Rolling median"), (f"own:SavitzkyGolay_w{WINDOW}_p{POLYORDER}", "Savitzky-Golay")):
         rows += [(m, "rdf:type", "crmsci:S6_Data_Evaluation", none, none), (m, "rdfs:label", f"{label}, window {WINDOW}", none, en), (m, "own:windowSize", str(WINDOW), "xsd:integer", none), (m, "dct:references", f"own:{label.replace(' ', '_')}_reference", none, none)]
     rows.append((f"own:SavitzkyGolay_w{WINDOW}_p{POLYORDER}", "own:polyOrder", str(POLYORDER), "xsd:integer", none))
     return constants(spark, graph, rows, base)
 
 
+def metadata_triples(cores: DataFrame, sources: DataFrame, proxies: DataFrame, graph: str, base: str = BASE) -> DataFrame:
+    """The records behind the observations of any number of cores: cores has a row for each, sources one for each core and proxy,
+    proxies one for each proxy. All texts are the tables' own; 93 triples for one core with two proxies and a known place."""
+    parts = (dataset_triples(cores, graph, base), drilling_triples(cores, graph, base), source_triples(sources, graph, base), property_triples(proxies, graph, base))
+    return reduce(DataFrame.unionByName, parts, method_triples(cores.sparkSession, graph, base))
+
+
+def core_metadata(spark: SparkSession, graph: str, created: str, proxies: Sequence[str] = ("CH4", "d18O"), core: str = "IceCore", site: str = "Site", dataset: str = "Dataset", lon: float | None = 0.0, lat: float | None = 0.0, licence: str = "https://creativecommons.org/licenses/by/3.0/", texts: dict[str, str] | None = None, sources: dict[str, dict[str, str]] | None = None, base: str = BASE) -> DataFrame:
+    """metadata_triples() of one core. `texts` gives columns of its row, `sources` for a proxy columns of its rows in sources and
+    proxies; what is not given is named after the core, site, data set and proxy."""
+    own = {"title": f"{dataset} records", "description": f"Proxy measurements of {core}", "publisher": f"Publisher of {dataset}", "catalogue_label": f"{dataset} catalogue", "catalogue_description": f"Catalogue of {dataset}", "site_label": site, "core_label": core, "campaign_label": f"Campaign of {core}", "time_span": "not stated"}
+    row = own | {"dataset": dataset, "core": core, "site": site, "licence": licence, "created": created} | (texts or {})
+    of = {p: {"title": f"{p} record", "creator": f"Authors of the {p} record", "year": created[:4], "part_title": f"{p} data set", "part_description": f"{p} measurements of {core}", "label": p, "unit": "PPB" if p == "CH4" else "PERMILLE", "chronology_label": f"Chronology of {p}", "comment": f"Marks observations of {p}"} | (sources or {}).get(p, {}) for p in proxies}
+    table = lambda rows: spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in rows[0]))
+    cores = table([row]).withColumns({"lon": F.lit(lon).cast("double"), "lat": F.lit(lat).cast("double")})
+    each = table([{"dataset": dataset, "licence": licence, "proxy": p} | x for p, x in of.items()])
+    return metadata_triples(cores, each, each, graph, base)
+
+
 def union_graphs(*graphs: DataFrame, shared: Sequence[DataFrame] = (), name: str | None = None) -> DataFrame:
     """One graph of several, as a set. Observation triples are unique as their ids are, so only `shared` ones, which more
     than one graph may state, pass a distinct; give all graphs as shared where that is not known."""

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import dims
+from .. import dims, sources
 from ..functions import decimal_text, ensure_crs, mint, observation_label, shift_datum, thousands, to_ka, wkt_point
 from ..operators import graph_queries, intervals, series, sinks, smooth, triples
+from ..operators.blocks import BLOCK_ROWS
+from ..storage import new_dir
 from .tables import EV, SITES, events, sites, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,11 +19,9 @@ ORDER = ("ts", "event_id")
 BASE, W = dims.BASE, dims.WINDOW
 
 
-def query(sql: str | None = None):
+def query(sql: str):
     def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
+        QUERIES[f.__name__], SQL[f.__name__] = f, sql
         return f
 
     return put
@@ -71,7 +71,7 @@ def round_by_proxy(spark, d):
 SELECT event_id, '{BASE}Obs_x_' || user_id || '_' || printf('%04d', seq) AS iri,
   printf('x observation %04d (%s ka BP)', seq, CAST(CAST(round(age, 1) AS DECIMAL(28, 1)) AS VARCHAR)) AS label FROM n""")
 def mint_ids_labels(spark, d):
-    rows = series.with_sequence(events(spark, d), ["user_id"], ORDER)
+    rows = series.with_sequence(events(spark, d), ["user_id"], ORDER, block_rows=BLOCK_ROWS)
     return rows.select("event_id", mint("Obs_x_%d_%04d", F.col("user_id"), F.col("seq")).alias("iri"), observation_label("x", F.col("seq"), F.col("age")).alias("label"))
 
 
@@ -112,8 +112,7 @@ def missing_series(spark, d):
 
 @query(f"WITH {EV} SELECT user_id, count(*) AS n, min(age) AS min_age, max(age) AS max_age, min(value) AS min_value, max(value) AS max_value, min(k) AS min_k, max(k) AS max_k, count(k) > 0 AS has_k FROM ev GROUP BY user_id")
 def series_summary(spark, d):
-    rows = events(spark, d)
-    return series.summarise(rows, ["user_id"], ["age", "value", "k"]).join(rows.groupBy("user_id").agg((F.count("k") > 0).alias("has_k")), "user_id")
+    return series.summarise(events(spark, d), ["user_id"], ["age", "value", "k"], present=["k"])
 
 
 @query("SELECT user_id, count(DISTINCT event_type) AS n_entities FROM events GROUP BY user_id")
@@ -193,22 +192,22 @@ SELECT s.event_id, {more} round(savgol, 6) AS savgol FROM s LEFT JOIN f USING (e
 
 @query(median_sql("user_id"))
 def rolling_median_series(spark, d):
-    return smooth.rolling_median(events(spark, d), ["user_id"], ORDER, "value").select("event_id", F.round("median", 6).alias("median"))
+    return smooth.rolling_median(events(spark, d), ["user_id"], ORDER, "value", block_rows=BLOCK_ROWS).select("event_id", F.round("median", 6).alias("median"))
 
 
 @query(median_sql("user_id, event_type"))
 def rolling_median_entity(spark, d):
-    return smooth.rolling_median(events(spark, d), ["user_id", "event_type"], ORDER, "value").select("event_id", F.round("median", 6).alias("median"))
+    return smooth.rolling_median(events(spark, d), ["user_id", "event_type"], ORDER, "value", block_rows=BLOCK_ROWS).select("event_id", F.round("median", 6).alias("median"))
 
 
 @query(fit_sql("user_id"))
 def savgol_series(spark, d):
-    return smooth.savgol(events(spark, d), ["user_id"], ORDER, "value").select("event_id", F.round("savgol", 6).alias("savgol"))
+    return smooth.savgol(events(spark, d), ["user_id"], ORDER, "value", block_rows=BLOCK_ROWS).select("event_id", F.round("savgol", 6).alias("savgol"))
 
 
 @query(fit_sql("user_id, event_type"))
 def savgol_entity(spark, d):
-    return smooth.savgol(events(spark, d), ["user_id", "event_type"], ORDER, "value").select("event_id", F.round("savgol", 6).alias("savgol"))
+    return smooth.savgol(events(spark, d), ["user_id", "event_type"], ORDER, "value", block_rows=BLOCK_ROWS).select("event_id", F.round("savgol", 6).alias("savgol"))
 
 
 HALO_BLOCK = 2000
@@ -226,10 +225,20 @@ def savgol_halo(spark, d):
     return smooth.savgol(rows, ["all"], ORDER, "value", block_rows=HALO_BLOCK).select("event_id", F.round("savgol", 6).alias("savgol"))
 
 
+NULL_KEY = "CASE WHEN event_type <> 'click' THEN event_type END"
+
+
+@query(median_sql(NULL_KEY))
+def rolling_median_null_keys(spark, d):
+    """Blocks of a series whose key is null, and of others."""
+    rows = events(spark, d).withColumn("key", F.when(F.col("event_type") != "click", F.col("event_type")))
+    return smooth.rolling_median(rows, ["key"], ORDER, "value", block_rows=HALO_BLOCK).select("event_id", F.round("median", 6).alias("median"))
+
+
 @query(f"""WITH {EV}, l AS (SELECT user_id, lag(value) OVER w AS x1, lag(age) OVER w AS y1, value AS x2, age AS y2 FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT user_id, x1, round(y1, 6) AS y1, x2, round(y2, 6) AS y2 FROM l WHERE y2 - y1 > 20""")
 def gap_segments(spark, d):
-    found = series.find_gaps(events(spark, d), ["user_id"], ORDER, 20.0)
+    found = series.find_gaps(events(spark, d), ["user_id"], ORDER, 20.0, block_rows=BLOCK_ROWS)
     return found.withColumns({"y1": F.round("y1", 6), "y2": F.round("y2", 6)})
 
 
@@ -237,7 +246,7 @@ def gap_segments(spark, d):
 SELECT event_id, 'unsmoothed' AS variant, round(value, 6) AS x FROM events WHERE value IS NOT NULL
 UNION ALL SELECT event_id, 'smooth11', median FROM m WHERE median IS NOT NULL UNION ALL SELECT event_id, 'savgol11p2', savgol FROM f WHERE savgol IS NOT NULL""")
 def smoothing_variants(spark, d):
-    return smooth.smoothing_variants(events(spark, d), ["user_id"], ORDER, "value", ["event_id"]).withColumn("x", F.round("x", 6))
+    return smooth.smoothing_variants(events(spark, d), ["user_id"], ORDER, "value", ["event_id"], block_rows=BLOCK_ROWS).withColumn("x", F.round("x", 6))
 
 
 @query(f"WITH {SITES} SELECT site_id, site_name, n_d18o FROM sites WHERE n_d18o IS NOT NULL ORDER BY n_d18o DESC, site_id")
@@ -302,8 +311,8 @@ def smoothed_sql(keys: str) -> str:
 
 
 def observations(spark, d, keys):
-    rows = smooth.smooth(events(spark, d), keys, ORDER, "value").withColumns({"median": F.round("median", 6), "savgol": F.round("savgol", 6)})
-    return series.with_sequence(rows, ["user_id"], ["event_type", *ORDER])
+    rows = smooth.smooth(events(spark, d), keys, ORDER, "value", block_rows=BLOCK_ROWS).withColumns({"median": F.round("median", 6), "savgol": F.round("savgol", 6)})
+    return series.with_sequence(rows, ["user_id"], ["event_type", *ORDER], block_rows=BLOCK_ROWS)
 
 
 def core_specs() -> list[tuple]:
@@ -361,16 +370,87 @@ def sample_triples(spark, d):
     return triples.sample_triples(table(spark, d, "events").select(user.alias("slug"), user.alias("site_name"), F.col("event_type").alias("entity_id"), F.col("event_type").alias("entity_name")), "samples")
 
 
-@query(None)
+def context_specs() -> list[tuple]:
+    at = lambda x: f"'{BASE}{x}_' || slug"
+    cave, geom, chron = at("Cave"), at("Cave") + " || '_Geometry'", at("UThChronology")
+    link, text, whole = (lambda s, p, o: (s, p, o, "iri", None, None)), (lambda s, p, o: (s, p, o, "literal", None, "en")), (lambda s, p, o: (s, p, o, "literal", "xsd:integer", None))
+    median, fit = iri_sql(f"own:RollingMedian_w{W}"), iri_sql(f"own:SavitzkyGolay_w{W}_p2")
+    specs = [
+        link(cave, "rdf:type", iri_sql("own:Cave")), text(cave, "rdfs:label", "site_name"), whole(cave, "own:siteId", "site_id"), link(geom, "rdf:type", iri_sql("sf:Point")),
+        (geom, "geo:asWKT", f"printf('{dims.CRS} POINT(%.6f %.6f)', lon, lat)", "literal", "geo:wktLiteral", None), link(cave, "geo:hasGeometry", geom),
+        link(median, "rdf:type", iri_sql("own:RollingMedianFilter")), whole(median, "own:windowSize", str(W)), link(fit, "rdf:type", iri_sql("own:SavitzkyGolayFilter")), whole(fit, "own:windowSize", str(W)), whole(fit, "own:polyOrder", "2"),
+        link(chron, "rdf:type", iri_sql("own:UThChronology")), text(chron, "rdfs:label", "'U-Th chronology of ' || site_name"), text(chron, "rdfs:comment", "'Standardised chronology of the sample''s ages'"),
+    ]
+    for x in ("d18O", "d13C"):
+        kind, prop = iri_sql(f"own:MeasurementType_{x}"), iri_sql(f"own:Property_{x}")
+        specs += [link(kind, "rdf:type", iri_sql("own:MeasurementType")), text(kind, "rdfs:label", f"'{x} measurement'"), link(prop, "rdf:type", iri_sql(f"own:{x}Property")), text(prop, "rdfs:label", f"'{x} (speleothem)'")]
+    return specs
+
+
+@query(f"WITH {SITES}, x AS (SELECT *, 'site_' || printf('%04d', site_id) AS slug FROM sites) {rows_sql('x', 'caves', context_specs())}")
 def cave_context_triples(spark, d):
     return triples.cave_context_triples(sites(spark, d).select(F.format_string("site_%04d", "site_id").alias("slug"), "site_id", "site_name", "lon", "lat"), "caves")
 
 
-@query(None)
+CORES = """cores AS (SELECT 'D' || s_suppkey AS dataset, 'Core' || s_suppkey AS core, 'Site' || s_suppkey AS site, s_name AS label, n_name AS publisher, s_suppkey % 360 - 180 AS lon, s_suppkey % 180 - 90 AS lat
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
+proxies(proxy, unit) AS (VALUES ('CH4', 'PPB'), ('d18O', 'PERMILLE')), parts AS (SELECT * FROM cores, proxies)"""
+LICENCE, CREATED = "https://creativecommons.org/licenses/by/4.0/", "1995-06-17"
+
+
+def metadata_specs() -> dict[str, list[tuple]]:
+    d, cat, s, c = (f"'{BASE}' || {x}" for x in ("dataset", "dataset || '_Catalog'", "site", "core"))
+    g, own, camp, part, src = f"{s} || '_Geometry'", f"{s} || '_Collection'", f"{c} || '_Campaign'", f"{d} || '_' || proxy", f"'{BASE}Source_' || dataset || '_' || proxy"
+    everyone, ty = iri_sql("own:AllSites_Collection"), "rdf:type"
+    link, en = (lambda s, p, o: (s, p, o, "iri", None, None)), (lambda s, p, o: (s, p, o, "literal", None, "en"))
+    kind = lambda s, *names: [link(s, ty, iri_sql(n)) for n in names]
+    value = lambda s, p, o, t=None: (s, p, o, "literal", t, None)
+    of = lambda x: f"'{BASE}{x}_' || proxy"
+    median, fit = iri_sql(f"own:RollingMedian_w{W}"), iri_sql(f"own:SavitzkyGolay_w{W}_p2")
+    shared = [*kind(everyone, "geo:FeatureCollection"), en(everyone, "rdfs:label", "'All sites'"), en(everyone, "rdfs:comment", "'Sites of all data sets'"), value(fit, "own:polyOrder", "2", "xsd:integer")]
+    for m, name in ((median, "Rolling median"), (fit, "Savitzky-Golay")):
+        shared += [*kind(m, "crmsci:S6_Data_Evaluation"), en(m, "rdfs:label", f"'{name}, window {W}'"), value(m, "own:windowSize", str(W), "xsd:integer"), link(m, "dct:references", iri_sql(f"own:{name.replace(' ', '_')}_reference"))]
+    return {
+        "cores": [
+            *kind(d, "dcat:Dataset"), en(d, "dct:title", "label || ' records'"), en(d, "dct:description", "'Measurements of ' || core"), link(d, "dct:license", f"'{LICENCE}'"), value(d, "dct:publisher", "publisher"), value(d, "dct:created", f"'{CREATED}'", "xsd:date"),
+            *kind(cat, "dcat:Catalog"), en(cat, "rdfs:label", "label || ' catalogue'"), en(cat, "dct:title", "label || ' catalogue'"), en(cat, "dct:description", "'Catalogue of ' || core"), value(cat, "dct:publisher", "publisher"), link(cat, "dct:license", f"'{LICENCE}'"), value(cat, "dct:created", f"'{CREATED}'", "xsd:date"), link(cat, "dcat:dataset", d),
+            *kind(s, "geo:Feature", "own:DrillingSite", "crm:E53_Place", "crm:E27_Site"), en(s, "rdfs:label", "label"), value(s, "crm:P87_is_identified_by", "printf('%.4f, %.4f', lat::DOUBLE, lon::DOUBLE)", "xsd:string"),
+            *kind(g, "sf:Point"), value(g, "geo:asWKT", f"printf('{dims.CRS} POINT(%.6f %.6f)', lon::DOUBLE, lat::DOUBLE)", "geo:wktLiteral"), link(s, "geo:hasGeometry", g),
+            *kind(own, "geo:FeatureCollection"), en(own, "rdfs:label", "'Sites of ' || label"), link(own, "rdfs:member", s), link(everyone, "rdfs:member", s),
+            *kind(c, "sosa:Sample", "crm:E22_Human-Made_Object"), en(c, "rdfs:label", "label || ' core'"), link(c, "sosa:isSampleOf", s), link(c, "crm:P53_has_former_or_current_location", s), en(c, "crm:P2_has_type", "'Ice Core'"),
+            *kind(camp, "crm:E7_Activity", "crmsci:S1_Matter_Removal"), en(camp, "rdfs:label", "'Campaign of ' || core"), link(camp, "crm:P7_took_place_at", s), value(camp, "crm:P4_has_time-span", "'1990/1995'", "xsd:string"), link(camp, "crmsci:O1_removed", c),
+        ],
+        "parts": [
+            *kind(src, "dct:BibliographicResource"), en(src, "dct:title", "proxy || ' of ' || core"), value(src, "dct:creator", "label"), value(src, "dct:date", "'1995'", "xsd:gYear"), link(d, "dct:source", src),
+            *kind(part, "dcat:Dataset"), en(part, "dct:title", "proxy || ' data set'"), en(part, "dct:description", "proxy || ' measurements of ' || core"), link(part, "dct:source", src), link(part, "dct:license", f"'{LICENCE}'"), link(part, "dcat:distribution", src), link(cat, "dcat:dataset", part),
+        ],
+        "proxies": [
+            *kind(of("Property"), "sosa:ObservableProperty", "crmsci:S9_Property_Type"), en(of("Property"), "rdfs:label", "proxy"), link(of("Property"), "qudt:unit", f"'{dims.iri('unit:')}' || unit"),
+            *kind(of("Chronology"), "crmsci:S6_Data_Evaluation"), en(of("Chronology"), "rdfs:label", "'Chronology of ' || proxy"),
+            *kind(of("MeasurementType"), "own:MeasurementType"), en(of("MeasurementType"), "rdfs:label", "proxy || ' measurement'"), en(of("MeasurementType"), "rdfs:comment", "'Marks observations of ' || proxy"),
+        ],
+        "(SELECT 1)": shared,
+    }
+
+
+@query(f"WITH {CORES} " + " UNION ALL ".join(rows_sql(table, "core", specs) for table, specs in metadata_specs().items()))
 def metadata_triples(spark, d):
-    """The fixed records, dated by the newest order, so that the whole is a function of the tables."""
-    created = table(spark, d, "orders").agg(F.max("o_orderdate").cast("string").alias("m")).first().m
-    return triples.core_metadata(spark, "core", created[:10])
+    """Suppliers as cores, each with its data set, catalogue, sources, site and campaign."""
+    key, name = F.col("s_suppkey").cast("string"), F.col("s_name")
+    core, text = F.concat(F.lit("Core"), key), lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("publisher"))
+    rows = series.attach_config(table(spark, d, "supplier"), nation, ["s_nationkey"], how="left")
+    cores = rows.select(
+        text("D", key).alias("dataset"), core.alias("core"), text("Site", key).alias("site"), name.alias("site_label"), "publisher", F.lit(LICENCE).alias("licence"), F.lit(CREATED).alias("created"),
+        text(name, " records").alias("title"), text("Measurements of ", core).alias("description"), text(name, " catalogue").alias("catalogue_label"), text("Catalogue of ", core).alias("catalogue_description"), text(name, " core").alias("core_label"),
+        text("Campaign of ", core).alias("campaign_label"), F.lit("1990/1995").alias("time_span"), (F.col("s_suppkey") % 360 - 180).cast("double").alias("lon"), (F.col("s_suppkey") % 180 - 90).cast("double").alias("lat"),
+    )
+    proxies = spark.createDataFrame([("CH4", "PPB"), ("d18O", "PERMILLE")], "proxy string, unit string")
+    p = F.col("proxy")
+    each = cores.withColumn("proxy", F.explode(F.array(F.lit("CH4"), F.lit("d18O")))).select(
+        "dataset", "proxy", "licence", text(p, " of ", F.col("core")).alias("title"), F.col("site_label").alias("creator"), F.lit("1995").alias("year"), text(p, " data set").alias("part_title"), text(p, " measurements of ", F.col("core")).alias("part_description"))
+    known = proxies.select("proxy", p.alias("label"), "unit", text("Chronology of ", p).alias("chronology_label"), text("Marks observations of ", p).alias("comment"))
+    return triples.metadata_triples(cores, each, known, "core")
 
 
 def member_specs(key: str, name: str) -> list[tuple]:
@@ -401,11 +481,18 @@ def graph_union_distinct(spark, d):
     return triples.graph_counts(triples.union_graphs(shared=[a, b], name="combined"))
 
 
-@query(f"""WITH {EV} SELECT 'events' AS dataset, CAST(user_id AS VARCHAR) AS series_id, event_type AS proxy, round(age, 6) AS age_ka, value, CAST(NULL AS DOUBLE) AS depth FROM ev
-UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR), l_returnflag, NULL, CAST(l_quantity AS DOUBLE), CAST(l_linenumber AS DOUBLE) FROM lineitem""")
+NONE, TEXT = "CAST(NULL AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+
+
+@query(f"""{smoothed_sql('user_id, event_type')} SELECT 'events' AS dataset, user_id || '/' || event_type AS series_id, CAST(user_id AS VARCHAR) AS site, event_type AS entity, 'value' AS proxy, 'PPB' AS unit, 'hours' AS chronology,
+  round(age, 6) AS age_ka, k AS depth, 'mm' AS depth_unit, value, median, savgol FROM obs
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), {TEXT}, l_returnflag, 'PERMILLE', {TEXT}, {NONE}, CAST(l_linenumber AS DOUBLE), 'm', CAST(l_quantity AS DOUBLE), {NONE}, {NONE} FROM lineitem""")
 def harmonised_observations(spark, d):
-    a = events(spark, d).select(F.lit("events").alias("dataset"), F.col("user_id").cast("string").alias("series_id"), F.col("event_type").alias("proxy"), F.round("age", 6).alias("age_ka"), "value")
-    b = table(spark, d, "lineitem").select(F.lit("lineitem").alias("dataset"), F.col("l_orderkey").cast("string").alias("series_id"), F.col("l_returnflag").alias("proxy"), F.col("l_quantity").cast("double").alias("value"), F.col("l_linenumber").cast("double").alias("depth"))
+    user = F.col("user_id").cast("string")
+    a = observations(spark, d, ["user_id", "event_type"]).select(
+        F.lit("events").alias("dataset"), F.concat(user, F.lit("/"), F.col("event_type")).alias("series_id"), user.alias("site"), F.col("event_type").alias("entity"), F.lit("value").alias("proxy"), F.lit("PPB").alias("unit"), F.lit("hours").alias("chronology"),
+        F.round("age", 6).alias("age_ka"), F.col("k").alias("depth"), F.lit("mm").alias("depth_unit"), "value", "median", "savgol")
+    b = table(spark, d, "lineitem").select(F.lit("lineitem").alias("dataset"), F.col("l_orderkey").alias("series_id"), F.col("l_suppkey").alias("site"), F.col("l_returnflag").alias("proxy"), F.lit("PERMILLE").alias("unit"), F.col("l_linenumber").alias("depth"), F.lit("m").alias("depth_unit"), F.col("l_quantity").alias("value"))
     return series.harmonise(a, b)
 
 
@@ -429,9 +516,8 @@ def q_sites_geometry_distinct(spark, d):
     return graph_queries.sites_with_geometry(sites_graph(spark, d), distinct=True)
 
 
-@query(f"""{CORE_ROWS} SELECT k.s AS obs, CAST(a.o AS DOUBLE) AS age, CAST(v.o AS DOUBLE) AS value, CAST(m.o AS DOUBLE) AS smoothed
-FROM t k JOIN t a ON a.s = k.s AND a.p = '{dims.iri('sosa:resultTime')}' JOIN t v ON v.s = k.s AND v.p = '{dims.iri('sosa:hasSimpleResult')}'
-JOIN t m ON m.s = k.s AND m.p = '{dims.iri('own:smoothedValue_rollingMedian')}' WHERE k.p = '{dims.iri('rdf:type')}' AND k.o = '{dims.iri('sosa:Observation')}'""")
+@query(f"""{smoothed_sql('user_id')} SELECT '{BASE}Obs_CH4_' || printf('%04d', event_id) AS obs, CAST({number_sql('age', 4)} AS DOUBLE) AS age, CAST({number_sql('value', 2)} AS DOUBLE) AS value, CAST({number_sql('median', 2)} AS DOUBLE) AS smoothed
+FROM obs WHERE age IS NOT NULL AND value IS NOT NULL AND median IS NOT NULL""")
 def q_observation_star(spark, d):
     return graph_queries.observations_by_age(core_graph(spark, d), "sosa:Observation")
 
@@ -470,3 +556,118 @@ UNION ALL SELECT 'sites', 'n', count(*)::DOUBLE FROM customer""")
 def run_report(spark, d):
     summary = series.summarise(events(spark, d), ["event_type"], ["age"])
     return sinks.run_report(("series", summary), ("sites", table(spark, d, "customer").agg(F.count("*").alias("n"))))
+
+
+# --- files written and read back --------------------------------------------------------------------------------------
+
+
+def tab_files(rows, name: str) -> str:
+    """Lines of a tab table in the shared folder, its metadata and column line in a file of their own."""
+    path = new_dir(rows.sparkSession, name)
+    rows.sparkSession.createDataFrame([(TAB_HEAD,)], "value string").write.text(f"{path}/head")
+    rows.write.text(f"{path}/rows")
+    return path
+
+
+TAB_HEAD = "/* DATA DESCRIPTION:\nCitation:\tNobody (1999)\n1.0\tnot data\n*/\nDepth [m]\tAge [ka BP]\tValue"
+BAD = "CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(age, 6) END"
+
+
+def tab_rows(spark, d, *columns):
+    rows = events(spark, d).select(
+        F.col("event_id").cast("string").alias("depth"), F.lit("").alias("none"), F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.round("age", 6).cast("string")).alias("age"),
+        F.when(F.col("event_id") % 11 == 0, F.lit("")).otherwise(F.col("value").cast("string")).alias("value"))
+    return rows.select(F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in columns]).alias("value"))
+
+
+TAB_SQL = f"WITH {EV} SELECT '%s' AS series_id, CAST(event_id AS DOUBLE) AS depth_m, {BAD} AS age_ka, value FROM ev WHERE value IS NOT NULL AND event_id % 11 <> 0"
+
+
+@query(TAB_SQL.replace("'%s'", "'ch4'"))
+def read_tab_methane(spark, d):
+    """Six columns, of which empty ones and one with bad text, below a block of metadata."""
+    path = tab_files(tab_rows(spark, d, "depth", "none", "none", "age", "value", "none"), "methane")
+    return sources.read_tab_series(spark, [f"{path}/head", f"{path}/rows"], sources.METHANE_TAB, "ch4")
+
+
+@query(TAB_SQL.replace("'%s'", "'d18o'"))
+def read_tab_isotope(spark, d):
+    path = tab_files(tab_rows(spark, d, "depth", "age", "value"), "isotope")
+    return sources.read_tab_series(spark, [f"{path}/head", f"{path}/rows"], sources.ISOTOPE_TAB, "d18o")
+
+
+@query(f"""WITH {EV} SELECT user_id AS site_id, 'Site, ' || user_id AS site_name, CAST(user_id % 5 AS BIGINT) AS entity_id, event_id AS sample_id, event_type AS entity_name, round(age, 6) AS age_bp, round(age, 6) / 1000.0 AS age_ka,
+  value AS d18o_permille, k AS d13c_permille, CASE WHEN event_id % 2 = 0 THEN 47.5 END AS latitude, CASE WHEN event_id % 2 = 0 THEN k END AS depth_sample FROM ev WHERE event_id % 13 <> 0""")
+def read_cave_samples(spark, d):
+    """Two kinds of files under one glob: half of the rows in files with more columns, in another order."""
+    rows = events(spark, d).select(
+        F.col("user_id").alias("site_id"), F.concat(F.lit("Site, "), F.col("user_id")).alias("site_name"), (F.col("user_id") % 5).alias("entity_id"), F.col("event_type").alias("entity_name"), F.col("event_id").alias("sample_id"),
+        F.when(F.col("event_id") % 13 == 0, F.lit("none")).otherwise(F.round("age", 6).cast("string")).alias("age_bp"), F.col("value").alias("d18o_permille"), F.col("k").alias("d13c_permille"))
+    path = new_dir(spark, "samples")
+    rows.where("sample_id % 2 = 1").write.csv(f"{path}/a", header=True)
+    more = rows.where("sample_id % 2 = 0").select("sample_id", *[c for c in rows.columns if c != "sample_id"], F.lit(47.5).alias("latitude"), F.lit(8.0).alias("longitude"), F.col("d13c_permille").alias("depth_sample"))
+    more.write.csv(f"{path}/b", header=True)
+    found = sources.read_samples(spark, f"{path}/*/*.csv")
+    return found.select("site_id", "site_name", "entity_id", "sample_id", "entity_name", "age_bp", "age_ka", "d18o_permille", "d13c_permille", "latitude", "depth_sample")
+
+
+@query(f"WITH {SITES} SELECT site_id, site_name, trim(wkt) AS wkt, n_d18o, n_d13c FROM sites WHERE site_id % 9 <> 0")
+def read_site_table(spark, d):
+    path = new_dir(spark, "sites")
+    rows = sites(spark, d).select("site_id", "site_name", F.when(F.col("site_id") % 9 != 0, F.trim("wkt")).alias("wkt"), F.col("n_d18o").alias("n_d18o_samples"), F.col("n_d13c").alias("n_d13c_samples"))
+    rows.write.csv(path, header=True, quoteAll=True)
+    return sources.read_sites(spark, path)
+
+
+def proxy_files(spark, d) -> list[dict]:
+    """Files with untidy headers of two proxies, one that lacks its column, and one that is not there."""
+    path, rows = new_dir(spark, "proxies"), events(spark, d)
+    for name, column in (("ch4", "value"), ("dust", "k"), ("dd", "value")):
+        head = {"event_id": "\ufeffDepth", "age": " AGE ", column: "Other" if name == "dd" else name.upper()}
+        rows.select(*[F.round(c, 6).alias(h) if c == "age" else F.col(c).alias(h) for c, h in head.items()]).write.csv(f"{path}/{name}", header=True, sep=";")
+    shift = lambda n: dict(zip(("scale", "offset"), dims.DATUM_SHIFTS[n]))
+    return [{"series_id": n, "path": f"{path}/{n}"} | shift(n) for n in ("ch4", "dust", "dd", "d18o")]
+
+
+@query(f"""WITH {EV} SELECT 'ch4' AS series_id, round(round(age, 6) * 1000.0 + 50.0, 4) AS age, value FROM ev WHERE value IS NOT NULL
+UNION ALL SELECT 'dust', round(round(age, 6) * 1000.0 - 8.0, 4), k FROM ev WHERE k IS NOT NULL""")
+def read_proxy_sources(spark, d):
+    return sources.load_sources(spark, proxy_files(spark, d))[0].withColumn("age", F.round("age", 4))
+
+
+@query(f"WITH {EV} SELECT 'ch4' AS series_id, true AS is_read, count(value) AS rows FROM ev UNION ALL SELECT 'dust', true, count(k) FROM ev UNION ALL SELECT 'dd', false, 0 UNION ALL SELECT 'd18o', false, 0")
+def source_status(spark, d):
+    status = sources.load_sources(spark, proxy_files(spark, d))[1]
+    return status.select("series_id", (F.col("status") == "ok").alias("is_read"), "rows")
+
+
+LINE = f"'<' || s || '> <' || p || '> ' || {TERM} || ' .'"
+
+
+@query(f"""WITH {SITES}, t AS ({rows_sql('sites', 'sites', site_specs())} UNION ALL {rows_sql('sites', 'geo', geo_specs())})
+SELECT 'by graph' AS output, graph, {LINE} AS line FROM t UNION ALL SELECT 'combined', NULL, {LINE} FROM t""")
+def graph_text_files(spark, d):
+    """A folder of lines for each graph and one for all, read back."""
+    path, whole = new_dir(spark, "graphs"), triples.union_graphs(site_triples(spark, d), geo_site_triples(spark, d))
+    sinks.write_ntriples(whole, f"{path}/each")
+    sinks.write_ntriples(whole, f"{path}/all", by_graph=False)
+    each = spark.read.text(f"{path}/each").select(F.lit("by graph").alias("output"), "graph", F.col("value").alias("line"))
+    return each.unionByName(spark.read.text(f"{path}/all").select(F.lit("combined").alias("output"), F.lit(None).cast("string").alias("graph"), F.col("value").alias("line")))
+
+
+TABLES_SQL = f"""WITH {EV}, m AS ({median_sql("event_type")}), f AS ({fit_sql("event_type")}), e AS (SELECT event_type, min(age) AS lo, max(age) AS hi, min(value) AS vlo, max(value) AS vhi FROM ev GROUP BY 1),
+  st(top, bottom, stage, kind) AS (VALUES {stage_values("ice")}), v AS (SELECT event_id, 'unsmoothed' AS variant, round(value, 6) AS x FROM ev UNION ALL SELECT event_id, 'smooth11', median FROM m UNION ALL SELECT event_id, 'savgol11p2', savgol FROM f)
+SELECT 'variants' AS part, event_type AS series_id, variant AS name, round(age, 6) AS a, x AS b FROM v JOIN ev USING (event_id) WHERE x IS NOT NULL
+UNION ALL SELECT 'extents', event_type, 'age', round(lo, 6), round(hi, 6) FROM e
+UNION ALL SELECT 'extents', event_type, 'value', round(CASE WHEN event_type = 'click' THEN -5.0::DOUBLE ELSE vlo - (vhi - vlo) * 0.05 END, 6), round(CASE WHEN event_type = 'click' THEN 105.0::DOUBLE ELSE vhi + (vhi - vlo) * 0.05 END, 6) FROM e
+UNION ALL SELECT 'bands', event_type, stage, round(greatest(top, lo), 6), round(least(bottom, hi), 6) FROM e JOIN st ON greatest(top, lo) < least(bottom, hi)"""
+
+
+@query(TABLES_SQL)
+def series_tables(spark, d):
+    """The tables behind the drawings of a series per event type, written by series and read back."""
+    path = new_dir(spark, "series")
+    rows = events(spark, d).withColumnRenamed("event_type", "series_id")
+    sinks.write_series_tables(rows, dims.stages(spark, "ice"), path, list(ORDER), ticks={"click": [0.0, 50.0, 100.0]}, block_rows=BLOCK_ROWS)
+    read = lambda part, name, a, b: spark.read.parquet(f"{path}/{part}").select(F.lit(part).alias("part"), "series_id", F.col(name).alias("name"), F.round(a, 6).alias("a"), F.round(b, 6).alias("b"))
+    return read("variants", "variant", "age", "x").unionByName(read("extents", "axis", "low", "high")).unionByName(read("bands", "stage", "visible_top", "visible_bottom"))

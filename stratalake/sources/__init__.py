@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import number, to_ka, whole
@@ -35,18 +36,36 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def header_names(line: str) -> list[str]:
+    return [c.strip("\ufeff \"").lower() for c in line.split(",")]
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """Sample tables by glob: one wide schema, optional columns null where a file lacks them, age in ka, file name kept.
 
-    Columns are found by header name, per set of files with one header; rows without an age are dropped.
+    Files may differ in their columns and the order of these. A first read finds the header lines, and the files of each
+    different header are read with its names and united; the driver holds the names of the files. A glob in which a
+    file lacks a required column or a header raises; rows without an age are dropped.
     """
-    raw = spark.read.csv(path, header=True, enforceSchema=False)
-    raw = require(raw.toDF(*[c.strip("﻿ ").lower() for c in raw.columns]), ("site_id", "site_name", "entity_id", "sample_id", "age_bp", "d18o_permille", "d13c_permille"))
-    get = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")
-    rows = raw.select(
-        *[whole(get(c)).alias(c) for c in SAMPLE_WHOLE], *[get(c).alias(c) for c in SAMPLE_TEXT], *[number(get(c)).alias(c) for c in SAMPLE_NUMBER],
-        F.input_file_name().alias("source"),
-    )
+    need = ("site_id", "site_name", "entity_id", "sample_id", "age_bp", "d18o_permille", "d13c_permille")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    heads = lines.where(F.lower("value").contains("site_id") & F.lower("value").contains("age_bp")).groupBy("file").agg(F.min("value").alias("head")).collect()
+    if missing := set(lines.select("file").distinct().toPandas()["file"]) - {r.file for r in heads}:
+        raise ValueError(f"missing columns {list(need)} in {sorted(missing)[:5]}")
+    files: dict[tuple[str, ...], list[str]] = {}
+    for r in heads:
+        files.setdefault(tuple(header_names(r["head"])), []).append(r.file)
+    parts = []
+    for names, paths in sorted(files.items()):
+        raw = require(spark.read.csv(paths, header=True, schema=", ".join(f"`{c}` string" for c in names), enforceSchema=True), need)
+        get = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")  # noqa: B023, E731
+        parts.append(raw.select(
+            *[whole(get(c)).alias(c) for c in SAMPLE_WHOLE], *[get(c).alias(c) for c in SAMPLE_TEXT], *[number(get(c)).alias(c) for c in SAMPLE_NUMBER],
+            F.input_file_name().alias("source"),
+        ))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
     return rows.withColumn("age_ka", to_ka(F.col("age_bp"))).dropna(subset=["age_bp"])
 
 
@@ -66,18 +85,20 @@ def read_delimited_proxy(spark: SparkSession, path: str, proxy: str, sep: str =
 
 
 def load_sources(spark: SparkSession, configs: Sequence[dict]) -> tuple[DataFrame, DataFrame]:
-    """All sources that can be read, and a table (series_id, status) of all that were asked for.
+    """All sources that can be read, and a table (series_id, status, rows) of all that were asked for.
 
-    A config has series_id, path and the options of read_delimited_proxy. A missing file or column is noted and skipped.
+    A config has series_id, path and the options of read_delimited_proxy. Each source is counted, so a missing file or column and a
+    file that fails while it is read are noted and skipped, and the others go on.
     """
     parts, notes = [], []
     for c in configs:
         try:
-            parts.append(read_delimited_proxy(spark, c["path"], c["series_id"], c.get("sep", ";"), c.get("scale", 1.0), c.get("offset", 0.0)))
-            notes.append((c["series_id"], "ok"))
-        except (AnalysisException, ValueError) as e:
-            notes.append((c["series_id"], f"skipped: {str(e).splitlines()[0][:200]}"))
+            part = read_delimited_proxy(spark, c["path"], c["series_id"], c.get("sep", ";"), c.get("scale", 1.0), c.get("offset", 0.0))
+            notes.append((c["series_id"], "ok", part.count()))
+            parts.append(part)
+        except (PySparkException, Py4JJavaError, ValueError) as e:
+            notes.append((c["series_id"], f"skipped: {str(e).splitlines()[0][:200]}", 0))
     rows = parts[0] if parts else spark.createDataFrame([], "series_id string, age double, value double")
     for p in parts[1:]:
         rows = rows.unionByName(p, allowMissingColumns=True)
-    return rows, spark.createDataFrame(notes, "series_id string, status string")
+    return rows, spark.createDataFrame(notes, "series_id string, status string, rows long")

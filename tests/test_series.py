@@ -52,6 +52,7 @@ def test_delimited_sources_and_their_status(spark, tmp_path):
     rows, status = sources.load_sources(spark, configs)
     assert [(r.series_id, r.age, r.value) for r in rows.collect()] == [("ch4", 150.0, 700.0)]
     found = {r.series_id: r.status for r in status.collect()}
+    assert {r.series_id: r.rows for r in status.collect()} == {"ch4": 1, "dust": 0, "dd": 0}
     assert found["ch4"] == "ok" and "found" in found["dust"] and found["dd"].startswith("skipped")
     with pytest.raises(ValueError):
         sources.require(rows, ["nothing"])
@@ -88,3 +89,14 @@ def test_large_stage_tables_join_by_bins(spark):
     stages = dims.stages(spark, "cave")
     for f in (lambda most: intervals.clip_stages(extents, stages, ["k"], most), lambda most: intervals.tag_stage(ages, stages, most=most)):
         assert sorted(map(str, f(100).collect())) == sorted(map(str, f(1).collect()))
+
+
+def test_samples_with_different_headers(spark, tmp_path):
+    (tmp_path / "v_a.csv").write_text("site_id,site_name,entity_id,entity_name,sample_id,age_bp,d18o_permille,d13c_permille\n1,A,2,E,3,1500,-5.5,\n")
+    (tmp_path / "v_b.csv").write_text("\ufeffsample_id,Site_ID,site_name,entity_id,age_bp,d18o_permille,d13c_permille,latitude,longitude,depth_sample\n4,2,B,7,2500,,1.5,47.5,-8,12\n")
+    got = {r.site_id: r for r in sources.read_samples(spark, f"{tmp_path}/v_*.csv").collect()}
+    assert (got[1].sample_id, got[1].latitude, got[1].entity_name) == (3, None, "E") and (got[2].sample_id, got[2].latitude, got[2].depth_sample, got[2].entity_name) == (4, 47.5, 12.0, None)
+    assert got[2].source.endswith("v_b.csv")
+    (tmp_path / "v_c.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError):
+        sources.read_samples(spark, f"{tmp_path}/v_*.csv")

@@ -98,3 +98,11 @@ def test_large_subjects_get_several_blocks(spark):
     own = [r.block for r in got if r.s.endswith("D")]
     assert 5 < len(own) < 20 and sum(b.count("hasObservation") for b in own) == 100 and max(b.count("hasObservation") for b in own) < 30
     assert len(got) == len(own) + 1 and all(b.endswith(" .") for b in own)
+
+
+def test_metadata_takes_texts_and_places(spark):
+    given = triples.core_metadata(spark, "m", "2020-05-06", texts={"title": "Deep core"}, sources={"CH4": {"creator": "Someone", "unit": "PPM"}}, lon=1.5, lat=-2.0)
+    o = {(r.s.removeprefix(dims.BASE), r.p): r.o for r in given.collect()}
+    assert given.distinct().count() == 93 and o["Dataset", dims.iri("dct:title")] == "Deep core" and o["Source_Dataset_CH4", dims.iri("dct:creator")] == "Someone"
+    assert o["Property_CH4", dims.iri("qudt:unit")] == dims.iri("unit:PPM") and o["Site_Geometry", dims.iri("geo:asWKT")].endswith("POINT(1.500000 -2.000000)")
+    assert triples.core_metadata(spark, "m", "2020-05-06", lon=None).count() == 91
