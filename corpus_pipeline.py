@@ -44,16 +44,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A copy of a document for each of its passes of which the mix takes half or more, in the order of their training
     positions; one of no words comes once.
 
-    A row is known by a digest of all its columns. Rows that are equal in all of them share one row of texts, which has
-    the passes of all of them, so none is lost or added; COPIES of them at most are put together by one task.
+    A row is known by a digest of all its columns. Where rows are equal in all of them, which is looked up, these share one row of
+    texts, which has the passes of all of them, so none is lost or added; COPIES of them at most are put together by one task.
     """
     keyed = docs.withColumn(KEY, F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})))
     mixed = mixing.mix(keyed.select("doc_id", "text", "source", KEY), keep=(KEY,))
     chunk = F.floor(F.col("copy") / COPIES)
     passes = mixing.training_order(mixed).where(2 * F.col("pass_words") >= F.col("size")).select(KEY, chunk.alias(CHUNK), F.col("position").alias(AT))
-    rows = keyed.groupBy(KEY).agg(F.first(F.struct(*docs.columns)).alias(ROW), F.count("*").alias(CHUNK))
-    rows = rows.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(CHUNK) - 1) / COPIES))))
-    copies = rows.join(passes, [KEY, CHUNK]).repartitionByRange(AT, KEY).sortWithinPartitions(AT, KEY).select(f"{ROW}.*")
+    if mixed.where("copy > 0").isEmpty():
+        copies = keyed.select(KEY, F.struct(*docs.columns).alias(ROW)).join(passes.drop(CHUNK), KEY)
+    else:
+        rows = keyed.groupBy(KEY).agg(F.first(F.struct(*docs.columns)).alias(ROW), F.count("*").alias(CHUNK))
+        rows = rows.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(CHUNK) - 1) / COPIES))))
+        copies = rows.join(passes, [KEY, CHUNK])
+    copies = copies.repartitionByRange(AT, KEY).sortWithinPartitions(AT, KEY).select(f"{ROW}.*")
     return copies.unionByName(docs.where(F.size(words(F.col("text"))) == 0))
 
 
