@@ -331,9 +331,9 @@ def core_specs() -> list[tuple]:
 CORE_ROWS = f"{smoothed_sql('user_id')}, t AS ({rows_sql('obs', 'core', core_specs())})"
 
 
-def core_graph(spark, d):
+def core_graph(spark, d, only=None):
     rows = observations(spark, d, ["user_id"]).select(F.col("event_id").alias("seq"), F.col("age").alias("age_ka"), (F.col("age") / 8).alias("depth_m"), "value", "median", "savgol")
-    return triples.core_observation_triples(rows, "core", "CH4", 2)
+    return triples.core_observation_triples(rows, "core", "CH4", 2, only=only)
 
 
 @query(f"{CORE_ROWS} SELECT * FROM t")
@@ -519,7 +519,8 @@ def q_sites_geometry_distinct(spark, d):
 @query(f"""{smoothed_sql('user_id')} SELECT '{BASE}Obs_CH4_' || printf('%04d', event_id) AS obs, CAST({number_sql('age', 4)} AS DOUBLE) AS age, CAST({number_sql('value', 2)} AS DOUBLE) AS value, CAST({number_sql('median', 2)} AS DOUBLE) AS smoothed
 FROM obs WHERE age IS NOT NULL AND value IS NOT NULL AND median IS NOT NULL""")
 def q_observation_star(spark, d):
-    return graph_queries.observations_by_age(core_graph(spark, d), "sosa:Observation")
+    asked = ("rdf:type", "sosa:resultTime", "sosa:hasSimpleResult", "own:smoothedValue_rollingMedian")
+    return graph_queries.observations_by_age(core_graph(spark, d, asked), "sosa:Observation")
 
 
 @query(f"""{CORE_ROWS} SELECT k.s AS obs, CAST(a.o AS DOUBLE) AS age, CAST(v.o AS DOUBLE) AS value, CAST(m.o AS DOUBLE) AS smoothed
