@@ -27,8 +27,9 @@ from pyspark.sql.window import Window
 
 #: The id that ends each document.
 END = 1
-#: Bytes after which a task begins another file; rows tokenised or read at a time; words that a worker remembers.
-FILE_BYTES, BATCH, MEMO_WORDS = 32 << 20, 256, 800_000
+#: Bytes after which a task begins another file; rows tokenised or read at a time; words that a worker remembers, and marks of
+#: words met once.
+FILE_BYTES, BATCH, MEMO_WORDS, MET = 32 << 20, 256, 340_000, 1 << 22
 #: Bytes of text and rows of a range of ids at most, ranges for each core where the whole is small, and the characters by
 #: which rows of one id are put in order first.
 RANGE_BYTES, RANGE_ROWS, RANGES_EACH, LEADING = 128 << 20, 200_000, 6, 64
@@ -61,9 +62,10 @@ class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
     With `split_on_space`, for a tokenizer that always breaks at white space and folds case, the ids of a text are those
-    of its words in turn, so each worker asks the library for a word once and remembers up to MEMO_WORDS of them. That
-    holds for texts within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other
-    text goes to the library whole.
+    of its words in turn, so a worker asks the library for the words that it does not remember. It remembers up to
+    MEMO_WORDS of those met in a second batch: words met once are most of all, and only leave a mark. That holds for texts
+    within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other text goes to the
+    library whole.
     """
 
     #: Marks that the tokenizer always parts from a letter before them, and a digit, which is a token of its own.
@@ -73,6 +75,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memo, self.split_on_space = Tokenizer.from_file(path), {}, split_on_space
+        self.met, self.marked = bytearray(MET), 0
         self.cut = self.ids(self.SEPARATOR)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
@@ -83,9 +86,9 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, found: set[bytes]) -> None:
-        """Puts the ids of words into the memo: words of letters and marks from their two parts, and many in one call."""
-        pairs, single = [], set()
+    def learn(self, found: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words, and maybe of parts of them: words of letters and marks from their two parts, and many in one call."""
+        pairs, single, fresh = [], set(), {}
         for w in found:
             stem = w.rstrip(self.MARKS)
             if len(stem) < len(w) and stem[-1:].isalpha():
@@ -96,22 +99,38 @@ class Encoder:
         texts = {w: w.decode("latin-1") for w in single if w not in self.memo}
         letters = [w for w, t in texts.items() if t.isalpha()]  # each is cut into one word, so one id ends it
         ids = self.ids(" ".join(texts[w] for w in letters))
-        self.remember(letters, ids, (np.flatnonzero(self.last[ids]) + 1) * 4, 0)
+        self.part(fresh, letters, ids, (np.flatnonzero(self.last[ids]) + 1) * 4, 0)
         plain = [w for w, t in texts.items() if not t.isalpha() and self.SEPARATOR not in t and "<|" not in t]
         ids = self.ids(f" {self.SEPARATOR} ".join(texts[w] for w in plain))
-        self.remember(plain, ids, np.r_[np.flatnonzero(ids == self.cut[0]) * 4, 4 * len(ids)] if plain else np.zeros(0, int), 4)
+        self.part(fresh, plain, ids, np.r_[np.flatnonzero(ids == self.cut[0]) * 4, 4 * len(ids)] if plain else np.zeros(0, int), 4)
         for w in texts.keys() - set(letters) - set(plain):
-            self.memo[w] = self.ids(texts[w]).tobytes()
+            fresh[w] = self.ids(texts[w]).tobytes()
+        known = lambda w: fresh[w] if w in fresh else self.memo[w]
         for w, stem, marks in pairs:
-            self.memo[w] = self.memo[stem] + self.memo[marks]
+            fresh[w] = known(stem) + known(marks)
+        return fresh
+
+    def remember(self, fresh: dict[bytes, bytes]) -> None:
+        """Puts words that were met before into the memo, and marks the others as met. A mark may stand for several words,
+        which only lets one in early."""
+        if self.marked > MET // 2:
+            self.met, self.marked = bytearray(MET), 0
+        met = self.met
+        for w, raw in fresh.items():
+            at = hash(w) % MET
+            if met[at]:
+                self.memo[w] = raw
+            else:
+                met[at] = 1
+                self.marked += 1
 
-    def remember(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+    def part(self, fresh: dict[bytes, bytes], words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
         """Takes the words' ids from the ids of all of them, by the bytes at which each ends and those between two."""
         if len(ends) != len(words):
             raise ValueError("this tokenizer doesn't keep words apart: use split_on_space=False")
         raw, at = ids.tobytes(), 0
         for w, end in zip(words, ends.tolist()):
-            self.memo[w], at = raw[at:end], end + gap
+            fresh[w], at = raw[at:end], end + gap
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split: list[list[bytes] | None] = []
@@ -124,14 +143,14 @@ class Encoder:
             self.memo.clear()
         get = self.memo.get
         found = [s and list(map(get, s)) for s in split]
-        if new := {w for s, f in zip(split, found) if f and None in f for w, x in zip(s, f) if x is None}:
-            self.learn(new)
-        memo, out = self.memo, []
+        new = {w for s, f in zip(split, found) if f and None in f for w, x in zip(s, f) if x is None}
+        fresh, out = self.learn(new) if new else {}, []
         for t, s, f in zip(texts, split, found):
             if s is None:
                 out.append(self.ids(t).tobytes())
             else:
-                out.append(b"".join([memo[w] if x is None else x for w, x in zip(s, f)] if None in f else f))
+                out.append(b"".join([fresh[w] if x is None else x for w, x in zip(s, f)] if None in f else f))
+        self.remember(fresh)
         return out
 
 
