@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import fold, labelled_sample
 
 #: Most labelled documents that the model is fitted on, hashed features, words of a training sequence, words remembered.
-SAMPLE, FEATURES, SEQUENCE, MEMO = 6000, 1 << 16, 64, 300_000
+SAMPLE, FEATURES, SEQUENCE, MEMO = 6000, 1 << 16, 64, 120_000
 #: Lengths of the beginnings of a word; documents, their share, odds and standard deviations that a unit of the lexicon needs.
 PREFIXES, LEAST_DOCS, LEAST_SHARE, ODDS, SIGMAS = (4, 5, 6, 7, 8), 4, 0.02, 4.0, 5.0
 FEATURES_EACH, MARKS = 1 + len(PREFIXES), 1 << 22
