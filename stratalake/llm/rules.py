@@ -7,6 +7,7 @@ raw corpus. A document's verdict is its log-likelihood ratio, divided by its num
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,8 +15,9 @@ from .common import settled, words
 
 #: Fixed values of the base rules.
 SYMBOLS, LEAST_WORDS, MOST_REPEATED = "#*$%&|<>", 50, 50
-#: Buckets of hashed n-grams, n-grams of a text (runs of letters or digits, and runs of other marks, are its units).
-BUCKETS, LONGEST = 1 << 13, 2
+#: Buckets of hashed n-grams of up to BASE_BYTES of text, n-grams of a text (runs of letters or digits, and runs of other
+#: marks, are its units).
+BUCKETS, BASE_BYTES, LONGEST = 1 << 13, 32 << 20, 2
 UNIT = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+"
 #: What is added to each bucket's share, the verdict's threshold, and most trusted ids that are sent to all tasks.
 SMOOTHING, THRESHOLD, MOST_SENT = 0.5, -0.3, 500_000
@@ -56,19 +58,30 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.withColumn("base_failed", failed).drop("_stratalake_w", "_stratalake_l", "_stratalake_k", "_stratalake_s", "_stratalake_p", "_stratalake_c")
 
 
+def buckets_for(size: int) -> int:
+    """Buckets for a corpus of `size` bytes of text: BUCKETS for BASE_BYTES, twice as many for each eightfold of these.
+
+    So they grow as the cube root of the text, and 100 TB have 2^21, which a task holds in some 50 MB.
+    """
+    many, reach = BUCKETS, BASE_BYTES
+    while reach < size:
+        many, reach = 2 * many, 8 * reach
+    return many
+
+
 def buckets(text: Column) -> Column:
     """The hashed n-grams of a text, of one to LONGEST units, as numbers of buckets; null has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({UNIT})"), 1)
 
 
-def bucket(units: str, at: Column, n: int) -> Column:
-    """The bucket of the n units from place `at`; at the end of a text there are fewer."""
-    return F.pmod(F.xxhash64(*[F.get(units, at + k) for k in range(n)], F.lit(n)), F.lit(BUCKETS)).cast("int")
+def bucket(units: str, at: Column, n: int, of: int) -> Column:
+    """The bucket, one of `of`, of the n units from place `at`; at the end of a text there are fewer."""
+    return F.pmod(F.xxhash64(*[F.get(units, at + k) for k in range(n)], F.lit(n)), F.lit(of)).cast("int")
 
 
-def grams(units: str) -> Column:
+def grams(units: str, of: int) -> Column:
     places = F.sequence(F.lit(0), F.size(units) - 1)
-    found = F.flatten(F.transform(places, lambda i: F.array(*[bucket(units, i, n) for n in range(1, LONGEST + 1)])))
+    found = F.flatten(F.transform(places, lambda i: F.array(*[bucket(units, i, n, of) for n in range(1, LONGEST + 1)])))
     return F.when(F.size(units) > 0, found).otherwise(F.array().cast("array<int>"))
 
 
@@ -84,24 +97,24 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(good) if few else good, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
 
-def counts(texts: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
-    """How often each bucket occurs in texts (text, _good) that are good, and in all: one pass over them, at most BUCKETS
+def counts(texts: DataFrame, of: int) -> tuple[dict[int, int], dict[int, int]]:
+    """How often each bucket occurs in texts (text, _good) that are good, and in all: one pass over them, at most `of`
     rows, combined in the tasks before they are shuffled."""
-    rows = texts.select(buckets(F.col("text")).alias("u"), "_good").select("u", F.size("u").alias("n"), "_good").select(F.explode(grams("u")).alias("b"), "_good")
+    rows = texts.select(buckets(F.col("text")).alias("u"), "_good").select("u", F.size("u").alias("n"), "_good").select(F.explode(grams("u", of)).alias("b"), "_good")
     found = rows.groupBy("b").agg(F.count("_good").alias("good"), F.count("*").alias("n")).collect()
     return {r.b: r.good for r in found}, {r.b: r.n for r in found}
 
 
 def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
-    """log(target share / raw share) of each bucket. The raw counts cover every document, the target every one that is
-    labelled 1. With no such document, or no n-gram in them, all ratios are 0."""
-    target, raw = counts(trusted(docs.select("doc_id", "text"), labels))
+    """log(target share / raw share) of each bucket, of which there are more the more text docs have (buckets_for). The
+    raw counts cover every document, the target every one that is labelled 1. With no such document, or no n-gram in
+    them, all ratios are 0."""
+    many = buckets_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    target, raw = counts(trusted(docs.select("doc_id", "text"), labels), many)
     if not any(target.values()):
-        return [0.0] * BUCKETS
-    import math
-
-    t, r = sum(target.values()) + SMOOTHING * BUCKETS, sum(raw.values()) + SMOOTHING * BUCKETS
-    return [math.log((target.get(b, 0) + SMOOTHING) / t) - math.log((raw.get(b, 0) + SMOOTHING) / r) for b in range(BUCKETS)]
+        return [0.0] * many
+    t, r = sum(target.values()) + SMOOTHING * many, sum(raw.values()) + SMOOTHING * many
+    return [math.log((target.get(b, 0) + SMOOTHING) / t) - math.log((raw.get(b, 0) + SMOOTHING) / r) for b in range(many)]
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -113,7 +126,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text
     weights = ratios(docs.select("doc_id", F.col(text).alias("text")), labels)
     constant = F.from_json(F.lit(json.dumps({"v": [round(x, 9) for x in weights]})), "v array<double>")["v"]
     scored = base_counts(docs, text).withColumn("_stratalake_u", buckets(F.col(text)))
-    size, add = F.size("_stratalake_u"), lambda i: sum((F.get(constant, bucket("_stratalake_u", i, n)) for n in range(2, LONGEST + 1)), F.get(constant, bucket("_stratalake_u", i, 1)))
+    size, add = F.size("_stratalake_u"), lambda i: sum((F.get(constant, bucket("_stratalake_u", i, n, len(weights))) for n in range(2, LONGEST + 1)), F.get(constant, bucket("_stratalake_u", i, 1, len(weights))))
     total = F.aggregate(F.sequence(F.lit(0), size - 1), F.lit(0.0), lambda acc, i: acc + add(i))
     scored = scored.withColumn("llr", settled(F.when(size > 0, total / (size * LONGEST)).otherwise(F.lit(0.0))))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("_stratalake_u")

@@ -50,6 +50,19 @@ def test_ratio_against_plain_counts(spark):
         assert abs(r.llr - (sum(map(ratio, g)) / len(g) if g else 0.0)) < 1e-6
 
 
+def test_more_text_has_more_buckets(spark, monkeypatch):
+    assert [rules.buckets_for(x << 20) for x in (0, 32, 33, 256, 257, 100 << 20)] == [1 << k for k in (13, 13, 14, 14, 15, 21)]
+    docs = spark.createDataFrame([(1, "good words here"), (2, "bad%% words | here"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(rules, "BASE_BYTES", 4)  # 33 bytes
+    assert len(rules.ratios(docs, labels)) == 4 * rules.BUCKETS == len(rules.ratios(docs, labels.where("false")))
+    t, r = 6 + 2 * rules.BUCKETS, 16 + 2 * rules.BUCKETS  # the last unit also counts as a pair with none
+    ratio = lambda good, n: math.log((good + 0.5) / t) - math.log((n + 0.5) / r)
+    got = {x.doc_id: x.llr for x in rules.judge(docs, labels).collect()}
+    want = {1: (3 * ratio(1, 1) + 3 * ratio(1, 2)) / 6, 2: (7 * ratio(0, 1) + 3 * ratio(1, 2)) / 10, 3: 0.0}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
 def test_verdicts(spark, odd, empty, labels):
     got = rules.judge(odd.withColumn("llr", F.lit("clash")), labels)
     assert same_rows(odd, got) and all(not r.kept for r in got.where("base_failed").collect())
