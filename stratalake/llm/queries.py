@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, mixing, quality, rules, secrets, simhash, token_output, toxicity, url_filter
+from . import decontaminate, language, mixing, packing, quality, rules, secrets, simhash, token_output, toxicity, url_filter, whitening
 from .common import fold, new_dir, table
 
 
@@ -74,6 +74,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), split_on_space=True)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    entries = F.posexplode(F.arrays_zip("white.whitened", "white.explained")).alias("component", "entry")
+    found = rows.select("vec_id", "white", entries)
+    return found.select("vec_id", (F.col("component") + 1).alias("component"), "white.n", "white.deviation", "entry.whitened", "entry.explained", "white.identity_error")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -81,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter, pipeline)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter, op12_sequence_packing, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,16 +20,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from .batches import Memo, slices
+
 #: The id that ends each document.
 END = 1
-#: Bytes after which a task begins another file; rows tokenised or read at a time; words that a worker remembers, and marks of
-#: words met once.
-FILE_BYTES, BATCH, MEMO_WORDS, MET = 32 << 20, 256, 340_000, 1 << 22
+#: Bytes after which a task begins another file; words that a worker remembers at most, and the bytes that they may hold.
+FILE_BYTES, MEMO_WORDS, MEMO_BYTES = 32 << 20, 340_000, 48 << 20
 #: Bytes of text and rows of a range of ids at most, ranges for each core where the whole is small, and the characters by
 #: which rows of one id are put in order first.
 RANGE_BYTES, RANGE_ROWS, RANGES_EACH, LEADING = 128 << 20, 200_000, 6, 64
@@ -62,10 +64,9 @@ class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
     With `split_on_space`, for a tokenizer that always breaks at white space and folds case, the ids of a text are those
-    of its words in turn, so a worker asks the library for the words that it does not remember. It remembers up to
-    MEMO_WORDS of those met in a second batch: words met once are most of all, and only leave a mark. That holds for texts
-    within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other text goes to the
-    library whole.
+    of its words in turn, so a worker asks the library for the words that it does not remember (batches.Memo). That holds for
+    texts within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other text goes to
+    the library whole.
     """
 
     #: Marks that the tokenizer always parts from a letter before them, and a digit, which is a token of its own.
@@ -74,8 +75,7 @@ class Encoder:
     def __init__(self, path: str, split_on_space: bool):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo, self.split_on_space = Tokenizer.from_file(path), {}, split_on_space
-        self.met, self.marked = bytearray(MET), 0
+        self.tokenizer, self.memo, self.split_on_space = Tokenizer.from_file(path), Memo(), split_on_space
         self.cut = self.ids(self.SEPARATOR)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
@@ -110,20 +110,6 @@ class Encoder:
             fresh[w] = known(stem) + known(marks)
         return fresh
 
-    def remember(self, fresh: dict[bytes, bytes]) -> None:
-        """Puts words that were met before into the memo, and marks the others as met. A mark may stand for several words,
-        which only lets one in early."""
-        if self.marked > MET // 2:
-            self.met, self.marked = bytearray(MET), 0
-        met = self.met
-        for w, raw in fresh.items():
-            at = hash(w) % MET
-            if met[at]:
-                self.memo[w] = raw
-            else:
-                met[at] = 1
-                self.marked += 1
-
     def part(self, fresh: dict[bytes, bytes], words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
         """Takes the words' ids from the ids of all of them, by the bytes at which each ends and those between two."""
         if len(ends) != len(words):
@@ -139,8 +125,7 @@ class Encoder:
                 split.append(t.encode("latin-1").lower().split() if self.split_on_space and "<|" not in t else None)
             except UnicodeEncodeError:
                 split.append(None)
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        self.memo.bound(MEMO_WORDS, MEMO_BYTES)
         get = self.memo.get
         found = [s and list(map(get, s)) for s in split]
         new = {w for s, f in zip(split, found) if f and None in f for w, x in zip(s, f) if x is None}
@@ -150,7 +135,7 @@ class Encoder:
                 out.append(self.ids(t).tobytes())
             else:
                 out.append(b"".join([fresh[w] if x is None else x for w, x in zip(s, f)] if None in f else f))
-        self.remember(fresh)
+        self.memo.remember(fresh)
         return out
 
 
@@ -189,7 +174,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bo
     equal = [F.monotonically_increasing_id().asc()] if part_equal else []
     ordered = rows.repartitionByRange(ranges, *order, *equal).sortWithinPartitions(*order)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, (fs, base) = encoder_of(tokenizer, split_on_space), open_fs(path)
         fs.create_dir(base, recursive=True)
         part, file, done, out = TaskContext.get().partitionId(), 0, [], None
@@ -204,14 +189,13 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bo
             out, file = None, file + 1
 
         for batch in batches:
-            for lo in range(0, len(batch), BATCH):
-                piece = batch.iloc[lo : lo + BATCH]
-                for doc, null, raw in zip(piece.doc_id, piece.doc_id.isna(), encoder.encode([t or "" for t in piece.text])):
+            for piece in slices(batch, "text"):
+                for doc, raw in zip(piece.column("doc_id").to_pylist(), encoder.encode([t or "" for t in piece.column("text").to_pylist()])):
                     if out is None:
                         name = posixpath.join(base, f"part-{part:05d}-{file:04d}-{uuid.uuid4().hex}")
                         out, at, ids, offsets = fs.open_output_stream(f"{name}.rec"), 0, 0, []
                     tokens = np.frombuffer(raw + struct.pack("<I", END), "<u4")
-                    payload = struct.pack("<BBq", encoder.width, null, 0 if null else int(doc)) + tokens.astype(small).tobytes()
+                    payload = struct.pack("<BBq", encoder.width, doc is None, doc or 0) + tokens.astype(small).tobytes()
                     offsets.append(at)
                     at += out.write(framed := frame(payload)) or len(framed)
                     ids += len(tokens)
@@ -219,10 +203,12 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bo
                         close()
         if out is not None:
             close()
-        yield pd.DataFrame(done, columns=["part", "file", "path", "records", "ids"])
+        columns = zip(*done) if done else [[]] * 5
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "file", "path", "records", "ids"])
 
     manifest = f"{path}/manifest.parquet"
-    ordered.mapInPandas(write, MANIFEST).write.parquet(manifest)
+    ordered.mapInArrow(write, MANIFEST).write.parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 
