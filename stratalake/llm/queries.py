@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, mixing, packing, quality, rules, secrets, simhash, token_output, toxicity, url_filter, whitening
+from . import alignment, decontaminate, language, mixing, packing, quality, rules, secrets, simhash, token_output, toxicity, url_filter, whitening
 from .common import fold, new_dir, table
 
 
@@ -74,6 +74,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.score(alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -94,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter, op12_sequence_packing, op13_embedding_whitening, pipeline)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_benchmark_decontamination, op4_source_mixing, op5_secret_scan, op6_language_id, op7_simhash_near_dedup, op8_toxicity, op9_token_output, op10_url_filter, op11_token_alignment, op12_sequence_packing, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
