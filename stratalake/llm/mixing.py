@@ -1,9 +1,12 @@
 """Mixing sources to target weights as a time-varying curriculum, with built-in functions only.
 
-Training positions run over [0, 1). Source s is drawn at position t with a weight in proportion to 1 + ramp * (2t - 1),
-so that its share grows over the run where its ramp is positive and falls where it is negative; integrated, the words it
-has given by t are target * (t + ramp * (t * t - t)). A document's place in its source's stream of words, divided by the
-target, is inverted through that curve to a position, and documents are range-sorted by position.
+Training positions run over [0, 1) and are shares of all words. At position t, source s gives a share in proportion to
+target * (1 + ramp * (2t - 1)) of the words, which grows over the run where its ramp is positive and falls where it is negative. The
+ramps of the weights are moved by their mean over all targets, so that the shares add up to the same at every t.
+Integrated, the words a source has given by t are target * (t + ramp * (t * t - t)). A document's place in its source's
+stream of words, divided by the target, is inverted through that curve to a position, and documents are range-sorted by
+position. How many words a source gives in all is its target's alone, so `taken` follows from the targets and the order
+of a source's documents; the schedule decides when they come.
 """
 
 from __future__ import annotations
@@ -15,12 +18,13 @@ from .common import stored, words
 
 #: Weights of the sources in turn, share of all words that the mix takes, most passes over a source.
 WEIGHTS, SHARE, PASSES = (5, 2, 1), 1.5, 2
-#: Ramp of the schedule for each weight, and rows of a run of documents within which places are summed.
-RAMPS, RUN_ROWS = (0.5, 0.0, -0.5), 5000
+#: Ramp of the schedule for each weight, rows of a run of documents within which places are summed, and copies of one row that a
+#: task places.
+RAMPS, RUN_ROWS, COPIES = (0.5, 0.0, -0.5), 5000, 1000
 
 
 def source_targets(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes: int = PASSES, ramps: tuple = RAMPS) -> DataFrame:
-    """One row per source: source, weight, ramp, source_size, rows, target.
+    """One row per source: source, weight, ramp (moved so that target * ramp adds up to 0), source_size, rows, target.
 
     The budget `share` * all words is dealt out by weight, no source getting more than `passes` times its size; what is
     cut off is dealt to the others again. With the sources ordered by cap / weight, those before the first one that the
@@ -38,10 +42,11 @@ def source_targets(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHA
     level = (budget - F.coalesce(F.sum("cap").over(upto), F.lit(0.0))) / F.sum("weight").over(onward)
     leveled = ranked.withColumn("level", level).withColumn("open", F.col("level") * F.col("weight") < F.col("cap"))
     first = F.first(F.when(F.col("open"), F.col("level")), ignorenulls=True).over(whole)
-    return leveled.withColumn("final", first).select(
-        "source", "weight", "ramp", "source_size", "rows",
-        F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))).alias("target"),
-    )
+    targets = leveled.withColumn("final", first).withColumn("target", F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))))
+    mean = F.coalesce(F.try_divide(F.sum(F.col("ramp") * F.col("target")).over(whole), F.sum("target").over(whole)), F.lit(0.0))
+    moved = targets.withColumn("moved", F.col("ramp") - mean)
+    steepest = F.greatest(F.lit(1.0), F.max(F.abs("moved")).over(whole))  # a share is never below 0
+    return moved.withColumn("ramp", F.col("moved") / steepest).select("source", "weight", "ramp", "source_size", "rows", "target")
 
 
 def position(done: Column, ramp: Column) -> Column:
@@ -66,8 +71,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     each of the document's passes begins and ends (passes_of()), and first_position is where the first begins, null if it gives none.
 
     Nulls: a null text has size 0, a null source is a source that comes last, a null id is an id like any other. Documents
-    of size 0 take nothing. Equal rows stand side by side and are counted, not sorted; sums over a hot source are taken in
-    runs of about RUN_ROWS documents by digest, so no task holds a source, nor all rows of one id. Reruns agree.
+    of size 0 take nothing. Equal rows stand side by side and are counted, not sorted; where there are more than COPIES of
+    one, its copies are dealt out to tasks by so many. Sums over a hot source are taken in runs of about RUN_ROWS documents by
+    digest, so no task holds a source, nor all rows of one id. Reruns agree.
     """
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"), F.coalesce(F.col(text), F.lit(""))))
     sized = docs.select("doc_id", "source", F.size(words(F.col(text))).cast("long").alias("size"), F.xxhash64(text).alias("row_hash"), key.alias("key"), *keep)
@@ -83,7 +89,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     within = Window.partitionBy("source", "run").orderBy("key", "doc_id", "row_hash", *keep).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("ahead", F.coalesce(F.sum(words_of).over(within), F.lit(0)))
     placed = placed.join(starts, placed["source"].eqNullSafe(starts["_s"]) & (placed["run"] == starts["_r"]))
-    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    placed = copied(placed, (sized.agg(F.max("copies")).first()[0] or 0) > COPIES)
     placed = placed.withColumn("place", F.col("run_start") + F.col("ahead") + F.col("copy") * F.col("size"))
     ran = placed.withColumn("_passes", passes_of())
     taken = F.aggregate("_passes", F.lit(0).cast("long"), lambda a, p: a + p["pass_words"])
@@ -93,6 +99,18 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, passes:
     ), "mixed")
 
 
+def copied(rows: DataFrame, hot: bool) -> DataFrame:
+    """A row for each of the `copies` of rows, numbered in a column copy. Where some have more than COPIES (`hot`), these are
+    parted into chunks first, which are dealt to tasks before they are written out."""
+    each = lambda first, end: F.explode(F.sequence(first, end - 1))
+    if not hot:
+        return rows.withColumn("copy", each(F.lit(0).cast("long"), F.col("copies")))
+    few = rows.where(F.col("copies") <= COPIES).withColumn("copy", each(F.lit(0).cast("long"), F.col("copies")))
+    many = rows.where(F.col("copies") > COPIES).withColumn("chunk", each(F.lit(0).cast("long"), F.ceil(F.col("copies") / COPIES)))
+    many = many.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "chunk").withColumn("copy", each(F.col("chunk") * COPIES, F.least("copies", (F.col("chunk") + 1) * COPIES)))
+    return few.unionByName(many.drop("chunk"))
+
+
 def passes_of() -> Column:
     """The passes over a document that begin within the run, as structs (pass, position, pass_words).
 
@@ -152,7 +170,9 @@ ranked AS (SELECT *, (CASE turn WHEN 0 THEN {WEIGHTS[0]} WHEN 1 THEN {WEIGHTS[1]
 leveled AS (SELECT *, ({SHARE} * (sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
 chosen AS (SELECT min_by(level, cap / weight) AS final FROM leveled WHERE level * weight < cap),
-targets AS (SELECT source, source_size, ramp, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * weight) END AS target FROM leveled, chosen),
+met AS (SELECT source, source_size, ramp, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * weight) END AS target FROM leveled LEFT JOIN chosen ON true),
+moved AS (SELECT source, source_size, target, ramp - coalesce(sum(ramp * target) OVER () / nullif(sum(target) OVER (), 0), 0) AS ramp FROM met),
+targets AS (SELECT source, source_size, target, ramp / greatest(1, max(abs(ramp)) OVER ()) AS ramp FROM moved),
 placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, t.ramp, CAST(round(t.target) AS BIGINT) AS goal,
     coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),

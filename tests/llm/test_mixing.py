@@ -105,3 +105,26 @@ def test_equal_rows_and_hot_ids_are_placed_one_by_one(spark, monkeypatch):
     assert len(rows) == 241 and sorted(r.copy for r in rows if r.doc_id is None) == list(range(40))
     spans = sorted((r.place, r.size) for r in rows if r.source == "s")
     assert spans == [(sum(n for _, n in spans[:i]), n) for i, (_, n) in enumerate(spans)]
+
+
+def test_every_tenth_of_the_run_has_as_many_words(spark, data):
+    """The words that the schedules give by t are t of all; what is read off the passes differs by parts of documents only."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    for ramps in (m.RAMPS, (3.0, 0.0, -0.5)):
+        targets = m.source_targets(docs.select("source", F.size(m.words(F.col("text"))).cast("long").alias("size")), ramps=ramps).collect()
+        total = sum(r.target for r in targets)
+        assert abs(sum(r.target * r.ramp for r in targets)) < 1e-6 * total and max(abs(r.ramp) for r in targets) <= 1
+        rows = m.training_order(m.mix(docs, ramps=ramps)).collect()
+        largest = max(r.pass_words for r in rows)
+        for tenth in range(1, 10):
+            got = sum(r.pass_words for r in rows if r.position < tenth / 10)
+            assert abs(got - total * tenth / 10) <= largest * len(targets)
+
+
+def test_many_equal_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(m, "COPIES", 7)
+    docs = spark.createDataFrame([(1, "a b", "s")] * 100 + [(2, "c", "s"), (3, "d e f", "t")], "doc_id long, text string, source string")
+    rows = m.mix(docs)
+    assert rows.count() == 102 and sorted(r.copy for r in rows.where("doc_id = 1").collect()) == list(range(100))
+    parts = m.copied(spark.createDataFrame([("k", 100)], "key string, copies long"), True).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
