@@ -6,9 +6,9 @@ Operators that add working columns for a while name them _stratalake_…; those
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..storage import new_dir, remove, shared_dir, stored  # noqa: F401  (the operators take them from here)
 
@@ -62,12 +62,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, m
 
 
 def within_bytes(rows: DataFrame, most_bytes: int) -> DataFrame:
-    """Of a sample (doc_id, text, …) of few rows with an id each, those whose texts in the order of the ids' hashes come to
-    most_bytes or less together. Only ids and lengths are put in order."""
-    kept = stored(rows, "sample")
-    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    fit = kept.select("doc_id", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(upto).alias("_upto")).where(F.col("_upto") <= most_bytes)
-    return kept.join(F.broadcast(fit.select("doc_id")), "doc_id", "left_semi")
+    """Of a sample (doc_id, text, …) of few rows with an id each, in the order of the ids' hashes those whose texts still fit into
+    most_bytes: a text that does not fit is passed over, and the rows after it are looked at all the same. The driver
+    gets ids and lengths only."""
+    spark, kept = rows.sparkSession, stored(rows, "sample")
+    lengths = kept.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), F.xxhash64("doc_id").alias("h")).collect()
+    fit, left = [], most_bytes
+    for r in sorted(lengths, key=lambda r: (r.h, r.doc_id)):
+        if r.n <= left:
+            left -= r.n
+            fit.append((r.doc_id,))
+    if len(fit) == len(lengths):
+        return kept
+    return kept.join(F.broadcast(spark.createDataFrame(fit, kept.select("doc_id").schema)), "doc_id", "left_semi")
+
+
+def streamed(rows: DataFrame) -> Iterator[Row]:
+    """The rows of a sample in the order of their ids, a partition at a time, so that the driver never holds all texts."""
+    return rows.orderBy("doc_id").toLocalIterator()
 
 
 def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], total: int) -> DataFrame:

@@ -133,7 +133,7 @@ def train(texts: list[str], langs: list[str], kept_back: np.ndarray, inverse: np
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model | None:
-    """A model from docs (doc_id, text, lang), null languages left out; None without any. Document frequencies cover all
+    """A model from docs (doc_id, text, lang), null languages left out; None without any, or if no text is within most_bytes. Document frequencies cover all
     of docs, the regression at most `sample` of them with `most_bytes` of text, chosen by a hash of the id, one row per id:
     that whose text has the least hash."""
     docs = docs.where(F.col("lang").isNotNull())
@@ -145,6 +145,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -
     row = F.min_by(F.struct("text", "lang"), F.struct(F.xxhash64("text"), "lang")).alias("row")
     found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(row).select("doc_id", "row.text", "row.lang")
     rows = sorted(within_bytes(found, most_bytes).collect(), key=lambda r: r.doc_id)
+    if not rows:
+        return None
     back = np.array([zlib.crc32(b"back" + str(r.doc_id).encode()) % 5 == 0 for r in rows])
     return train([r.text or "" for r in rows], [str(r.lang) for r in rows], back, inverse)
 

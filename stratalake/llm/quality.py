@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fold, labelled_sample
+from .common import fold, labelled_sample, streamed
 
 #: Rows and length of the table of vectors, entries of an index vector other than 0, words to each side, words remembered.
 BUCKETS, DIM, ENTRIES, REACH, MEMO = 1 << 13, 24, 4, 2, 400_000
@@ -196,13 +196,19 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, out:
     """
     spark = docs.sparkSession
     table = context_table(docs.select("text"))
-    rows = sorted(labelled_sample(docs, labels.where(fold(F.col("doc_id"), 5).isin(1, 2, 3, 4)), "quality", sample).collect(), key=lambda r: r.doc_id)
-    y = np.array([r.label > 0 for r in rows], float)
-    net = None
+    words, x, y, ids, some = Words(), [np.zeros((0, 4 * DIM), np.float32)], [], [], []
+    for r in streamed(labelled_sample(docs, labels.where(fold(F.col("doc_id"), 5).isin(1, 2, 3, 4)), "quality", sample)):
+        some.append(r.text or "")
+        y.append(float(r.label > 0))
+        ids.append(r.doc_id)
+        if len(some) == 64:
+            x.append(pooled(some, words, table))
+            some = []
+    if some:
+        x.append(pooled(some, words, table))
+    y, net = np.array(y, float), None
     if len(y) and 0 < y.mean() < 1:
-        words = Words()
-        x = np.concatenate([pooled([r.text or "" for r in rows[lo : lo + 64]], words, table) for lo in range(0, len(rows), 64)]).astype(float)
-        net = train(x, y, np.array([zlib.crc32(b"back" + str(r.doc_id).encode()) % 5 == 0 for r in rows]))
+        net = train(np.concatenate(x).astype(float), y, np.array([zlib.crc32(b"back" + str(i).encode()) % 5 == 0 for i in ids]))
     model = spark.sparkContext.broadcast((table, net, float((y.sum() + 0.5) / (len(y) + 1))))
 
     @F.pandas_udf("double")

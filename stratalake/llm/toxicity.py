@@ -1,10 +1,11 @@
 """Toxicity by a linear-chain conditional random field over words.
 
-Training documents carry a label each. Words are labelled from these: those that, as a whole or
-by their beginning, stand in far more toxic documents than chance has it, near copies counted once, are tagged toxic
-there; all other words are tagged clean. On these labelled tokens a two-tag chain is trained: emissions
-are weights of hashed features of the word, transitions link neighbours. Forward-backward marginals then give each
-word's probability, from which come offsets and, by a logistic fit on the documents' own labels, a document's score.
+Training documents carry a label each. Words are labelled from these: those that, as a whole or by their beginning, stand
+in far more toxic documents than chance has it, near copies counted once, are tagged toxic there; all words of clean
+documents are tagged clean; the other words of toxic documents have no label. On these tokens a two-tag chain is trained:
+emissions are weights of hashed features of the word, transitions link neighbours, and the tags of unlabelled words are summed out by
+the same forward-backward that gives the marginals. Marginals then give each word's probability, from which come
+offsets and, by a logistic fit on the documents' own labels, a document's score.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fold, labelled_sample
+from .common import fold, labelled_sample, streamed
 
 #: Most labelled documents that the model is fitted on, hashed features, words of a training sequence, words remembered.
 SAMPLE, FEATURES, SEQUENCE, MEMO = 6000, 1 << 16, 64, 120_000
@@ -30,6 +31,8 @@ FEATURES_EACH, MARKS = 1 + len(PREFIXES), 1 << 22
 UPDATES, STEP, L2 = 600, 0.5, 1e-5
 #: Marginal from which a word is reported, score from which a document counts as toxic, least marginal that a score looks at.
 TAGGED, REJECT, LEAST_MARGINAL = 0.5, 0.7, 0.05
+#: Log-odds that hold a labelled word to its tag in training.
+HELD = 40.0
 TRIM = b".,;:!?\"'()[]{}*#%&$|<>-_"
 
 
@@ -52,11 +55,12 @@ def features(word: bytes) -> list[int]:
 
 
 class Vocabulary:
-    """The words of the sample by number, with the features of each and, for the lexicon, its units' hashes."""
+    """The words of the sample by number, with the features of each, a hash of its form in lower case without marks around it
+    and, for the lexicon, its units' hashes."""
 
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.features, self.marks = array("i"), array("i")
+        self.features, self.marks, self.forms = array("i"), array("i"), array("q")
 
     def read(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").split()
@@ -64,11 +68,18 @@ class Vocabulary:
             if w not in self.number:
                 self.number[w] = len(self.number)
                 self.features.extend(features(w))
+                self.forms.append(form(w))
                 marks = [u % MARKS for u in units(w)] if w.strip(TRIM) else []
                 self.marks.extend(marks + [-1] * (FEATURES_EACH - len(marks)))
         return np.array([self.number[w] for w in words], np.int32)
 
 
+def form(word: bytes) -> int:
+    """A hash of a word in lower case without marks around it."""
+    w = word.lower().strip(TRIM)
+    return zlib.crc32(b"f" + w) << 20 ^ zlib.crc32(b"g" + w)
+
+
 def apart(documents: list[np.ndarray], overlap: float = 0.6) -> list[np.ndarray]:
     """Those of the documents that don't share most of their units with one kept before: copies count once."""
     kept: list[set[int]] = []
@@ -128,7 +139,9 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, pa
 
 
 def train_chain(ids: np.ndarray, known: np.ndarray, tags: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions by AdaGrad on the conditional likelihood; ids are word numbers, known[i] word i's features."""
+    """Weights and transitions by AdaGrad on the conditional likelihood; ids are word numbers, known[i] word i's features. A tag is
+    1, 0, or -1 where there is no label: the likelihood sums over the tags that agree with the labels, so its gradient is
+    what the chain expects where it is held to them, less what it expects where it is free."""
     w, trans = np.zeros(FEATURES), np.zeros((2, 2))
     gw, gt = np.full(FEATURES, 1e-2), np.full((2, 2), 1.0)
     rng = np.random.default_rng(7)
@@ -136,25 +149,38 @@ def train_chain(ids: np.ndarray, known: np.ndarray, tags: np.ndarray, length: np
     for _ in range(UPDATES):
         at = rng.choice(len(ids), min(512, len(ids)), replace=False)
         at = at[np.argsort(-length[at], kind="stable")]
-        n = length[at]
-        x, y = known[ids[at]], tags[at]
-        inside = np.arange(x.shape[1])[None, :] < n[:, None]
-        marginal, pair = forward_backward(w[x].sum(axis=2) + w_bias, n, trans, True)
-        error = (y - marginal) * inside
-        seen, both = np.zeros((2, 2)), inside[:, 1:]
-        for i in (0, 1):
-            for j in (0, 1):
-                seen[i, j] = ((y[:, :-1] == i) & (y[:, 1:] == j) & both).sum()
-        grad = np.bincount(x[inside].ravel(), np.repeat(error[inside], x.shape[2]), FEATURES) - L2 * w
+        grad, d = gradient(ids[at], known, tags[at], length[at], w, trans, w_bias)
+        grad, d = grad - L2 * w, d / len(at) - 1e-3 * trans
         gw += grad * grad
         w += STEP * grad / np.sqrt(gw)
-        d = (seen - pair) / len(at) - 1e-3 * trans
         gt += d * d
         trans += STEP * d / np.sqrt(gt)
     # every word has as many features: the bias goes into them evenly
     return w + w_bias / known.shape[1], trans
 
 
+def gradient(ids: np.ndarray, known: np.ndarray, tags: np.ndarray, n: np.ndarray, w: np.ndarray, trans: np.ndarray, w_bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the log-likelihood of sequences in descending length n, by weights and by transitions."""
+    x = known[ids]
+    inside = np.arange(x.shape[1])[None, :] < n[:, None]
+    emit = w[x].sum(axis=2) + w_bias
+    marginal, pair = forward_backward(emit, n, trans, True)
+    partly = (tags < 0).any(axis=1)  # with words that have no label
+    seen, y = pairs_of(tags[~partly], inside[~partly]), np.maximum(tags, 0).astype(float)
+    if partly.any():
+        held = np.where(tags[partly] < 0, emit[partly], np.where(tags[partly] > 0, HELD, -HELD))
+        y[partly], more = forward_backward(held, n[partly], trans, True)
+        seen = seen + more
+    error = (y - marginal) * inside
+    return np.bincount(x[inside].ravel(), np.repeat(error[inside], x.shape[2]), FEATURES), seen - pair
+
+
+def pairs_of(tags: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """How often each tag follows each."""
+    first, second = tags[:, :-1][inside[:, 1:]].astype(int), tags[:, 1:][inside[:, 1:]].astype(int)
+    return np.bincount(2 * first + second, minlength=4)[:4].reshape(2, 2).astype(float)
+
+
 class Tagger:
     """Marginals of whole texts under a chain; each worker remembers the emissions of the words it met."""
 
@@ -176,11 +202,14 @@ class Tagger:
         return np.array(found, np.float64)
 
     def marginals(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[bytes]]]:
-        """For each text, the toxic marginals of its words, and the words. Texts of like length run side by side."""
+        """For each text, the toxic marginals of its words, and the words."""
         split = [t.encode("utf-8", "replace").split() for t in texts]
-        emit = [self.emissions(s) for s in split]
-        out: list[np.ndarray] = [np.zeros(0)] * len(texts)
-        order = sorted((i for i in range(len(texts)) if len(emit[i])), key=lambda i: -len(emit[i]))
+        return self.of_emissions([self.emissions(s) for s in split]), split
+
+    def of_emissions(self, emit: list[np.ndarray]) -> list[np.ndarray]:
+        """The marginals of sequences. Those of like length run side by side."""
+        out: list[np.ndarray] = [np.zeros(0)] * len(emit)
+        order = sorted((i for i in range(len(emit)) if len(emit[i])), key=lambda i: -len(emit[i]))
         lo = 0
         while lo < len(order):
             longest, hi = len(emit[order[lo]]), lo + 1
@@ -195,15 +224,15 @@ class Tagger:
             for k, i in enumerate(rows):
                 out[i] = found[k, : length[k]]
             lo = hi
-        return out, split
+        return out
 
 
-def summary(marginal: np.ndarray, words: list[bytes]) -> list[float]:
+def summary(marginal: np.ndarray, forms: Callable[[int], int]) -> list[float]:
     """A document's features: bias, log-odds that some word is toxic (a noisy or over its different words), once with
-    a cap, and length."""
-    best: dict[bytes, float] = {}
+    a cap, and length. forms(i) is the form of word i."""
+    best: dict[int, float] = {}
     for i in np.flatnonzero(marginal >= LEAST_MARGINAL):
-        w, p = words[i].lower().strip(TRIM), float(marginal[i])
+        w, p = forms(i), float(marginal[i])
         best[w] = max(p, best.get(w, 0.0))
     some = 1e-3 - float(np.log1p(-np.minimum(np.array(list(best.values())), 1 - 1e-6)).sum())
     odds = some + float(np.log(-np.expm1(-some)))
@@ -224,38 +253,49 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` rows of `labels` (doc_id, toxic) whose documents are in docs, chosen by a hash, with at most
     SAMPLE_BYTES of text (common.labelled_sample), and from all their sequences of words.
 
-    These are the bounds of what the driver holds. With no labelled document, or labels of one kind only, every score
-    is that kind's smoothed share.
+    These are the bounds of what the driver holds, as numbers of words; texts pass through it a partition at a time. With no
+    labelled document, or labels of one kind only, every score is that kind's smoothed share.
     """
-    rows = sorted(labelled_sample(docs, labels, "toxic", sample).collect(), key=lambda r: r.doc_id)
-    texts, y = [r.text or "" for r in rows], np.array([r.label > 0 for r in rows], float)
+    vocabulary, numbers, y = Vocabulary(), [], []
+    for r in streamed(labelled_sample(docs, labels, "toxic", sample)):
+        numbers.append(vocabulary.read(r.text or ""))
+        y.append(float(r.label > 0))
+    y = np.array(y, float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
-    vocabulary = Vocabulary()
-    numbers = [vocabulary.read(t) for t in texts]
     known, marks = (np.array(x, np.int32).reshape(-1, FEATURES_EACH) for x in (vocabulary.features, vocabulary.marks))
-    vocabulary.number.clear()
+    forms = np.array(vocabulary.forms, np.int64)
+    del vocabulary
     distinct = []
     for n in numbers:
         own = np.unique(marks[np.unique(n)])
         distinct.append(own[own >= 0])
     toxic_units = lexicon(distinct, y)
     toxic_word = (toxic_units[marks] & (marks >= 0)).any(axis=1)
+    del distinct, marks
+    weights, transitions = train_chain(*sequences(numbers, y, toxic_word, known))
+    tagger, rows, emission = Tagger(weights, transitions), [], weights[known].sum(axis=1)
+    for lo in range(0, len(numbers), 256):
+        some = numbers[lo : lo + 256]
+        rows += [summary(m, forms[n].__getitem__) for m, n in zip(tagger.of_emissions([emission[n] for n in some]), some)]
+    return Model(weights.astype(np.float32), transitions, logistic(np.array(rows), y))
+
+
+def sequences(numbers: list[np.ndarray], y: np.ndarray, toxic_word: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """train_chain()'s arguments: documents as sequences of SEQUENCE words, with tags by the lexicon. A toxic document
+    without any word of the lexicon says nothing about its words, and is left out if others are there."""
     parts = []
     for n, label in zip(numbers, y):
-        for lo in range(0, len(n), SEQUENCE):
-            parts.append((n[lo : lo + SEQUENCE], label))
+        if label and not toxic_word[n].any() and toxic_word.any():
+            continue
+        parts += [(n[lo : lo + SEQUENCE], label) for lo in range(0, len(n), SEQUENCE)]
     ids, tags, length = np.zeros((len(parts), SEQUENCE), np.int32), np.zeros((len(parts), SEQUENCE), np.int8), np.zeros(len(parts), np.int64)
     for k, (n, label) in enumerate(parts):
         ids[k, : len(n)], length[k] = n, len(n)
         if label:
-            tags[k, : len(n)] = toxic_word[n]
-    weights, transitions = train_chain(ids, known, tags, length)
-    tagger, rows = Tagger(weights, transitions), []
-    for lo in range(0, len(texts), 256):
-        rows += [summary(*x) for x in zip(*tagger.marginals(texts[lo : lo + 256]))]
-    return Model(weights.astype(np.float32), transitions, logistic(np.array(rows), y))
+            tags[k, : len(n)] = np.where(toxic_word[n], 1, -1)
+    return ids, known, tags, length
 
 
 def tag(text: Column, model: Model, spark) -> Column:
@@ -272,7 +312,7 @@ def tag(text: Column, model: Model, spark) -> Column:
             scores, spans = [], []
             for lo in range(0, len(texts), 1024):
                 for text, marginal, words in zip(texts[lo : lo + 1024], *tagger.marginals(texts[lo : lo + 1024])):
-                    scores.append(1 / (1 + np.exp(-float(np.dot(summary(marginal, words), model.document)))))
+                    scores.append(1 / (1 + np.exp(-float(np.dot(summary(marginal, lambda i: form(words[i])), model.document)))))
                     found: list[dict] = []
                     if len(marginal) and marginal.max() >= TAGGED:
                         last = -2

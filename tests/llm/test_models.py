@@ -1,5 +1,6 @@
 """The fitted operators: held-out quality on the driver's tables, and defined results on odd rows."""
 
+import os
 import zlib
 
 import numpy as np
@@ -45,6 +46,17 @@ def test_toxicity(spark, larger):
     assert np.mean([r.predicted == r.label for r in rows]) > 0.93 and all(r.predicted == (r.score >= 0.7) for r in rows)
 
 
+def test_toxicity_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("no larger tables here")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    rows = [r for r in toxicity.score_toxicity(docs, labels).select("doc_id", "toxic", "toxicity.score").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    hit = sum(r.toxic == 1 and r.score >= toxicity.REJECT for r in rows)
+    assert hit >= 0.9 * sum(r.toxic for r in rows) > 100 and hit >= 0.98 * sum(r.score >= toxicity.REJECT for r in rows)
+
+
 def test_language(spark, larger):
     rows = queries.op6_language_id(spark, larger).join(spark.read.parquet(f"{larger}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     for r in rows:

@@ -149,3 +149,102 @@ def test_same_model_on_every_run(spark, n):
     for f, of in ((lambda d: toxicity.score_toxicity(d, labels), lambda r: r.toxicity.score), (lambda d: quality.score_quality(d, labels), lambda r: r.quality_score), (lambda d: language.identify(d), lambda r: r.language.score)):
         a, b = ([of(r) for r in sorted(f(docs.repartition(k)).collect(), key=lambda r: r.doc_id)] for k in (1, 3))
         np.testing.assert_allclose(a, b, atol=1e-6)  # batches of other sizes may round the last digits otherwise
+
+
+def partial_likelihood(emit, trans, tags):
+    """Log of the share of all taggings that agrees with tags, -1 standing for either."""
+    weight = lambda y: math.exp(sum(emit[i] * y[i] for i in range(len(y))) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+    every = list(product((0, 1), repeat=len(tags)))
+    return math.log(sum(weight(y) for y in every if all(t in (-1, v) for t, v in zip(tags, y)))) - math.log(sum(map(weight, every)))
+
+
+def test_gradient_sums_out_words_without_label(monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURES", 12)
+    r = np.random.default_rng(8)
+    w, trans = r.normal(size=12), r.normal(size=(2, 2))
+    known = r.integers(0, 12, (9, toxicity.FEATURES_EACH))
+    length, ids = np.array([5, 4, 4, 1]), r.integers(0, 9, (4, 5))
+    tags = np.array([[-1, 1, -1, -1, 1], [0, 0, 0, 0, 0], [1, -1, 1, 1, 0], [-1, 0, 0, 0, 0]], np.int8)
+
+    def whole(w, trans):
+        return sum(partial_likelihood([w[known[i]].sum() - 1.0 for i in row[:n]], trans, tuple(t[:n])) for row, t, n in zip(ids, tags.tolist(), length))
+
+    grad, pairs = toxicity.gradient(ids, known, tags, length, w, trans, -1.0)
+    step = 1e-5
+    for k in range(12):
+        e = np.eye(12)[k] * step
+        assert abs((whole(w + e, trans) - whole(w - e, trans)) / (2 * step) - grad[k]) < 1e-5
+    for a, b in product((0, 1), repeat=2):
+        e = np.zeros((2, 2))
+        e[a, b] = step
+        assert abs((whole(w, trans + e) - whole(w, trans - e)) / (2 * step) - pairs[a, b]) < 1e-5
+
+
+def test_lexicon_equals_plain_counts():
+    r = np.random.default_rng(3)
+    labels = (np.arange(400) % 4 == 0).astype(float)
+    documents = [np.unique(np.r_[r.integers(0, 5000, 20), [7] * int(y and i % 3), [8] * (i % 2), [9] * int(y or i % 50 == 0)]).astype(int) for i, y in enumerate(labels)]
+    documents += [documents[0].copy()] * 5  # copies count once
+    labels = np.r_[labels, [1.0] * 5]
+    kept = []
+    for d, y in zip(documents, labels):
+        if y and all(len(set(d) & set(k)) < 0.6 * min(len(d), len(k)) for k in kept):
+            kept.append(d)
+    got = np.flatnonzero(toxicity.lexicon(documents, labels))
+    want = []
+    for u in sorted({int(x) for d in documents for x in d}):
+        found, clean, n = sum(u in k for k in kept), sum(u in d for d, y in zip(documents, labels) if not y), int((labels == 0).sum())
+        chance = (clean + 0.5) / n * len(kept)
+        if found >= max(4, 0.02 * len(kept)) and found >= 4 * chance and found - chance >= 5 * math.sqrt(max(chance, 0.5)):
+            want.append(u)
+    assert got.tolist() == want and 7 in want and 9 in want and 8 not in want
+
+
+def test_document_fit_has_no_gradient_left():
+    r = np.random.default_rng(5)
+    x = np.c_[np.ones(300), r.normal(size=(300, 3))]
+    y = (r.random(300) < 1 / (1 + np.exp(-x @ [0.3, 1, -2, 0]))).astype(float)
+    w = toxicity.logistic(x, y)
+    loss = lambda w: np.logaddexp(0, -(x @ w) * (2 * y - 1)).sum() + (0.1 * w[1:] @ w[1:] + 1e-3 * w[0] ** 2) / 2
+    for k in range(4):
+        e = np.eye(4)[k] * 1e-5
+        assert abs((loss(w + e) - loss(w - e)) / 2e-5) < 1e-4
+
+
+def test_network_step_equals_numerical_gradient(monkeypatch):
+    """With one full batch and one pass, Adam's first step is STEP times the sign of each gradient."""
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    monkeypatch.setattr(quality, "HIDDEN", 3)
+    r = np.random.default_rng(9)
+    x, y = r.normal(size=(60, 4)), (r.random(60) < 0.4).astype(float)
+    net = quality.train(x, y, np.zeros(60, bool))
+    z, rng = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-3), np.random.default_rng(5)
+    share = y.mean()
+    begin = [rng.normal(0, 0.5**0.5, (4, 3)), np.zeros(3), rng.normal(0, 3**-0.5, 3), np.array(np.log(share / (1 - share)))]
+
+    def loss(p):
+        s = np.maximum(z @ p[0] + p[1], 0) @ p[2] + p[3]
+        return np.logaddexp(0, -s * (2 * y - 1)).mean() + quality.L2 / 2 * ((p[0] ** 2).sum() + (p[2] ** 2).sum())
+
+    for k, (before, after) in enumerate(zip(begin, (net.w1, net.b1, net.w2, np.array(net.b2)))):
+        for at in np.ndindex(before.shape):
+            up, down = ([a.copy() for a in begin] for _ in (0, 1))
+            up[k][at] += 1e-6
+            down[k][at] -= 1e-6
+            slope = (loss(up) - loss(down)) / 2e-6
+            if abs(slope) > 1e-5:
+                assert abs(after[at] - (before[at] - quality.STEP * np.sign(slope))) < 1e-4
+
+
+def test_long_text_first_does_not_empty_samples(spark, monkeypatch):
+    ids = [r.doc_id for r in spark.range(60).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id")).collect()]
+    docs = spark.createDataFrame([(i, ("word " * 600) if i == ids[0] else prose(i, 20) + (" vile" if i % 2 else " kind"), "de" if i % 3 else "en") for i in range(60)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), (F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert common.labelled_sample(docs, labels, "quality", 100, most_bytes=2500).count() >= 10
+    assert common.labelled_sample(docs, labels, "quality", 100, most_bytes=1).count() == 0
+    assert language.fit(docs, most_bytes=2500).names == ["de", "en"] and language.fit(docs, most_bytes=1) is None
+    monkeypatch.setattr(common, "within_bytes", lambda rows, most, f=common.within_bytes: f(rows, 2500))
+    assert len({r.quality_score for r in quality.score_quality(docs, labels).collect()}) > 10
+    assert len({round(r.toxicity.score, 9) for r in toxicity.score_toxicity(docs, labels).collect()}) > 1
+    monkeypatch.setattr(language, "fit", lambda *a: None)
+    assert {tuple(r.language) for r in language.identify(docs).collect()} == {("und", 0.0)}
