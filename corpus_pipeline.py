@@ -17,8 +17,9 @@ from stratalake.llm.queries import encoded
 
 #: Working columns, named as no column of documents is.
 SCORED, FOUND, KEY, ROW, AT, CHUNK = (f"_stratalake_{x}" for x in ("scored", "found", "key", "row", "at", "chunk"))
-#: Copies of one row that one task may be given, and the setting that names the folder in which the token files stay.
-COPIES, TOKENS_DIR = 1000, "spark.stratalake.tokens.dir"
+#: Copies of one row that one task may be given, bytes of a pass and of all passes sent to all tasks, and the setting that names
+#: the folder in which the token files stay.
+COPIES, PASS_BYTES, SENT_BYTES, TOKENS_DIR = 1000, 64, 32 << 20, "spark.stratalake.tokens.dir"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,15 +45,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A copy of a document for each of its passes of which the mix takes half or more, in the order of their training
     positions; one of no words comes once.
 
-    A row is known by a digest of all its columns. Where rows are equal in all of them, which is looked up, these share one row of
+    Positions are worked out on rows without texts. A row is known by a digest of all its columns. Where passes come to
+    SENT_BYTES or less, which is counted, they are sent to the texts, which are shuffled once, by position; else texts and
+    passes meet in a shuffle of their own. Where rows are equal in all columns, which is looked up, these share one row of
     texts, which has the passes of all of them, so none is lost or added; COPIES of them at most are put together by one task.
     """
-    keyed = docs.withColumn(KEY, F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})))
+    keyed = docs.withColumn(KEY, F.unhex(F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}))))
     mixed = mixing.mix(keyed.select("doc_id", "text", "source", KEY), keep=(KEY,))
     chunk = F.floor(F.col("copy") / COPIES)
-    passes = mixing.training_order(mixed).where(2 * F.col("pass_words") >= F.col("size")).select(KEY, chunk.alias(CHUNK), F.col("position").alias(AT))
+    passes = mixed.select(KEY, "copy", "size", F.inline(mixing.passes_of())).where(2 * F.col("pass_words") >= F.col("size")).select(KEY, chunk.alias(CHUNK), F.col("position").alias(AT))
     if mixed.where("copy > 0").isEmpty():
-        copies = keyed.select(KEY, F.struct(*docs.columns).alias(ROW)).join(passes.drop(CHUNK), KEY)
+        passes = passes.drop(CHUNK)
+        sent = PASS_BYTES * passes.count() <= SENT_BYTES
+        copies = keyed.select(KEY, F.struct(*docs.columns).alias(ROW)).join(F.broadcast(passes) if sent else passes, KEY)
     else:
         rows = keyed.groupBy(KEY).agg(F.first(F.struct(*docs.columns)).alias(ROW), F.count("*").alias(CHUNK))
         rows = rows.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(CHUNK) - 1) / COPIES))))
