@@ -48,10 +48,9 @@ def triple(s: Column, p: str, o: Column, kind: str, datatype: str | None = None,
     ))
 
 
-def emitted(df: DataFrame, graph: str | Column, triples: Sequence[Triple], only: Sequence[str] | None = None) -> DataFrame:
-    """All triples of each row that have a subject and an object; with `only`, those of some predicates (prefix:local), so
-    that no other is built."""
-    full = F.filter(F.array(*[t.column for t in triples if only is None or t.predicate in only]), lambda t: t["o"].isNotNull() & t["s"].isNotNull())
+def emitted(df: DataFrame, graph: str | Column, triples: Sequence[Triple]) -> DataFrame:
+    """All triples of each row that have a subject and an object."""
+    full = F.filter(F.array(*[t.column for t in triples]), lambda t: t["o"].isNotNull() & t["s"].isNotNull())
     return df.select(text(graph).alias("graph"), F.explode(full).alias("t")).select("graph", "t.*")
 
 
@@ -65,10 +64,9 @@ def constants(spark: SparkSession, graph: str, rows: Sequence[tuple], base: str
     return spark.createDataFrame(out, SCHEMA)
 
 
-def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digits: int, base: str = BASE, core: str = "IceCore", unit: str = "PPB", source: str = "Source", dataset: str = "Dataset", chronology: str = "Chronology", site: str = "Site", only: Sequence[str] | None = None) -> DataFrame:
+def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digits: int, base: str = BASE, core: str = "IceCore", unit: str = "PPB", source: str = "Source", dataset: str = "Dataset", chronology: str = "Chronology", site: str = "Site") -> DataFrame:
     """19 triples per ice-core observation (seq, age_ka, depth_m, value, median, savgol): its own, the link from the dataset
-    and the record of its catalogue entry. A null among the numbers leaves that triple out; `only` some predicates
-    are built where these are given."""
+    and the record of its catalogue entry. A null among the numbers leaves that triple out."""
     s = mint(f"Obs_{name}_%04d", F.col("seq"), base=base)
     number = lambda p, c, d: literal(s, p, decimal_text(F.col(c), d), "xsd:decimal", base=base)
     own = lambda x: f"own:{x}"
@@ -83,7 +81,7 @@ def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digi
         link(s, "own:smoothingMethod_median", own(f"RollingMedian_w{WINDOW}"), base), link(s, "own:smoothingMethod_savgol", own(f"SavitzkyGolay_w{WINDOW}_p{POLYORDER}"), base),
         link(s, "prov:wasDerivedFrom", own(source), base), link(s, "crm:P7_took_place_at", own(site), base),
         link(F.lit(iri(own(dataset), base)), "own:hasObservation", s, base), link(F.lit(iri(own(f"{dataset}_{name}"), base)), "dcat:record", s, base),
-    ], only)
+    ])
 
 
 def cave_observation_triples(df: DataFrame, graph: str | Column, name: str, base: str = BASE, source: str = "DataSource") -> DataFrame:

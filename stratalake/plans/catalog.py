@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import dims, sources
 from ..functions import decimal_text, ensure_crs, mint, observation_label, shift_datum, thousands, to_ka, wkt_point
-from ..operators import graph_queries, intervals, series, sinks, smooth, triples
+from ..operators import graph_queries, intervals, series, sinks, smooth, store, triples
 from ..operators.blocks import BLOCK_ROWS
+from ..sources.graph_text import read_graph_text
 from ..storage import new_dir
 from .tables import EV, SITES, events, sites, table
 
@@ -105,9 +106,10 @@ def age_slice_rows(spark, d):
     return series.age_slice(events(spark, d).select("event_id", "age"), LOW, HIGH)
 
 
-@query("SELECT c_custkey AS site_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS site_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def missing_series(spark, d):
-    return series.missing_series(table(spark, d, "customer").select(F.col("c_custkey").alias("site_id")), table(spark, d, "orders").select(F.col("o_custkey").alias("site_id")), ["site_id"])
+    """Sites without a sample of one kind."""
+    return series.missing_series(table(spark, d, "customer").select(F.col("c_custkey").alias("site_id")), table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("site_id")), ["site_id"])
 
 
 @query(f"WITH {EV} SELECT user_id, count(*) AS n, min(age) AS min_age, max(age) AS max_age, min(value) AS min_value, max(value) AS max_value, min(k) AS min_k, max(k) AS max_k, count(k) > 0 AS has_k FROM ev GROUP BY user_id")
@@ -331,9 +333,9 @@ def core_specs() -> list[tuple]:
 CORE_ROWS = f"{smoothed_sql('user_id')}, t AS ({rows_sql('obs', 'core', core_specs())})"
 
 
-def core_graph(spark, d, only=None):
+def core_graph(spark, d):
     rows = observations(spark, d, ["user_id"]).select(F.col("event_id").alias("seq"), F.col("age").alias("age_ka"), (F.col("age") / 8).alias("depth_m"), "value", "median", "savgol")
-    return triples.core_observation_triples(rows, "core", "CH4", 2, only=only)
+    return triples.core_observation_triples(rows, "core", "CH4", 2)
 
 
 @query(f"{CORE_ROWS} SELECT * FROM t")
@@ -519,8 +521,8 @@ def q_sites_geometry_distinct(spark, d):
 @query(f"""{smoothed_sql('user_id')} SELECT '{BASE}Obs_CH4_' || printf('%04d', event_id) AS obs, CAST({number_sql('age', 4)} AS DOUBLE) AS age, CAST({number_sql('value', 2)} AS DOUBLE) AS value, CAST({number_sql('median', 2)} AS DOUBLE) AS smoothed
 FROM obs WHERE age IS NOT NULL AND value IS NOT NULL AND median IS NOT NULL""")
 def q_observation_star(spark, d):
-    asked = ("rdf:type", "sosa:resultTime", "sosa:hasSimpleResult", "own:smoothedValue_rollingMedian")
-    return graph_queries.observations_by_age(core_graph(spark, d, asked), "sosa:Observation")
+    """Asked of the whole graph, written to a store by subject."""
+    return store.observations_by_age(store.write_store(core_graph(spark, d)), "sosa:Observation")
 
 
 @query(f"""{CORE_ROWS} SELECT k.s AS obs, CAST(a.o AS DOUBLE) AS age, CAST(v.o AS DOUBLE) AS value, CAST(m.o AS DOUBLE) AS smoothed
@@ -536,6 +538,22 @@ def q_site_counts(spark, d):
     return graph_queries.site_counts(sites_graph(spark, d))
 
 
+@query(SQL["q_sites_geometry"])
+def q_stored_sites_geometry(spark, d):
+    """Collections are subjects with very many triples here, and are kept apart from the buckets."""
+    return store.sites_with_geometry(store.write_store(sites_graph(spark, d), wide=100))
+
+
+@query(SQL["q_sites_geometry_distinct"])
+def q_stored_sites_geometry_distinct(spark, d):
+    return store.sites_with_geometry(store.write_store(sites_graph(spark, d), wide=100), distinct=True)
+
+
+@query(f"{CORE_ROWS} SELECT graph, count(*) AS n_triples, count(DISTINCT s) AS n_subjects, count(DISTINCT p) AS n_predicates FROM (SELECT DISTINCT * FROM t) GROUP BY graph")
+def stored_graph_counts(spark, d):
+    return store.graph_counts(store.write_store(core_graph(spark, d), wide=5000))
+
+
 # --- sinks ------------------------------------------------------------------------------------------------------------
 
 TERM = "CASE WHEN o_kind = 'iri' THEN '<' || o || '>' WHEN o_lang IS NOT NULL THEN '\"' || o || '\"@' || o_lang WHEN o_datatype IS NOT NULL THEN '\"' || o || '\"^^<' || o_datatype || '>' ELSE '\"' || o || '\"' END"
@@ -614,20 +632,24 @@ def read_cave_samples(spark, d):
 
 @query(f"WITH {SITES} SELECT site_id, site_name, trim(wkt) AS wkt, n_d18o, n_d13c FROM sites WHERE site_id % 9 <> 0")
 def read_site_table(spark, d):
+    """Two kinds of files under one glob, with the same columns in another order."""
     path = new_dir(spark, "sites")
     rows = sites(spark, d).select("site_id", "site_name", F.when(F.col("site_id") % 9 != 0, F.trim("wkt")).alias("wkt"), F.col("n_d18o").alias("n_d18o_samples"), F.col("n_d13c").alias("n_d13c_samples"))
-    rows.write.csv(path, header=True, quoteAll=True)
-    return sources.read_sites(spark, path)
+    rows.where("site_id % 2 = 0").write.csv(f"{path}/a", header=True, quoteAll=True)
+    rows.where("site_id % 2 = 1").select("n_d13c_samples", "site_name", "n_d18o_samples", "wkt", "site_id").write.csv(f"{path}/b", header=True, quoteAll=True)
+    return sources.read_sites(spark, f"{path}/*/*.csv")
 
 
 def proxy_files(spark, d) -> list[dict]:
-    """Files with untidy headers of two proxies, one that lacks its column, and one that is not there."""
+    """Files with untidy headers of two proxies, in two orders of columns, one that lacks its column, and one that is not there."""
     path, rows = new_dir(spark, "proxies"), events(spark, d)
     for name, column in (("ch4", "value"), ("dust", "k"), ("dd", "value")):
         head = {"event_id": "\ufeffDepth", "age": " AGE ", column: "Other" if name == "dd" else name.upper()}
-        rows.select(*[F.round(c, 6).alias(h) if c == "age" else F.col(c).alias(h) for c, h in head.items()]).write.csv(f"{path}/{name}", header=True, sep=";")
+        each = [F.round(c, 6).alias(h) if c == "age" else F.col(c).alias(h) for c, h in head.items()]
+        rows.where("event_id % 2 = 0").select(*each).write.csv(f"{path}/{name}/a", header=True, sep=";")
+        rows.where("event_id % 2 = 1").select(*each[::-1]).write.csv(f"{path}/{name}/b", header=True, sep=";")
     shift = lambda n: dict(zip(("scale", "offset"), dims.DATUM_SHIFTS[n]))
-    return [{"series_id": n, "path": f"{path}/{n}"} | shift(n) for n in ("ch4", "dust", "dd", "d18o")]
+    return [{"series_id": n, "path": f"{path}/{n}/*"} | shift(n) for n in ("ch4", "dust", "dd", "d18o")]
 
 
 @query(f"""WITH {EV} SELECT 'ch4' AS series_id, round(round(age, 6) * 1000.0 + 50.0, 4) AS age, value FROM ev WHERE value IS NOT NULL
@@ -656,6 +678,22 @@ def graph_text_files(spark, d):
     return each.unionByName(spark.read.text(f"{path}/all").select(F.lit("combined").alias("output"), F.lit(None).cast("string").alias("graph"), F.col("value").alias("line")))
 
 
+@query(f"{CORE_ROWS} SELECT DISTINCT * FROM t")
+def read_graph_blocks(spark, d):
+    """The core's graph written as blocks of Turtle, a folder per graph, and read back."""
+    path = new_dir(spark, "blocks")
+    sinks.write_subject_blocks(core_graph(spark, d), path)
+    return read_graph_text(spark, path)
+
+
+@query(f"""WITH {SITES}, t AS ({rows_sql('sites', 'sites', site_specs())} UNION ALL {rows_sql('sites', 'geo', geo_specs())}) SELECT * REPLACE ('all' AS graph) FROM t""")
+def read_graph_lines(spark, d):
+    """Two graphs written as lines into one folder and read back under one name."""
+    path = new_dir(spark, "lines")
+    sinks.write_ntriples(triples.union_graphs(site_triples(spark, d), geo_site_triples(spark, d)), path, by_graph=False)
+    return read_graph_text(spark, path, graph="all")
+
+
 TABLES_SQL = f"""WITH {EV}, m AS ({median_sql("event_type")}), f AS ({fit_sql("event_type")}), e AS (SELECT event_type, min(age) AS lo, max(age) AS hi, min(value) AS vlo, max(value) AS vhi FROM ev GROUP BY 1),
   st(top, bottom, stage, kind) AS (VALUES {stage_values("ice")}), v AS (SELECT event_id, 'unsmoothed' AS variant, round(value, 6) AS x FROM ev UNION ALL SELECT event_id, 'smooth11', median FROM m UNION ALL SELECT event_id, 'savgol11p2', savgol FROM f)
 SELECT 'variants' AS part, event_type AS series_id, variant AS name, round(age, 6) AS a, x AS b FROM v JOIN ev USING (event_id) WHERE x IS NOT NULL

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalake import dims, sources
 from stratalake.functions import decimal_text, ensure_crs, escape_literal, mint, number, thousands, wkt_point
-from stratalake.operators import intervals, series
+from stratalake.operators import intervals, series, sinks
 
 
 def one(spark, column, **values):
@@ -100,3 +100,66 @@ def test_samples_with_different_headers(spark, tmp_path):
     (tmp_path / "v_c.csv").write_text("a,b\n1,2\n")
     with pytest.raises(ValueError):
         sources.read_samples(spark, f"{tmp_path}/v_*.csv")
+
+
+def test_files_with_exchanged_columns(spark, tmp_path):
+    (tmp_path / "v_a.csv").write_text('site_id,site_name,wkt,n_d18o_samples,n_d13c_samples\n1,"A, b ""c""","POINT(1 2)","5","7"\n')
+    (tmp_path / "v_b.csv").write_text('n_d13c_samples,wkt,site_id,n_d18o_samples,site_name\n70,"POINT(3 4)",2,50,B\n')
+    (tmp_path / "v_c.csv").write_text("")
+    got = sources.read_sites(spark, f"{tmp_path}/v_*.csv").orderBy("site_id").collect()
+    assert [(r.site_id, r.site_name, r.n_d18o, r.n_d13c) for r in got] == [(1, 'A, b "c"', 5, 7), (2, "B", 50, 70)]
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.csv").write_text("Depth;Age;Ch4\n1;2;3\n")
+    (tmp_path / "p" / "b.csv").write_text("CH4 ;depth; AGE\n30;10;20\n")
+    assert sorted((r.age, r.value) for r in sources.read_delimited_proxy(spark, str(tmp_path / "p"), "ch4").collect()) == [(2.0, 3.0), (20.0, 30.0)]
+    (tmp_path / "p" / "c.csv").write_text("Age;Ch4\n1;2\n")
+    with pytest.raises(ValueError, match="depth"):
+        sources.read_delimited_proxy(spark, str(tmp_path / "p"), "ch4")
+    assert sources.read_delimited_proxy(spark, str(tmp_path / "p"), "ch4", required=("age",)).count() == 3
+
+
+def test_a_source_that_fails_while_it_is_read_skips_itself(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "good.csv").write_text("depth;age;ch4\n1;2;3\n")
+    whole = gzip.compress(("depth;age;dust\n" + "1;2;3\n" * 50_000).encode())
+    (tmp_path / "bad.csv.gz").write_bytes(whole[: len(whole) // 2] + b"\0" * 50)
+    rows, status = sources.load_sources(spark, [{"series_id": "ch4", "path": str(tmp_path / "good.csv")}, {"series_id": "dust", "path": str(tmp_path / "bad.csv.gz")}])
+    found = {r.series_id: (r.status[:7], r.rows) for r in status.collect()}
+    assert found == {"ch4": ("ok", 1), "dust": ("skipped", 0)} and rows.count() == 1
+
+
+@pytest.mark.parametrize("n", [1, 3, 64, 65, 2000])
+def test_interval_search_equals_comparing_all(spark, n):
+    import random
+
+    r = random.Random(n)
+    cuts = sorted(r.sample(range(-50, 40 * n), 2 * n))
+    table = [(cuts[2 * i] / 4, cuts[2 * i + 1] / 4 if r.random() < 0.7 or i == n - 1 else cuts[2 * i + 2] / 4, f"s{i}", "warm") for i in range(n)]
+    stages = spark.createDataFrame(table + [(None, 1.0, "x", "warm"), (3.0, 3.0, "y", "cold")], "top double, bottom double, stage string, kind string")
+    ages = sorted({v for row in table for v in row[:2]} | {r.uniform(-20, 11 * n) for _ in range(200)})
+    df = spark.createDataFrame([(a,) for a in ages] + [(None,), (math.nan,)], "age double")
+    got = intervals.tag_stage(df, stages)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = {a: next((s for lo, hi, s, _ in table if lo <= a < hi), None) for a in ages}
+    rows = got.collect()
+    assert {x.age: x.stage for x in rows if x.age is not None and not math.isnan(x.age)} == want and len(rows) == len(ages) + 2
+    assert all(x.stage is None for x in rows if x.age is None or math.isnan(x.age))
+    extents = [(i, *sorted((r.uniform(-20, 11 * n), r.choice(ages)))) for i in range(40)] + [(99, None, 1.0)]
+    met = intervals.clip_stages(spark.createDataFrame(extents, "k int, lo double, hi double"), stages, ["k"])
+    assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted((k, s, max(a, lo), min(b, hi)) for k, lo, hi in extents if lo is not None for a, b, s, _ in table if max(a, lo) < min(b, hi))
+    assert sorted((x.k, x.stage, x.visible_top, x.visible_bottom) for x in met.collect()) == want
+
+
+def test_overlapping_stages_are_joined(spark):
+    stages = spark.createDataFrame([(0.0, 10.0, "a", "warm"), (5.0, 15.0, "b", "cold")], "top double, bottom double, stage string, kind string")
+    got = intervals.tag_stage(spark.createDataFrame([(7.0,), (12.0,), (20.0,)], "age double"), stages).collect()
+    assert sorted((r.age, str(r.stage)) for r in got) == [(7.0, "a"), (7.0, "b"), (12.0, "b"), (20.0, "None")]
+
+
+def test_series_files_are_few(spark, tmp_path):
+    df = spark.range(4000).select((F.col("id") % 40).cast("string").alias("series_id"), F.col("id").alias("v")).repartition(16)
+    sinks.write_series(df, str(tmp_path / "s"), file_rows=70)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == 4000 and 40 <= len(back.inputFiles()) <= 120
