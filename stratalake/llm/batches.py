@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Rows and bytes of text of a slice; bytes that an entry of a memo takes besides its word and value.
-SLICE_ROWS, SLICE_BYTES, ENTRY_BYTES = 256, 1 << 20, 160
+#: Rows and bytes of text of a slice; bytes that an entry of a memo takes besides its word and value, and batches that a full
+#: memo serves.
+SLICE_ROWS, SLICE_BYTES, ENTRY_BYTES, KEEP = 256, 1 << 20, 160, 1000
 
 
 def slices(batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -24,15 +25,20 @@ def slices(batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS, size: int
 
 
 class Memo(dict):
-    """Bytes by word, for words met in a second batch: words met once are most of all, and only leave a mark."""
+    """Bytes by word, for words met in a second batch: words met once are most of all, and only leave a mark.
+
+    Once full it stays as it is, as the words that came first are the frequent ones, and begins anew after KEEP batches,
+    so that it follows a corpus that changes."""
 
     def __init__(self, marks: int = 1 << 22):
         super().__init__()
-        self.met, self.marked, self.held = bytearray(marks), 0, 0
+        self.met, self.marked, self.held, self.full = bytearray(marks), 0, 0, 0
 
     def remember(self, fresh: dict) -> None:
         """Takes words that were met before, and marks the others as met. A mark may stand for several words, which only
         lets one in early."""
+        if self.full:
+            return
         if self.marked > len(self.met) // 2:
             self.met, self.marked = bytearray(len(self.met)), 0
         met, marks = self.met, len(self.met)
@@ -46,7 +52,8 @@ class Memo(dict):
                 self.marked += 1
 
     def bound(self, most: int, most_bytes: int) -> None:
-        """Forgets all words where there are over `most` or they hold over `most_bytes`."""
-        if len(self) > most or self.held > most_bytes:
+        """Called before each batch: over `most` words, or words that hold over `most_bytes`, are full."""
+        self.full += len(self) > most or self.held > most_bytes
+        if self.full > KEEP:
             self.clear()
-            self.held = 0
+            self.held = self.full = 0
