@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import dims, sources
 from ..functions import decimal_text, ensure_crs, mint, observation_label, shift_datum, thousands, to_ka, wkt_point
-from ..operators import graph_queries, intervals, series, sinks, smooth, store, triples
+from ..operators import combined, graph_queries, intervals, ledger, series, sinks, smooth, store, triples
 from ..operators.blocks import BLOCK_ROWS
 from ..sources.graph_text import read_graph_text
 from ..storage import new_dir
@@ -554,6 +554,56 @@ def stored_graph_counts(spark, d):
     return store.graph_counts(store.write_store(core_graph(spark, d), wide=5000))
 
 
+# --- runs that follow one another -------------------------------------------------------------------------------------
+
+IN_PARTS = f"""WITH {SITES}, x AS (SELECT sites.*, c_nationkey FROM sites JOIN customer ON c_custkey = site_id), t AS ({rows_sql('x', 'all', site_specs())}
+  UNION ALL {rows_sql('x', 'all', [(NATION_S % 'c_nationkey', 'rdf:type', iri_sql('own:Nation'), 'iri', None, None)])})"""
+
+
+def graphs_in_parts(spark, d, first: bool):
+    """Sites in 25 graphs, which also state the nations that several of them share. The first run lacks five graphs and some
+    sites of the fifth, and has other names in the fourth."""
+    nation = table(spark, d, "customer").select(F.col("c_custkey").alias("site_id"), "c_nationkey")
+    rows, key = sites(spark, d).join(nation, "site_id"), F.col("site_id") % 25
+    if first:
+        rows = rows.where((key < 20) & ~((key == 4) & (F.col("site_id") % 2 == 0)))
+        rows = rows.withColumn("site_name", F.when(key == 3, F.concat("site_name", F.lit(" (draft)"))).otherwise(F.col("site_name")))
+    name = F.concat(F.lit("part "), key)
+    nations = triples.emitted(rows, name, [triples.link(mint("Nation_%d", F.col("c_nationkey")), "rdf:type", "own:Nation")])
+    return triples.site_triples(rows, name).unionByName(nations)
+
+
+def two_runs(spark, d):
+    path = new_dir(spark, "combined")
+    combined.update(graphs_in_parts(spark, d, first=True), path)
+    return combined.update(graphs_in_parts(spark, d, first=False), path)
+
+
+@query(f"{IN_PARTS} SELECT DISTINCT * FROM t")
+def incremental_union(spark, d):
+    """The combined graph after a second run, which rewrites the graphs that are new or changed only."""
+    return two_runs(spark, d)[0].triples("all")
+
+
+@query("""SELECT DISTINCT 'part ' || c_custkey % 25 AS graph, CASE WHEN c_custkey % 25 >= 20 THEN 'new' WHEN c_custkey % 25 IN (3, 4) THEN 'changed' ELSE 'same' END AS status FROM customer""")
+def incremental_union_changes(spark, d):
+    return two_runs(spark, d)[1].select("graph", "status")
+
+
+LATE = "event_id % 5 = 0 OR user_id % 10 = 7"
+
+
+@query(f"""WITH b AS (SELECT *, CASE WHEN {LATE} THEN 1 ELSE 0 END AS batch FROM events)
+SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, batch ORDER BY ts, event_id) - 1
+  + CASE batch WHEN 1 THEN coalesce((SELECT count(*) FROM b e WHERE e.batch = 0 AND e.user_id = b.user_id), 0) ELSE 0 END AS seq FROM b""")
+def stable_sequence(spark, d):
+    """Numbers per series over two runs. The second is given all rows; those of the first keep their numbers."""
+    path, rows = new_dir(spark, "numbers"), table(spark, d, "events").select("event_id", "user_id", "ts")
+    for batch, given in enumerate((rows.where(f"NOT coalesce({LATE}, false)"), rows)):
+        ledger.append_numbered(given, path, batch, ["user_id"], ORDER, ["event_id"], block_rows=BLOCK_ROWS)
+    return ledger.numbered(spark, path).select("event_id", "user_id", "seq")
+
+
 # --- sinks ------------------------------------------------------------------------------------------------------------
 
 TERM = "CASE WHEN o_kind = 'iri' THEN '<' || o || '>' WHEN o_lang IS NOT NULL THEN '\"' || o || '\"@' || o_lang WHEN o_datatype IS NOT NULL THEN '\"' || o || '\"^^<' || o_datatype || '>' ELSE '\"' || o || '\"' END"
