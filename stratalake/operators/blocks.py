@@ -11,11 +11,26 @@ from ..storage import stored
 
 #: Rows of a key above which the registered queries cut it into blocks.
 BLOCK_ROWS = 1_000_000
+#: Parts that rows are ranged into at most (beyond it parts grow, and their sorts spill), and keys that are sent to all tasks.
+MOST_PARTS, MOST_SENT = 20_000, 100_000
 
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the key that has most; combined in the tasks, so no key is gathered."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+def split_long(df: DataFrame, keys: Sequence[str], block_rows: int | None) -> tuple[DataFrame, DataFrame | None, int]:
+    """The rows of keys with at most block_rows rows, those of longer keys (None if there are none), and how many the latter are.
+
+    Rows are counted per key, combined in the tasks. Long keys are at most one for each block_rows rows; they are sent to
+    all tasks if they are few, so that no row is shuffled to be told apart.
+    """
+    if not block_rows:
+        return df, None, 0
+    sizes = stored(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > block_rows), "long")
+    n = sizes.agg(F.sum("_n")).first()[0]
+    if not n:
+        return df, None, 0
+    long = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    long = F.broadcast(long) if long.limit(MOST_SENT + 1).count() <= MOST_SENT else long
+    on = [df[k].eqNullSafe(long[f"_k{i}"]) for i, k in enumerate(keys)]
+    return df.join(long, on, "left_anti"), df.join(long, on, "left_semi"), n
 
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,15 +39,15 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, on).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], part_rows: int) -> DataFrame:
-    """df with pos (from 1) and n, its key's rows, without sorting a key in one task.
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], part_rows: int, rows: int) -> DataFrame:
+    """df, which has so many rows, with pos (from 1) and n, its key's rows, without sorting a key in one task.
 
     Rows are range-partitioned by keys and full order into parts of about part_rows, whatever the gaps, ties or
     outliers in the order, and written with their part to the shared folder. They are numbered within (key, part), and a running
     sum over the parts, one row each, gives where each begins. Null keys and nulls in the order (which come first) count
     like any value.
     """
-    parts = max(1, -(-df.count() // part_rows))
+    parts = max(1, min(MOST_PARTS, -(-rows // part_rows)))
     cut = df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id())
     cut = stored(cut, "ranges")
     counts = cut.groupBy(*keys, "_part").agg(F.count("*").alias("_c"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import number
-from .blocks import in_blocks, largest_key, with_position
+from .blocks import in_blocks, split_long, with_position
 
 
 def coerce(df: DataFrame, columns: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
@@ -38,12 +38,14 @@ def round_by_proxy(df: DataFrame, digits: dict[str, int], value: str = "value",
 
 
 def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, start: int = 0, out: str = "seq", block_rows: int | None = None) -> DataFrame:
-    """A running number per key in a total order. Give a tie-break as the last of `order`. With block_rows, keys are numbered
-    in parts if one has more rows than that."""
-    if block_rows and largest_key(df, keys) > block_rows:
-        placed = with_position(df, keys, order, block_rows)
-        return placed.withColumn(out, F.col("pos") - 1 + start).drop(*{"pos", "n"} - {out})
-    return df.withColumn(out, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1 + start).cast("bigint"))
+    """A running number per key in a total order. Give a tie-break as the last of `order`. With block_rows, keys that
+    have more rows than that are numbered in parts."""
+    short, long, n = split_long(df, keys, block_rows)
+    done = short.withColumn(out, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1 + start).cast("bigint"))
+    if long is None:
+        return done
+    placed = with_position(long, keys, order, block_rows, n)
+    return done.unionByName(placed.withColumn(out, F.col("pos") - 1 + start).drop(*{"pos", "n"} - {out}))
 
 
 def summarise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], slice_on: str | None = None, low: float = 0, high: float = 0, present: Sequence[str] = ()) -> DataFrame:
@@ -87,13 +89,19 @@ def missing_series(expected: DataFrame, df: DataFrame, keys: Sequence[str]) -> D
 
 def find_gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], threshold: float, age: str = "age", value: str = "value", block_rows: int | None = None) -> DataFrame:
     """Segments (x1, y1, x2, y2) that bridge steps of age over the threshold; x is the value, y the age. With block_rows, keys
-    are cut into blocks if one has more rows than that."""
-    own, at = F.lit(True), [*keys]
-    if block_rows and largest_key(df, keys) > block_rows:
-        df, own, at, order = in_blocks(with_position(df, keys, order, block_rows), 1, block_rows), F.col("_own"), [*keys, "_block"], ["pos"]
-    w = Window.partitionBy(*at).orderBy(*order)
-    both = df.select(*keys, F.lag(value).over(w).alias("x1"), F.lag(age).over(w).alias("y1"), F.col(value).alias("x2"), F.col(age).alias("y2"), own.alias("_mine"))
-    return both.where(F.col("_mine") & (F.col("y2") - F.col("y1") > threshold)).drop("_mine")
+    that have more rows than that are cut into blocks."""
+    short, long, n = split_long(df, keys, block_rows)
+
+    def bridged(rows: DataFrame, own: Column, at: Sequence[str], order: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*at).orderBy(*order)
+        both = rows.select(*keys, F.lag(value).over(w).alias("x1"), F.lag(age).over(w).alias("y1"), F.col(value).alias("x2"), F.col(age).alias("y2"), own.alias("_mine"))
+        return both.where(F.col("_mine") & (F.col("y2") - F.col("y1") > threshold)).drop("_mine")
+
+    found = bridged(short, F.lit(True), keys, order)
+    if long is None:
+        return found
+    cut = in_blocks(with_position(long, keys, order, block_rows, n), 1, block_rows)
+    return found.unionByName(bridged(cut, F.col("_own"), [*keys, "_block"], ["pos"]))
 
 
 def is_small(df: DataFrame, most: int = 100_000) -> bool:

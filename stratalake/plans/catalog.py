@@ -227,6 +227,12 @@ def savgol_halo(spark, d):
     return smooth.savgol(rows, ["all"], ORDER, "value", block_rows=HALO_BLOCK).select("event_id", F.round("savgol", 6).alias("savgol"))
 
 
+@query(median_sql("event_type").replace("5 PRECEDING AND 5 FOLLOWING", "500 PRECEDING AND 500 FOLLOWING"))
+def rolling_median_wide(spark, d):
+    """A window of 1,001 rows, which moves along in blocks."""
+    return smooth.rolling_median(events(spark, d), ["event_type"], ORDER, "value", window=1001, block_rows=HALO_BLOCK).select("event_id", F.round("median", 6).alias("median"))
+
+
 NULL_KEY = "CASE WHEN event_type <> 'click' THEN event_type END"
 
 

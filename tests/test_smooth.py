@@ -89,7 +89,42 @@ def test_blocks_keep_nulls_ties_and_outliers(spark):
 def test_parts_are_balanced(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(blocks, "stored", lambda df, name: seen.append(df) or df.persist())
-    blocks.with_position(odd_series(spark, 2000), ["k"], ["t", "id"], 100).count()
+    df = odd_series(spark, 2000)
+    blocks.with_position(df, ["k"], ["t", "id"], 100, df.count()).count()
     sizes = [r["count"] for r in seen[0].groupBy("_part").count().collect()]
     seen[0].unpersist()
     assert len(sizes) > 30 and max(sizes) < 300
+
+
+@pytest.mark.parametrize("window", [23, 101])
+@pytest.mark.parametrize("block", [None, 40])
+def test_wide_windows_against_the_plain_ones(spark, window, block):
+    rng = np.random.default_rng(window)
+    rows = [(k, i, None if rng.random() < 0.004 else float(1e6 + rng.normal()), f"{k}{i}") for k, n in (("a", 300), (None, 150), ("c", 22), ("d", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, t int, v double, other string")
+    got = smooth.smooth(df, ["k"], ["t"], "v", window=window, block_rows=block).toPandas()
+    assert list(got.columns) == ["k", "t", "v", "other", "median", "savgol"] and sorted(got.other) == sorted(r[3] for r in rows)
+    hat = np.array(dims.savgol_weights(window, 2))
+    for key, mine in got.groupby("k", dropna=False):
+        mine = mine.sort_values("t")
+        v, n, mid = mine.v.to_numpy(), len(mine), window // 2
+        np.testing.assert_array_equal(mine["median"], [np.nanmedian(v[max(0, i - mid) : i + mid + 1]) for i in range(n)])
+        starts = [min(max(i - mid, 0), n - window) for i in range(n)]
+        want = [hat[i - s] @ (v[s : s + window] - 1e6) + 1e6 if n >= window else np.nan for i, s in enumerate(starts)]  # the matrix is exact to some 1e-13 of the values
+        np.testing.assert_allclose(mine.savgol.astype(float), want, rtol=0, atol=1e-9)
+
+
+def test_even_wide_median_and_wrong_fits(spark):
+    df = spark.createDataFrame([("a", i, float(i * i % 17)) for i in range(60)], "k string, t int, v double")
+    got = smooth.rolling_median(df, ["k"], ["t"], "v", window=24).orderBy("t").toPandas()
+    np.testing.assert_array_equal(got["median"], [np.median(got.v[max(0, i - 12) : i + 12]) for i in range(60)])
+    with pytest.raises(ValueError):
+        smooth.savgol(df, ["k"], ["t"], "v", window=24)
+    assert smooth.smooth(df.where("false"), ["k"], ["t"], "v", window=101).count() == 0
+
+
+def test_only_long_keys_are_cut(spark):
+    df = spark.createDataFrame([("a", i) for i in range(50)] + [(None, i) for i in range(30)] + [("b", 1)], "k string, t int")
+    short, long, n = blocks.split_long(df, ["k"], 20)
+    assert n == 80 and long.count() == 80 and [r.k for r in short.collect()] == ["b"]
+    assert blocks.split_long(df, ["k"], 50)[1] is None and blocks.split_long(df, ["k"], None)[1] is None
