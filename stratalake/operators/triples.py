@@ -48,6 +48,11 @@ def triple(s: Column, p: str, o: Column, kind: str, datatype: str | None = None,
     ))
 
 
+def derived(s: Column, source: str | Column, base: str = BASE) -> Triple:
+    """Where a record comes from: one source for all by its name, or a column of each row's own identifier (with_source_file)."""
+    return link(s, "prov:wasDerivedFrom", f"own:{source}" if isinstance(source, str) else source, base)
+
+
 def emitted(df: DataFrame, graph: str | Column, triples: Sequence[Triple]) -> DataFrame:
     """All triples of each row that have a subject and an object."""
     full = F.filter(F.array(*[t.column for t in triples]), lambda t: t["o"].isNotNull() & t["s"].isNotNull())
@@ -64,7 +69,7 @@ def constants(spark: SparkSession, graph: str, rows: Sequence[tuple], base: str
     return spark.createDataFrame(out, SCHEMA)
 
 
-def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digits: int, base: str = BASE, core: str = "IceCore", unit: str = "PPB", source: str = "Source", dataset: str = "Dataset", chronology: str = "Chronology", site: str = "Site") -> DataFrame:
+def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digits: int, base: str = BASE, core: str = "IceCore", unit: str = "PPB", source: str | Column = "Source", dataset: str = "Dataset", chronology: str = "Chronology", site: str = "Site") -> DataFrame:
     """19 triples per ice-core observation (seq, age_ka, depth_m, value, median, savgol): its own, the link from the dataset
     and the record of its catalogue entry. A null among the numbers leaves that triple out."""
     s = mint(f"Obs_{name}_%04d", F.col("seq"), base=base)
@@ -79,12 +84,12 @@ def core_observation_triples(df: DataFrame, graph: str | Column, name: str, digi
         link(s, "own:ageChronology", own(chronology), base), link(s, "qudt:unit", f"unit:{unit}", base),
         number("own:smoothedValue_rollingMedian", "median", digits), number("own:smoothedValue_savgol", "savgol", digits),
         link(s, "own:smoothingMethod_median", own(f"RollingMedian_w{WINDOW}"), base), link(s, "own:smoothingMethod_savgol", own(f"SavitzkyGolay_w{WINDOW}_p{POLYORDER}"), base),
-        link(s, "prov:wasDerivedFrom", own(source), base), link(s, "crm:P7_took_place_at", own(site), base),
+        derived(s, source, base), link(s, "crm:P7_took_place_at", own(site), base),
         link(F.lit(iri(own(dataset), base)), "own:hasObservation", s, base), link(F.lit(iri(own(f"{dataset}_{name}"), base)), "dcat:record", s, base),
     ])
 
 
-def cave_observation_triples(df: DataFrame, graph: str | Column, name: str, base: str = BASE, source: str = "DataSource") -> DataFrame:
+def cave_observation_triples(df: DataFrame, graph: str | Column, name: str, base: str = BASE, source: str | Column = "DataSource") -> DataFrame:
     """12 triples per cave observation (slug, entity_id, seq, age_ka, value, median, savgol, depth_mm): one more with a depth,
     two fewer for each smoothed value that is null."""
     s = mint(f"Obs_{name}_%s_e%s_%05d", F.col("slug"), F.col("entity_id"), F.col("seq"), base=base)
@@ -97,7 +102,7 @@ def cave_observation_triples(df: DataFrame, graph: str | Column, name: str, base
         link(s, "own:ageChronologySpeleothem", mint("UThChronology_%s", F.col("slug"), base=base), base),
         number("own:smoothedValue_rollingMedian", "median", 4), link(s, "own:smoothingMethod_median", given("median", f"RollingMedian_w{WINDOW}"), base),
         number("own:smoothedValue_savgol", "savgol", 4), link(s, "own:smoothingMethod_savgol", given("savgol", f"SavitzkyGolay_w{WINDOW}_p{POLYORDER}"), base),
-        link(s, "prov:wasDerivedFrom", f"own:{source}", base),
+        derived(s, source, base),
     ])
 
 

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import dims, sources
 from ..functions import decimal_text, ensure_crs, mint, observation_label, shift_datum, thousands, to_ka, wkt_point
-from ..operators import combined, graph_queries, intervals, ledger, series, sinks, smooth, store, triples
+from ..operators import combined, graph_queries, intervals, ledger, series, sinks, sketches, smooth, store, triples
 from ..operators.blocks import BLOCK_ROWS
+from ..sources import provenance
 from ..sources.graph_text import read_graph_text
-from ..storage import new_dir
+from ..storage import new_dir, stored
 from .tables import EV, SITES, events, sites, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -596,6 +597,47 @@ def incremental_union_changes(spark, d):
     return two_runs(spark, d)[1].select("graph", "status")
 
 
+WITHIN = ", ".join(f"true AS {c}_within" for c in sketches.GRAPH)
+COUNTS = "count(*) AS n_triples, count(DISTINCT s) AS n_subjects, count(DISTINCT p) AS n_predicates"
+
+
+@query(f"{CORE_ROWS} SELECT graph, {COUNTS}, {WITHIN} FROM (SELECT DISTINCT * FROM t) GROUP BY graph")
+def sketched_graph_counts(spark, d):
+    """Two runs that share a third of the subjects, merged by their sketches, beside the exact counts of both together."""
+    graph, third = stored(core_graph(spark, d), "core"), F.pmod(F.xxhash64("s"), F.lit(3))
+    runs = [sketches.graph_sketches(graph.where(third != i)) for i in (0, 1)]
+    total = sketches.merged(runs[0].unionByName(runs[1]), ["graph"])
+    return sketches.against_exact(sketches.estimated(total), triples.graph_counts(graph), ["graph"])
+
+
+def kept_sketches(spark, d):
+    """Sketches of the graphs of the first run, replaced and added to by those of the second."""
+    path = new_dir(spark, "sketches")
+    for first in (True, False):
+        sketches.keep(sketches.graph_sketches(graphs_in_parts(spark, d, first)), path)
+    return sketches.kept(spark, path)
+
+
+@query(f"{IN_PARTS} SELECT graph, {COUNTS}, {WITHIN} FROM (SELECT DISTINCT * FROM t) GROUP BY graph")
+def sketched_union_counts(spark, d):
+    """All graphs as one: what several of them state counts once."""
+    total = sketches.merged(kept_sketches(spark, d)).withColumn("graph", F.lit("all"))
+    exact = triples.graph_counts(triples.union_graphs(shared=[graphs_in_parts(spark, d, first=False)], name="all"))
+    return sketches.against_exact(sketches.estimated(total), exact, ["graph"])
+
+
+@query("""WITH n AS (SELECT DISTINCT c_custkey % 25 AS part, c_nationkey FROM customer), p AS (SELECT DISTINCT part FROM n)
+SELECT 'part ' || a.part AS "left", 'part ' || b.part AS "right", count(x.c_nationkey) AS n_shared FROM p a JOIN p b ON b.part = a.part + 1
+  LEFT JOIN (SELECT l.part, l.c_nationkey FROM n l JOIN n r ON r.part = l.part + 1 AND l.c_nationkey = r.c_nationkey) x ON x.part = a.part GROUP BY 1, 2""")
+def sketched_overlaps(spark, d):
+    """Nations that neighbouring graphs both state; few enough for the sketches to be exact."""
+    rows = table(spark, d, "customer").withColumn("graph", F.concat(F.lit("part "), F.col("c_custkey") % 25))
+    found = stored(sketches.sketched(rows, ["graph"], {"n_shared": ["c_nationkey"]}), "sketches")
+    number = F.substring("graph", 6, 9).cast("int")
+    pairs = found.select(F.col("graph").alias("left"), F.concat(F.lit("part "), number + 1).alias("right"))
+    return sketches.shared(found, pairs)
+
+
 LATE = "event_id % 5 = 0 OR user_id % 10 = 7"
 
 
@@ -720,6 +762,48 @@ def source_status(spark, d):
     return status.select("series_id", (F.col("status") == "ok").alias("is_read"), "rows")
 
 
+HEADER = "site_id,site_name,entity_id,sample_id,age_bp,d18o_permille,d13c_permille"
+FILE_ROWS = f"""ls AS (SELECT user_id % 8 AS part, event_id, user_id || ',Site,' || (user_id % 5) || ',' || event_id || ',' || event_id || ',' || (event_id % 100) || ',' AS line FROM events),
+  h AS (SELECT part, line, sha256(line) AS h FROM (SELECT part, line FROM ls UNION ALL SELECT DISTINCT part, '{HEADER}' FROM ls)),
+  f AS (SELECT part, sum(strlen(line) + 1)::BIGINT AS bytes, count(*) AS lines,
+    sha256(count(*) || ':' || sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR || ':' || sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR) AS digest FROM h GROUP BY part)"""
+
+
+def sample_files(spark, d) -> str:
+    """A file of samples for each of eight groups of users, in a folder of its own."""
+    path, number = new_dir(spark, "samples"), F.col("event_id")
+    rows = table(spark, d, "events").select(
+        F.col("user_id").alias("site_id"), F.lit("Site").alias("site_name"), (F.col("user_id") % 5).alias("entity_id"), number.alias("sample_id"), number.alias("age_bp"), (number % 100).alias("d18o_permille"), F.lit(None).cast("string").alias("d13c_permille"),
+        (F.col("user_id") % 8).alias("part"))
+    rows.repartition(8, "part").write.partitionBy("part").csv(path, header=True)
+    return f"{path}/*/*.csv"
+
+
+@query(f"WITH {FILE_ROWS} SELECT * FROM f")
+def source_files(spark, d):
+    """A record of each file: its size, lines and digest."""
+    found = provenance.file_records(spark, sample_files(spark, d))
+    return found.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "bytes", "lines", "digest")
+
+
+FILE_S = f"'{BASE}SourceFile_' || substr(digest, 1, 32)"
+
+
+@query(f"""WITH {FILE_ROWS}, o AS (SELECT '{BASE}Obs_Delta18O_' || user_id || '_e' || (user_id % 5) || '_' || printf('%05d', event_id) AS s, digest
+  FROM (SELECT user_id, event_id, user_id % 8 AS part FROM events) JOIN f USING (part)), t AS ({rows_sql('o', 'caves', [('s', 'prov:wasDerivedFrom', FILE_S, 'iri', None, None)])}
+  UNION ALL {rows_sql('f', 'caves', [(FILE_S, 'rdf:type', iri_sql('prov:Entity'), 'iri', None, None), (FILE_S, 'own:contentDigest', 'digest', 'literal', None, None), (FILE_S, 'own:byteSize', 'bytes', 'literal', 'xsd:integer', None), (FILE_S, 'own:lineCount', 'lines', 'literal', 'xsd:integer', None)])})
+SELECT * FROM t""")
+def file_provenance_triples(spark, d):
+    """Each observation's link to the file that it was read from, and what is said of the files, without their names and times."""
+    path = sample_files(spark, d)
+    records = stored(provenance.file_records(spark, path), "files")
+    rows = provenance.with_source_file(sources.read_samples(spark, path), records)
+    none = F.lit(None).cast("double")
+    rows = rows.select(F.col("site_id").cast("string").alias("slug"), "entity_id", F.col("sample_id").alias("seq"), "age_ka", F.col("d18o_permille").alias("value"), none.alias("median"), none.alias("savgol"), none.alias("depth_mm"), "source_file")
+    links = triples.cave_observation_triples(rows, "caves", "Delta18O", source=F.col("source_file")).where(F.col("p") == dims.iri("prov:wasDerivedFrom"))
+    return links.unionByName(provenance.file_triples(records, "caves").where(~F.col("p").isin(dims.iri("rdfs:label"), dims.iri("dct:modified"))))
+
+
 LINE = f"'<' || s || '> <' || p || '> ' || {TERM} || ' .'"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -39,23 +40,28 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
-    """The first line of each file of a path or glob. The driver opens the files side by side through Spark's file systems
+    """The first line of each file of a path or glob, by its path in plain letters. The driver opens the files side by side through Spark's file systems
     and reads no more than that; files without a line are left out."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     files = spark.read.text(path).inputFiles()
 
-    def first(uri: str) -> str | None:
+    def first(uri: str) -> tuple[str, str | None]:
         at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
         stream = at.getFileSystem(conf).open(at)
         try:
             codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
             plain = codec.createInputStream(stream) if codec else stream
-            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+            return at.toString(), jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
         finally:
             stream.close()
 
     with ThreadPoolExecutor(16) as pool:
-        return {f: line for f, line in zip(files, pool.map(first, files)) if line is not None}
+        return {f: line for f, line in pool.map(first, files) if line is not None}
+
+
+def as_path(file: str) -> str:
+    """A file's name as a path that Spark takes for this file only, whatever marks of a glob are in it."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", file)
 
 
 def header_names(line: str, sep: str = ",") -> list[str]:
@@ -77,7 +83,7 @@ def read_by_header(spark: SparkSession, path: str, need: Sequence[str], sep: str
         if missing := [c for c in need if c not in names]:
             raise ValueError(f"missing columns {missing}; found {list(names)} in {files[:5]}")
         schema = ", ".join(f"`{c}` string" for c in names)
-        parts.append(spark.read.csv(files, header=True, schema=schema, enforceSchema=True, sep=sep, escape=escape).withColumn("source", F.input_file_name()))
+        parts.append(spark.read.csv([as_path(f) for f in files], header=True, schema=schema, enforceSchema=True, sep=sep, escape=escape).withColumn("source", F.input_file_name()))
     if not parts:
         raise ValueError(f"missing columns {list(need)}; found no header in {path}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
