@@ -1,7 +1,7 @@
 """Distinct counts that are kept as sketches, beside the exact counts, and merged over graphs and runs.
 
 A sketch (theta, of Spark's own functions) holds at most about 2^lg hashed items. Sketches of groups are made by one aggregate
-that combines in the tasks, so a sketch per group and task is shuffled and no row. Those of several groups or runs merge into
+that combines in the tasks, so a sketch per group and task is shuffled, in two steps, and no row. Those of several groups or runs merge into
 the sketch of all of them, in which what they share counts once, and two of them tell how much they share; neither reads the rows again.
 
 Up to 2^lg distinct items a count is exact. Beyond, its standard error is relative_error(lg) of it, and merging does not add to that.
@@ -24,6 +24,9 @@ LG = 14
 #: What graphs are counted by, named as graph_counts() names it. Null subjects and predicates do not count, as there.
 GRAPH = {"n_triples": TRIPLE, "n_subjects": ("s",), "n_predicates": ("p",)}
 
+#: Tasks that merge the sketches of one group before the last one merges theirs.
+FAN = 64
+
 
 def relative_error(lg: int = LG) -> float:
     """The standard error of a count beyond 2^lg items, as a part of it."""
@@ -39,8 +42,15 @@ def item(columns: Sequence[str]) -> Column:
 
 def sketched(df: DataFrame, keys: Sequence[str], counted: Mapping[str, Sequence[str]], lg: int = LG) -> DataFrame:
     """A row per group: the keys, n_rows, and for each name a sketch of the distinct values of its columns. A null key is a
-    group of its own; a table without rows gives none."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), *[F.theta_sketch_agg(item(columns), lg).alias(name) for name, columns in counted.items()])
+    group of its own; a table without rows gives none.
+
+    A group that all tasks have rows of has as many sketches as there are tasks. They are merged by FAN tasks first, each those of
+    some of the tasks, so that no task reads them all.
+    """
+    some = df.withColumn("_fan", F.pmod(F.spark_partition_id(), F.lit(FAN))).groupBy(*keys, "_fan")
+    parts = some.agg(F.count("*").alias("n_rows"), *[F.theta_sketch_agg(item(columns), lg).alias(name) for name, columns in counted.items()])
+    found = parts.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"), *[F.theta_union_agg(name, lg).alias(name) for name in counted])
+    return found if keys else found.where("n_rows IS NOT NULL")
 
 
 def graph_sketches(triples: DataFrame, lg: int = LG) -> DataFrame:

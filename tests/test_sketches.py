@@ -61,4 +61,12 @@ def test_kept_sketches_are_replaced_by_key(spark, tmp_path):
 @pytest.mark.parametrize("keys", [["graph"], []])
 def test_triples_are_not_shuffled(spark, keys):
     plan = sketches.sketched(graph(spark, 0, 100), keys, sketches.GRAPH)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "partial_theta_sketch_agg" in plan.split("Exchange")[1]
+    first = plan.split("Exchange")
+    assert len(first) == 3 and "partial_theta_sketch_agg" in first[2] and "partial_theta_union_agg" in first[1]
+
+
+def test_a_group_of_many_tasks(spark):
+    rows = graph(spark, 0, 3000).unionByName(graph(spark, 1000, 4000)).repartition(100)
+    got = sketches.estimated(sketches.graph_sketches(rows)).collect()
+    assert [(r.graph, r.n_rows, r.n_triples) for r in got] == [("g", 6000, 4000)]
+    assert sketches.sketched(rows.limit(0), [], {"n": ["s"]}).count() == 0
