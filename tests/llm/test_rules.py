@@ -88,3 +88,13 @@ def test_target_is_every_trusted_document(spark, monkeypatch):
     sent = rules.ratios(docs, half)
     monkeypatch.setattr(rules, "MOST_SENT", 10)
     assert rules.ratios(docs, half) == sent != [0.0] * rules.BUCKETS
+
+
+def test_held_out_verdicts(spark, data):
+    """Good documents that are not the target themselves, with the buckets that the text's size gives."""
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    got = rules.judge(docs, labels.where(~held)).where(held & ~F.col("base_failed")).join(labels.where("quality IS NOT NULL").select("doc_id", "quality"), "doc_id").collect()
+    right = sum(r.kept and r.quality == 1 for r in got)
+    good, kept = sum(r.quality == 1 for r in got), sum(r.kept for r in got)
+    assert len(got) > good > 0 and right >= 0.95 * good and right >= 0.95 * kept
