@@ -73,6 +73,25 @@ def test_prefixes_are_each_files_own_and_splits_keep_statements(spark, tmp_path)
         spark.conf.set("spark.sql.files.maxPartitionBytes", whole)
 
 
+def carried(plan) -> list[set[str]]:
+    """The columns that each explode of a plan copies to all its rows."""
+    below = [x for i in range(plan.children().size()) for x in carried(plan.children().apply(i))]
+    if plan.nodeName() != "Generate":
+        return below
+    kept = plan.requiredChildOutput()
+    return [{kept.apply(i).name() for i in range(kept.size())}, *below]
+
+
+def test_long_statements_are_not_copied_to_their_parts(spark, tmp_path):
+    n = 5000
+    many = " ;\n    ".join(f"<http://x/p> <http://x/o{i}>" for i in range(n))
+    (tmp_path / "a.ttl").write_text(f"<http://x/s>\n    {many} .\n<http://x/t> <http://x/p> {', '.join(str(i) for i in range(n))} .\n")
+    got = read_graph_text(spark, f"{tmp_path}/a.ttl", "g")
+    found = carried(got._jdf.queryExecution().optimizedPlan())
+    assert len(found) == 4 and all(c <= {"file", "graph", "prefixes", "s", "p", "verb"} for c in found)
+    assert {(r.s, r.o) for r in got.collect()} == {("http://x/s", f"http://x/o{i}") for i in range(n)} | {("http://x/t", str(i)) for i in range(n)}
+
+
 def graph(spark):
     odd = ['q" b\\ n\n', "", "é\U0001f600", "a ; b , c .", "\x01\x02", "# x", "'''", "tab\t."]
     t = [("g", f"http://x/s{i % 5}", f"http://x/p{i % 3}", o, "literal", ("http://x/t" if i % 2 else None), (None if i % 2 else "en")) for i, o in enumerate(odd * 2)]
