@@ -6,6 +6,7 @@ from stratalake.dims import iri
 from stratalake.operators import graph_queries, sinks, store
 from stratalake.operators.triples import SCHEMA
 from stratalake.sources.graph_text import read_graph_text
+from stratalake.storage import stored
 
 TURTLE = '''@prefix ex: <http://ex.org/> .
 @prefix : <http://ex.org/default#> .
@@ -109,6 +110,18 @@ def test_written_text_is_read_back(spark, tmp_path):
     assert read_graph_text(spark, f"{tmp_path}/empty.ttl", "g").count() == 0
 
 
+def test_tasks_of_stored_and_written_triples_are_bounded(spark, tmp_path, monkeypatch):
+    g = graph(spark).coalesce(1)
+    n, kept = g.count(), stored(g, "bounded", task_rows=3)
+    assert rows(kept) == rows(g) and kept.rdd.getNumPartitions() >= n / 3 and max(kept.rdd.glom().map(len).collect()) <= 3
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        assert kept.sparkSession.conf.get(key) == spark.conf.get(key)
+    monkeypatch.setattr(sinks, "TASK_ROWS", 3)
+    sinks.write_ntriples(g, f"{tmp_path}/nt")
+    assert rows(read_graph_text(spark, f"{tmp_path}/nt")) == rows(g)
+    assert len(list(tmp_path.glob("nt/graph=g/*.txt"))) >= (n - 1) / 3
+
+
 def observations(spark, n=300):
     kind = [("g", f"http://x/s{i}", iri("rdf:type"), iri("sosa:Observation"), "iri", None, None) for i in range(n)]
     values = [("g", f"http://x/s{i}", iri(p), str(i + k), "literal", None, None) for i in range(n) for k, p in enumerate(("sosa:resultTime", "sosa:hasSimpleResult", "own:smoothedValue_rollingMedian", "rdfs:label")) if i % 7 or k]
