@@ -14,13 +14,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..dims import BASE, iri
-from ..storage import new_dir, stored
+from ..storage import TASK_ROWS, new_dir, stored
 from . import graph_queries
 from .series import is_small
 from .triples import COLUMNS
 
-#: Triples of a subject from which it is kept apart, and triples that a bucket should have, about.
-WIDE, BUCKET_ROWS = 100_000, 4_000_000
+#: Triples of a subject from which it is kept apart, and triples that a bucket should have, about: a task sorts those of a bucket, and
+#: graph_counts() hashes them.
+WIDE, BUCKET_ROWS = 100_000, 1_000_000
 
 
 class Store(NamedTuple):
@@ -61,7 +62,7 @@ def write_store(triples: DataFrame, path: str | None = None, name: str | None =
     """
     spark = triples.sparkSession
     path = path or new_dir(spark, "store")
-    rows = stored(triples.select(*COLUMNS), "triples")
+    rows = stored(triples.select(*COLUMNS), "triples", task_rows=TASK_ROWS)
     buckets = buckets or max(-(-rows.count() // BUCKET_ROWS), min(8, spark.sparkContext.defaultParallelism))
     large = stored(rows.groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") > wide).select("s"), "large")
     sent = F.broadcast(large) if is_small(large) else large

@@ -139,6 +139,15 @@ def test_store_answers_as_the_table_does(spark):
         assert tuple(store.graph_counts(kept).first()) == ("g", len({tuple(r) for r in g.collect()}), 301, 6)
 
 
+def test_tasks_that_write_a_store_are_bounded(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(store, "stored", lambda df, name, **k: seen.setdefault(name, stored(df, name, **k)))
+    monkeypatch.setattr(store, "TASK_ROWS", 100, raising=False)
+    kept = store.write_store(observations(spark).coalesce(1), wide=100, buckets=2)
+    assert max(seen["triples"].rdd.glom().map(len).collect()) <= 100 and rows(kept.triples()) == rows(observations(spark))
+    assert store.BUCKET_ROWS <= 1_000_000
+
+
 def test_star_has_no_exchange_and_reads_its_predicates_only(spark, tmp_path):
     kept = store.write_store(observations(spark), f"file://{tmp_path}/s", buckets=4)
     asked = {"age": "sosa:resultTime", "value": "sosa:hasSimpleResult"}
