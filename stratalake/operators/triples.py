@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..dims import BASE, CRS, POLYORDER, WINDOW, iri
 from ..functions import decimal_text, ensure_crs, mint, observation_label, wkt_point
+from ..storage import TASK_ROWS
 
 COLUMNS = ("graph", "s", "p", "o", "o_kind", "o_datatype", "o_lang")
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
@@ -266,6 +267,9 @@ def union_graphs(*graphs: DataFrame, shared: Sequence[DataFrame] = (), name: str
     return whole.withColumn("graph", F.lit(name)) if name else whole
 
 
-def graph_counts(triples: DataFrame) -> DataFrame:
-    """Distinct triples per graph, and its subjects and predicates."""
+def graph_counts(triples: DataFrame, rows: int | None = None) -> DataFrame:
+    """Distinct triples per graph, and its subjects and predicates. Give the number of `rows` where it is known, as of a stored table: the
+    tasks that tell triples apart then grow in number, not in size."""
+    if rows is not None:
+        triples = triples.repartition(max(-(-rows // TASK_ROWS), min(8, triples.sparkSession.sparkContext.defaultParallelism)), *COLUMNS)
     return triples.distinct().groupBy("graph").agg(F.count("*").alias("n_triples"), F.countDistinct("s").alias("n_subjects"), F.countDistinct("p").alias("n_predicates"))

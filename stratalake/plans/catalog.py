@@ -12,7 +12,7 @@ from ..operators import combined, graph_queries, intervals, ledger, series, sink
 from ..operators.blocks import BLOCK_ROWS
 from ..sources import provenance
 from ..sources.graph_text import read_graph_text
-from ..storage import new_dir, stored
+from ..storage import TASK_ROWS, new_dir, stored
 from .tables import EV, SITES, events, sites, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -604,10 +604,10 @@ COUNTS = "count(*) AS n_triples, count(DISTINCT s) AS n_subjects, count(DISTINCT
 @query(f"{CORE_ROWS} SELECT graph, {COUNTS}, {WITHIN} FROM (SELECT DISTINCT * FROM t) GROUP BY graph")
 def sketched_graph_counts(spark, d):
     """Two runs that share a third of the subjects, merged by their sketches, beside the exact counts of both together."""
-    graph, third = stored(core_graph(spark, d), "core"), F.pmod(F.xxhash64("s"), F.lit(3))
+    graph, third = stored(core_graph(spark, d), "core", task_rows=TASK_ROWS), F.pmod(F.xxhash64("s"), F.lit(3))
     runs = [sketches.graph_sketches(graph.where(third != i)) for i in (0, 1)]
     total = sketches.merged(runs[0].unionByName(runs[1]), ["graph"])
-    return sketches.against_exact(sketches.estimated(total), triples.graph_counts(graph), ["graph"])
+    return sketches.against_exact(sketches.estimated(total), triples.graph_counts(graph, graph.count()), ["graph"])
 
 
 def kept_sketches(spark, d):

@@ -106,3 +106,11 @@ def test_metadata_takes_texts_and_places(spark):
     assert given.distinct().count() == 93 and o["Dataset", dims.iri("dct:title")] == "Deep core" and o["Source_Dataset_CH4", dims.iri("dct:creator")] == "Someone"
     assert o["Property_CH4", dims.iri("qudt:unit")] == dims.iri("unit:PPM") and o["Site_Geometry", dims.iri("geo:asWKT")].endswith("POINT(1.500000 -2.000000)")
     assert triples.core_metadata(spark, "m", "2020-05-06", lon=None).count() == 91
+
+
+def test_graph_counts_grow_in_tasks(spark, monkeypatch):
+    g = spark.range(1000).selectExpr("if(id % 9 = 0, null, 'g') graph", "concat('s', id % 50) s", "concat('p', id % 3) p", "concat('o', id % 100) o", "'iri' o_kind", "null o_datatype", "null o_lang").select(*[F.col(c).cast("string") for c in triples.COLUMNS])
+    monkeypatch.setattr(triples, "TASK_ROWS", 50, raising=False)
+    got = triples.graph_counts(g, 1000)
+    assert sorted(map(str, got.collect())) == sorted(map(str, triples.graph_counts(g).collect()))
+    assert ", 20), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
