@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..dims import BASE, iri
+from ..storage import TASK_ROWS, stored
+
+#: Predicates that lead from a collection to its sites' labels and geometry texts.
+GEOMETRY = ("rdfs:member", "rdfs:label", "geo:hasGeometry", "geo:asWKT")
 
 
 def objects(triples: DataFrame, predicate: str, s: str, o: str, base: str = BASE) -> DataFrame:
@@ -14,14 +18,29 @@ def objects(triples: DataFrame, predicate: str, s: str, o: str, base: str = BASE
 def sites_with_geometry(triples: DataFrame, distinct: bool = False, base: str = BASE) -> DataFrame:
     """Members of any collection with label and geometry text, along member, label, hasGeometry and asWKT.
 
-    A site in several collections comes once for each, unless distinct.
+    A site in several collections comes once for each, unless distinct. The triples of the four predicates are written to the
+    shared folder first, as they are read more than once.
+    """
+    asked = triples.where(F.col("p").isin([iri(p, base) for p in GEOMETRY])).select("s", "p", "o")
+    return geometry_joins(stored(asked, "geometry", task_rows=TASK_ROWS), distinct, base)
+
+
+def geometry_joins(triples: DataFrame, distinct: bool = False, base: str = BASE) -> DataFrame:
+    """sites_with_geometry() of triples in storage that have its four predicates only.
+
+    They are counted, and joined by sorting in parts of TASK_ROWS triples or less on average; Spark, which makes a part for each core
+    at least of what has that many bytes, chooses these where that is enough. No side is sent to all tasks: triples compress so
+    well that one whose files look small may have millions of rows, and each task would hold them all.
     """
-    members = objects(triples, "rdfs:member", "collection", "site", base).select("site")
+    parts = -(-triples.count() // TASK_ROWS)
+    parted = lambda rows, key: rows.repartition(parts, key) if parts > triples.sparkSession.sparkContext.defaultParallelism else rows
+    of = lambda p, s, o, key: parted(objects(triples, p, s, o, base), key).hint("merge")
+    members = of("rdfs:member", "collection", "site", "site").select("site")
     if distinct:
         members = members.distinct()
-    found = members.join(objects(triples, "rdfs:label", "site", "label", base), "site").join(objects(triples, "geo:hasGeometry", "site", "geom", base), "site")
-    found = found.join(objects(triples, "geo:asWKT", "geom", "wkt", base), "geom").select("site", "label", "wkt")
-    return found.distinct() if distinct else found
+    found = members.join(of("rdfs:label", "site", "label", "site"), "site").join(of("geo:hasGeometry", "site", "geom", "site"), "site")
+    found = parted(found, "geom").join(of("geo:asWKT", "geom", "wkt", "geom"), "geom").select("site", "label", "wkt")
+    return parted(found, "site").distinct() if distinct else found
 
 
 def star(triples: DataFrame, predicates: dict[str, str], kind: str | None = None, base: str = BASE) -> DataFrame:

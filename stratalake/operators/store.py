@@ -90,8 +90,8 @@ def observations_by_age(store: Store, kind: str, age: str = "sosa:resultTime", v
 
 def sites_with_geometry(store: Store, distinct: bool = False, base: str = BASE) -> DataFrame:
     """graph_queries.sites_with_geometry() over a store; only the folders of its four predicates are read."""
-    narrow, wide = store.of([iri(p, base) for p in ("rdfs:member", "rdfs:label", "geo:hasGeometry", "geo:asWKT")])
-    return graph_queries.sites_with_geometry(narrow.unionByName(wide), distinct, base)
+    narrow, wide = store.of([iri(p, base) for p in graph_queries.GEOMETRY])
+    return graph_queries.geometry_joins(narrow.unionByName(wide), distinct, base)
 
 
 def graph_counts(store: Store) -> DataFrame:

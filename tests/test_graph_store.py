@@ -159,6 +159,23 @@ def test_star_has_no_exchange_and_reads_its_predicates_only(spark, tmp_path):
     assert rows(store.star(again, asked)) == rows(graph_queries.star(observations(spark), asked))
 
 
+def test_geometry_joins_send_no_side_to_all_tasks(spark, monkeypatch):
+    sites = [("g", f"http://x/s{i}", iri(p), o, "iri", None, None) for i in range(60) for p, o in (("rdfs:label", f"site {i}"), ("geo:hasGeometry", f"http://x/g{i}"))]
+    places = [("g", f"http://x/g{i}", iri("geo:asWKT"), f"POINT({i} 0)", "literal", None, None) for i in range(60)]
+    members = [("g", f"http://x/{c}", iri("rdfs:member"), f"http://x/s{i}", "iri", None, None) for c in "ab" for i in range(60)]
+    g = spark.createDataFrame(sites + places + members, SCHEMA)
+    want = sorted((f"http://x/s{i}", f"site {i}", f"POINT({i} 0)") for i in range(60))
+    kept = store.write_store(g, wide=20, buckets=2)
+    for task_rows in (10, 1_000_000):
+        monkeypatch.setattr(graph_queries, "TASK_ROWS", task_rows)
+        for distinct, repeats in ((False, 2), (True, 1)):
+            for found in (store.sites_with_geometry(kept, distinct), graph_queries.sites_with_geometry(g, distinct)):
+                plan = found._jdf.queryExecution().executedPlan().toString()
+                assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 3
+                assert sorted(map(tuple, found.collect())) == sorted(want * repeats)
+                assert task_rows > 10 or found.rdd.getNumPartitions() == 30
+
+
 def test_empty_store(spark):
     kept = store.write_store(observations(spark).where("false"), buckets=2)
     assert kept.triples().count() == 0 and store.observations_by_age(kept, "sosa:Observation").count() == 0 and store.graph_counts(kept).count() == 0
