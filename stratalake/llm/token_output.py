@@ -15,8 +15,10 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
+from string import ascii_lowercase
 
 import numpy as np
 import pandas as pd
@@ -66,7 +68,7 @@ class Encoder:
     With `split_on_space`, for a tokenizer that always breaks at white space and folds case, the ids of a text are those
     of its words in turn, so a worker asks the library for the words that it does not remember (batches.Memo). That holds for
     texts within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other text goes to
-    the library whole.
+    the library whole. Where the tokenizer leaves a word of a to z as it is, in one part, such a word goes to its model at once.
     """
 
     #: Marks that the tokenizer always parts from a letter before them, and a digit, which is a token of its own.
@@ -81,41 +83,62 @@ class Encoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.split_on_space &= len(self.cut) == 1
+        self.direct = self.leaves_letters()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 and END < 1 << 16 else 4
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, found: set[bytes]) -> dict[bytes, bytes]:
+    def leaves_letters(self) -> bool:
+        """Whether nothing but the model changes or parts a word of a to z."""
+        t = self.tokenizer
+        same = t.normalizer is None or t.normalizer.normalize_str(ascii_lowercase) == ascii_lowercase
+        alone = t.pre_tokenizer is not None and t.pre_tokenizer.pre_tokenize_str(ascii_lowercase) == [(ascii_lowercase, (0, len(ascii_lowercase)))]
+        added = any(x.content.strip(ascii_lowercase) == "" for x in t.get_added_tokens_decoder().values())
+        return same and alone and not added and t.post_processor is None and t.truncation is None and t.padding is None
+
+    def learn(self, found: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words, and maybe of parts of them: words of letters and marks from their two parts, and many in one call."""
-        pairs, single, fresh = [], set(), {}
+        pairs, single, fresh, memo, marks = [], set(), {}, self.memo, self.MARKS
         for w in found:
-            stem = w.rstrip(self.MARKS)
+            stem = w.rstrip(marks)
             if len(stem) < len(w) and stem[-1:].isalpha():
-                pairs.append((w, stem, w[len(stem) :]))
-                single |= {stem, w[len(stem) :]}
+                tail = w[len(stem) :]
+                pairs.append((w, stem, tail))
+                single.add(stem)
+                single.add(tail)
             else:
                 single.add(w)
-        texts = {w: w.decode("latin-1") for w in single if w not in self.memo}
-        letters = [w for w, t in texts.items() if t.isalpha()]  # each is cut into one word, so one id ends it
-        ids = self.ids(" ".join(texts[w] for w in letters))
-        self.part(fresh, letters, ids, (np.flatnonzero(self.last[ids]) + 1) * 4, 0)
-        plain = [w for w, t in texts.items() if not t.isalpha() and self.SEPARATOR not in t and "<|" not in t]
-        ids = self.ids(f" {self.SEPARATOR} ".join(texts[w] for w in plain))
-        self.part(fresh, plain, ids, np.r_[np.flatnonzero(ids == self.cut[0]) * 4, 4 * len(ids)] if plain else np.zeros(0, int), 4)
-        for w in texts.keys() - set(letters) - set(plain):
-            fresh[w] = self.ids(texts[w]).tobytes()
-        known = lambda w: fresh[w] if w in fresh else self.memo[w]
-        for w, stem, marks in pairs:
-            fresh[w] = known(stem) + known(marks)
+        direct, flat, ends, letters, plain, tokenize = [], [], [], {}, {}, self.tokenizer.model.tokenize
+        for w in single.difference(memo):
+            t = w.decode("latin-1")
+            if t.isalpha():
+                if self.direct and t.isascii() and t.islower():
+                    flat += [x.id for x in tokenize(t)]
+                    ends.append(4 * len(flat))
+                    direct.append(w)
+                else:
+                    letters[w] = t
+            elif self.SEPARATOR not in t and "<|" not in t:
+                plain[w] = t
+            else:
+                fresh[w] = self.ids(t).tobytes()
+        self.part(fresh, direct, np.array(flat, "<u4"), ends, 0)
+        ids = self.ids(" ".join(letters.values()))  # each is cut into one word, so one id ends it
+        self.part(fresh, letters, ids, ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist(), 0)
+        ids = self.ids(f" {self.SEPARATOR} ".join(plain.values()))
+        self.part(fresh, plain, ids, [*(np.flatnonzero(ids == self.cut[0]) * 4).tolist(), 4 * len(ids)] if plain else [], 4)
+        known = lambda w: fresh[w] if w in fresh else memo[w]
+        for w, stem, tail in pairs:
+            fresh[w] = known(stem) + known(tail)
         return fresh
 
-    def part(self, fresh: dict[bytes, bytes], words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+    def part(self, fresh: dict[bytes, bytes], words: Collection[bytes], ids: np.ndarray, ends: list[int], gap: int) -> None:
         """Takes the words' ids from the ids of all of them, by the bytes at which each ends and those between two."""
         if len(ends) != len(words):
             raise ValueError("this tokenizer doesn't keep words apart: use split_on_space=False")
         raw, at = ids.tobytes(), 0
-        for w, end in zip(words, ends.tolist()):
+        for w, end in zip(words, ends):
             fresh[w], at = raw[at:end], end + gap
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -126,15 +149,12 @@ class Encoder:
             except UnicodeEncodeError:
                 split.append(None)
         self.memo.bound(MEMO_WORDS, MEMO_BYTES)
-        get = self.memo.get
-        found = [s and list(map(get, s)) for s in split]
-        new = {w for s, f in zip(split, found) if f and None in f for w, x in zip(s, f) if x is None}
-        fresh, out = self.learn(new) if new else {}, []
-        for t, s, f in zip(texts, split, found):
-            if s is None:
-                out.append(self.ids(t).tobytes())
-            else:
-                out.append(b"".join([fresh[w] if x is None else x for w, x in zip(s, f)] if None in f else f))
+        here = set(chain.from_iterable(s for s in split if s))
+        known = dict(zip(here, map(self.memo.get, here)))  # few words, so that those of each text are found fast
+        fresh = self.learn([w for w, x in known.items() if x is None]) if None in known.values() else {}
+        known |= fresh
+        get = known.__getitem__
+        out = [self.ids(t).tobytes() if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
         self.memo.remember(fresh)
         return out
 

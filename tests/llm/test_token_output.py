@@ -40,6 +40,17 @@ def test_memo_is_bounded(monkeypatch, library):
         assert len(encoder.memo) < 400
 
 
+def test_words_of_plain_letters_go_to_the_model(monkeypatch, library):
+    texts = ["zebra quaint zebrafish quaint, zebra!", "zebra \u00c9t\u00e9 r2d2 It's quaint."] * 3
+    want, asked = [library.encode(x, add_special_tokens=False).ids for x in texts], []
+    encoder, plain = t.Encoder(PATH, True), t.Encoder(PATH, True)
+    plain.direct = False
+    monkeypatch.setattr(encoder, "ids", lambda text: asked.append(text) or t.Encoder.ids(encoder, text))
+    for e in (encoder, plain):
+        assert [np.frombuffer(r, "<u4").tolist() for _ in range(3) for r in e.encode(texts)] == want * 3
+    assert encoder.direct and not any("zebra" in x or "quaint" in x for x in asked)
+
+
 def test_frames_are_checked():
     data = t.frame(b"abc") + t.frame(b"")
     assert list(t.frames(io.BytesIO(data))) == [b"abc", b""]
