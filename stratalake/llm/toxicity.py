@@ -13,7 +13,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fold, labelled_sample, streamed
 
-#: Most labelled documents that the model is fitted on, hashed features, words of a training sequence, words remembered.
-SAMPLE, FEATURES, SEQUENCE, MEMO = 6000, 1 << 16, 64, 120_000
+#: Most labelled documents that the model is fitted on, hashed features, words of a training sequence, words remembered and hashed at a time.
+SAMPLE, FEATURES, SEQUENCE, MEMO, HASHED = 6000, 1 << 16, 64, 120_000, 16_384
 #: Lengths of the beginnings of a word; documents, their share, odds and standard deviations that a unit of the lexicon needs.
 PREFIXES, LEAST_DOCS, LEAST_SHARE, ODDS, SIGMAS = (4, 5, 6, 7, 8), 4, 0.02, 4.0, 5.0
 FEATURES_EACH, MARKS = 1 + len(PREFIXES), 1 << 22
@@ -33,6 +34,8 @@ UPDATES, STEP, L2 = 600, 0.5, 1e-5
 TAGGED, REJECT, LEAST_MARGINAL = 0.5, 0.7, 0.05
 #: Log-odds that hold a labelled word to its tag in training.
 HELD = 40.0
+#: Hash of what stands before a word's beginning.
+PREFIX_START = zlib.crc32(b"p")
 TRIM = b".,;:!?\"'()[]{}*#%&$|<>-_"
 
 
@@ -54,6 +57,23 @@ def features(word: bytes) -> list[int]:
     return found + [0] * (FEATURES_EACH - len(found))
 
 
+def features_of(words: Iterable[bytes]) -> np.ndarray:
+    """The features() of each word, a row each. Hashes of longer beginnings go on from those of shorter ones."""
+    crc, of, flat, least, most = zlib.crc32, FEATURES - 1, [], PREFIXES[0], PREFIXES[-1]
+    none, start = [[0] * (FEATURES_EACH - k) for k in range(FEATURES_EACH + 1)], crc(b"w")
+    for word in words:
+        w = word.lower().strip(TRIM)
+        row, n = [1 + crc(w, start) % of], len(w)
+        if n > least:
+            h, done = PREFIX_START, 0
+            for k in PREFIXES if n > most else [k for k in PREFIXES if k < n]:
+                h, done = crc(w[done:k], h), k
+                row.append(1 + h % of)
+        flat += row
+        flat += none[len(row)]
+    return np.array(flat, np.int64).reshape(-1, FEATURES_EACH)
+
+
 class Vocabulary:
     """The words of the sample by number, with the features of each, a hash of its form in lower case without marks around it
     and, for the lexicon, its units' hashes."""
@@ -187,24 +207,26 @@ class Tagger:
     def __init__(self, weights: np.ndarray, transitions: np.ndarray):
         self.weights, self.transitions, self.memo = weights, transitions, {}
 
-    def emissions(self, words: list[bytes]) -> np.ndarray:
+    def emissions(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """The emissions of the words of each text. All words of the texts are looked up once, and those not met before are hashed
+        together."""
         memo = self.memo
-        if len(memo) > MEMO:
+        if len(memo) >= MEMO:
             memo.clear()
-        found = list(map(memo.get, words))
-        if None in found:
-            for i, x in enumerate(found):
-                if x is None:
-                    w = words[i]
-                    if (x := memo.get(w)) is None:
-                        x = memo[w] = float(self.weights[features(w)].sum())
-                    found[i] = x
-        return np.array(found, np.float64)
+        here = set(chain.from_iterable(texts))
+        known = dict(zip(here, map(memo.get, here)))
+        new = [w for w, x in known.items() if x is None]
+        for lo in range(0, len(new), HASHED):
+            some = new[lo : lo + HASHED]
+            known.update(zip(some, self.weights[features_of(some)].sum(axis=1).tolist()))
+        memo.update((w, known[w]) for w in new[: MEMO - len(memo)])
+        get = known.__getitem__
+        return [np.fromiter(map(get, words), np.float64, len(words)) for words in texts]
 
     def marginals(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[bytes]]]:
         """For each text, the toxic marginals of its words, and the words."""
         split = [t.encode("utf-8", "replace").split() for t in texts]
-        return self.of_emissions([self.emissions(s) for s in split]), split
+        return self.of_emissions(self.emissions(split)), split
 
     def of_emissions(self, emit: list[np.ndarray]) -> list[np.ndarray]:
         """The marginals of sequences. Those of like length run side by side."""

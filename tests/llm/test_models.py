@@ -162,3 +162,20 @@ def test_repeated_ids_give_one_training_row(spark, monkeypatch):
     for n in (1, 5):
         language.fit(docs.repartition(n), 1000)
     assert seen[0] == seen[1] and len(seen[0][0]) == 21
+
+
+def test_words_of_a_batch_are_hashed_once(monkeypatch):
+    words = [b"", b"a", b"Abcd", b"abcde!", b"ABCDEFGHIJKL", b"...", b"abcdefgh", b"\xc3\xa9tudes"]
+    assert toxicity.features_of(words).tolist() == [toxicity.features(w) for w in words]
+    seen, hashed = [], toxicity.features_of
+    monkeypatch.setattr(toxicity, "features_of", lambda some: seen.extend(some) or hashed(some))
+    monkeypatch.setattr(toxicity, "MEMO", 6)
+    monkeypatch.setattr(toxicity, "HASHED", 3)
+    weights = np.random.default_rng(0).normal(size=toxicity.FEATURES)
+    tagger, texts = toxicity.Tagger(weights, np.zeros((2, 2))), ["one two three two", "", "two four five Six seven eight one"]
+    for _ in range(3):
+        seen.clear()
+        marginals, split = tagger.marginals(texts)
+        assert len(seen) == len(set(seen)) and len(tagger.memo) <= 6
+        for m, own in zip(marginals, split):
+            assert np.allclose(m, 1 / (1 + np.exp(-np.array([weights[toxicity.features(w)].sum() for w in own]))))
