@@ -16,14 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import slices
 from .common import stored
 from .token_output import END, encoder_of
 
 #: Ids of a sequence, and ids and documents of a group on average; bytes of ids that a task packs, about.
 CAPACITY, GROUP_TOKENS, GROUP_ROWS, TASK_BYTES = 2048, 1 << 20, 8192, 64 << 20
-#: Rows and bytes of text that are encoded at a time: more than elsewhere, as a word is encoded once in them.
-ENCODED_ROWS, ENCODED_BYTES = 1024, 2 << 20
 
 
 class Tournament:
@@ -125,8 +122,8 @@ def encode(docs: DataFrame, tokenizer: str, split_on_space: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer, split_on_space), struct.pack("<I", END)
         for batch in batches:
-            for piece in slices(batch, "text", ENCODED_ROWS, ENCODED_BYTES):
-                raw = [np.frombuffer(r + end, "<u4").astype(f"<u{encoder.width}").tobytes() for r in encoder.encode([t or "" for t in piece.column("text").to_pylist()])]
+            for piece, found in encoder.encode_rows(batch):
+                raw = [np.frombuffer(r + end, "<u4").astype(f"<u{encoder.width}").tobytes() for r in found]
                 n = pa.array([len(r) // encoder.width for r in raw], pa.int64())
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), n, pa.array([encoder.width] * len(raw), pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "n", "width", "ids"])
 

@@ -17,8 +17,6 @@ import uuid
 import zlib
 from collections.abc import Collection, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
-from string import ascii_lowercase
 
 import numpy as np
 import pandas as pd
@@ -34,6 +32,8 @@ from .batches import Memo, slices
 END = 1
 #: Bytes after which a task begins another file; words that a worker remembers at most, and the bytes that they may hold.
 FILE_BYTES, MEMO_WORDS, MEMO_BYTES = 32 << 20, 340_000, 48 << 20
+#: Rows and bytes of text that are encoded at a time: more than elsewhere, as a word is looked up once in them.
+ENCODED_ROWS, ENCODED_BYTES = 1024, 4 << 20
 #: Bytes of text and rows of a range of ids at most, ranges for each core where the whole is small, and the characters by
 #: which rows of one id are put in order first.
 RANGE_BYTES, RANGE_ROWS, RANGES_EACH, LEADING = 128 << 20, 200_000, 6, 64
@@ -66,13 +66,17 @@ class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
     With `split_on_space`, for a tokenizer that always breaks at white space and folds case, the ids of a text are those
-    of its words in turn, so a worker asks the library for the words that it does not remember (batches.Memo). That holds for
-    texts within Latin-1, where neither normalisation nor lower-casing looks beyond a character; any other text goes to
-    the library whole. Where the tokenizer leaves a word of a to z as it is, in one part, such a word goes to its model at once.
+    of its words in turn, so a worker asks the library for the words that it does not remember (batches.Memo). Words are also
+    cut between a letter and a mark where the tokenizer does so. That holds for texts within Latin-1, where neither
+    normalisation nor lower-casing looks beyond a character; any other text goes to the library whole. Where the tokenizer
+    leaves a word of letters in one part, such a word goes to its model at once.
+
+    The texts of a call are cut together: Arrow numbers the different words, and their ids are taken by number.
     """
 
-    #: Marks that the tokenizer always parts from a letter before them, and a digit, which is a token of its own.
+    #: Marks that a tokenizer may part from the letters beside them, and a digit, which is a token of its own.
     MARKS, SEPARATOR = b".,!?;:%&$*#|", "0"
+    LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
 
     def __init__(self, path: str, split_on_space: bool):
         from tokenizers import Tokenizer
@@ -82,39 +86,45 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.split_on_space &= len(self.cut) == 1
-        self.direct = self.leaves_letters()
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split_on_space &= len(self.cut) == 1 and all("<|" in x for x in added)  # texts with that sign go to the library whole
+        self.direct, self.spelled = self.leaves_letters()
+        space, letter, mark, other = range(4)
+        marks = self.MARKS if self.parts_marks() else b""
+        self.kinds = bytes(space if bytes([b]).isspace() else letter if chr(b) in self.LETTERS else mark if b in marks else other for b in range(256))
+        apart = {(letter, mark), (mark, letter)}
+        pairs = [(k >> 2, k & 3) for k in range(16)]  # the kinds of a byte and of the next
+        self.begins = bytes(y != space and (x == space or (x, y) in apart) for x, y in pairs).ljust(256, b"\0")
+        self.ends = bytes(x != space and (y == space or (x, y) in apart) for x, y in pairs).ljust(256, b"\0")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 and END < 1 << 16 else 4
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def leaves_letters(self) -> bool:
-        """Whether nothing but the model changes or parts a word of a to z."""
+    def leaves_letters(self) -> tuple[bool, dict[int, str]]:
+        """Whether the model gets a word of letters in one part, letter by letter, and what it gets for each letter."""
+        t = self.tokenizer
+        if t.pre_tokenizer is None or t.post_processor is not None or t.truncation is not None or t.padding is not None:
+            return False, {}
+        parts = lambda x: [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(x) if t.normalizer else x)]
+        spelled = {ord(c): "".join(parts(c)) for c in self.LETTERS}
+        return parts(self.LETTERS) == ["".join(spelled.values())], spelled
+
+    def parts_marks(self) -> bool:
+        """Whether each mark is parted from a letter before and after it, also where other signs stand beside it."""
         t = self.tokenizer
-        same = t.normalizer is None or t.normalizer.normalize_str(ascii_lowercase) == ascii_lowercase
-        alone = t.pre_tokenizer is not None and t.pre_tokenizer.pre_tokenize_str(ascii_lowercase) == [(ascii_lowercase, (0, len(ascii_lowercase)))]
-        added = any(x.content.strip(ascii_lowercase) == "" for x in t.get_added_tokens_decoder().values())
-        return same and alone and not added and t.post_processor is None and t.truncation is None and t.padding is None
+        cuts = lambda x: {hi for _, (_, hi) in t.pre_tokenizer.pre_tokenize_str(x)}
+        return t.pre_tokenizer is not None and all({1, 1 + len(m)} <= cuts(f"a{m}b") for c in self.MARKS.decode() for m in (c, f"{c}{c}", f"{c}'{c}", f"{c}/{c}"))
 
     def learn(self, found: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of words, and maybe of parts of them: words of letters and marks from their two parts, and many in one call."""
-        pairs, single, fresh, memo, marks = [], set(), {}, self.memo, self.MARKS
+        """The ids of words, many in one call."""
+        direct, flat, ends, letters, plain, fresh = [], [], [], {}, {}, {}
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
         for w in found:
-            stem = w.rstrip(marks)
-            if len(stem) < len(w) and stem[-1:].isalpha():
-                tail = w[len(stem) :]
-                pairs.append((w, stem, tail))
-                single.add(stem)
-                single.add(tail)
-            else:
-                single.add(w)
-        direct, flat, ends, letters, plain, tokenize = [], [], [], {}, {}, self.tokenizer.model.tokenize
-        for w in single.difference(memo):
             t = w.decode("latin-1")
             if t.isalpha():
-                if self.direct and t.isascii() and t.islower():
-                    flat += [x.id for x in tokenize(t)]
+                if self.direct:
+                    flat += [x.id for x in tokenize(t if t.isascii() else t.translate(spelled))]
                     ends.append(4 * len(flat))
                     direct.append(w)
                 else:
@@ -128,9 +138,6 @@ class Encoder:
         self.part(fresh, letters, ids, ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist(), 0)
         ids = self.ids(f" {self.SEPARATOR} ".join(plain.values()))
         self.part(fresh, plain, ids, [*(np.flatnonzero(ids == self.cut[0]) * 4).tolist(), 4 * len(ids)] if plain else [], 4)
-        known = lambda w: fresh[w] if w in fresh else memo[w]
-        for w, stem, tail in pairs:
-            fresh[w] = known(stem) + known(tail)
         return fresh
 
     def part(self, fresh: dict[bytes, bytes], words: Collection[bytes], ids: np.ndarray, ends: list[int], gap: int) -> None:
@@ -141,22 +148,46 @@ class Encoder:
         for w, end in zip(words, ends):
             fresh[w], at = raw[at:end], end + gap
 
+    def words(self, text: bytes) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of a text that begins and ends with a space, and where each begins."""
+        kind = np.frombuffer(text.translate(self.kinds), np.uint8)
+        pair = (kind[:-1] << 2 | kind[1:]).tobytes()
+        starts, stops = (np.flatnonzero(np.frombuffer(pair.translate(t), bool)) + 1 for t in (self.begins, self.ends))
+        offsets = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(stops - starts, out=offsets[1:])
+        kept = np.frombuffer(text, np.uint8)[kind != 0]
+        return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode(), starts
+
+    def of_words(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts in lower case, by their words."""
+        words, starts = self.words(b"".join([b" ", *(t + b" " for t in texts)]))
+        here = words.dictionary.to_pylist()
+        self.memo.bound(MEMO_WORDS, MEMO_BYTES)
+        known = list(map(self.memo.get, here))
+        fresh = self.learn([w for w, x in zip(here, known) if x is None])
+        known = [fresh[w] if x is None else x for w, x in zip(here, known)]
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(lengths)), np.frombuffer(b"".join(known), "<u4"))
+        ids = lists.take(words.indices).flatten().to_numpy()
+        ends = np.append(0, np.cumsum(lengths[words.indices.to_numpy()]))
+        first = ends[np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in texts)]))]
+        self.memo.remember(fresh)
+        return [ids[lo:hi].tobytes() for lo, hi in zip(first[:-1], first[1:])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[bytes] | None] = []
+        out: list[bytes | None] = []
         for t in texts:
             try:
-                split.append(t.encode("latin-1").lower().split() if self.split_on_space and "<|" not in t else None)
+                out.append(t.encode("latin-1").lower() if self.split_on_space and "<|" not in t else None)
             except UnicodeEncodeError:
-                split.append(None)
-        self.memo.bound(MEMO_WORDS, MEMO_BYTES)
-        here = set(chain.from_iterable(s for s in split if s))
-        known = dict(zip(here, map(self.memo.get, here)))  # few words, so that those of each text are found fast
-        fresh = self.learn([w for w, x in known.items() if x is None]) if None in known.values() else {}
-        known |= fresh
-        get = known.__getitem__
-        out = [self.ids(t).tobytes() if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-        self.memo.remember(fresh)
-        return out
+                out.append(None)
+        split = iter(self.of_words([x for x in out if x is not None]))
+        return [self.ids(t).tobytes() if x is None else next(split) for t, x in zip(texts, out)]
+
+    def encode_rows(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+        """The rows of a batch in order, in slices, and the ids of each row's text; null texts are encoded as empty ones."""
+        for piece in slices(batch, "text", ENCODED_ROWS, ENCODED_BYTES):
+            yield piece, self.encode([t or "" for t in piece.column("text").to_pylist()])
 
 
 @lru_cache(maxsize=2)

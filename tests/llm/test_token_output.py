@@ -1,4 +1,6 @@
 import io
+import json
+import random
 import struct
 import zlib
 
@@ -51,6 +53,52 @@ def test_words_of_plain_letters_go_to_the_model(monkeypatch, library):
     assert encoder.direct and not any("zebra" in x or "quaint" in x for x in asked)
 
 
+def test_letters_beyond_ascii_go_to_the_model(monkeypatch, library):
+    texts = ["\u00c9t\u00e9 na\u00efve \u00fcber\u00df, \u00d1u\u00aa."]
+    want, asked = [library.encode(x, add_special_tokens=False).ids for x in texts], []
+    encoder = t.Encoder(PATH, True)
+    monkeypatch.setattr(encoder, "ids", lambda text: asked.append(text) or t.Encoder.ids(encoder, text))
+    assert [np.frombuffer(r, "<u4").tolist() for _ in range(3) for r in encoder.encode(texts)] == want * 3
+    assert not any(c.isalpha() for x in asked for c in x)
+
+
+def test_words_are_cut_at_marks_once(library):
+    encoder = t.Encoder(PATH, True)
+    texts = ["zebra zebra. zebra, .zebra zebra!.zebra (zebra) zebra's.zebra zebra'.z", "Zebra|zebra;zebra&"]
+    for _ in range(3):
+        assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert sorted(w for w in encoder.memo if b"zebra" in w) == [b"(zebra)", b"zebra", b"zebra'.", b"zebra's"]
+
+
+def test_random_signs_equal_the_library(library):
+    r, encoder = random.Random(7), t.Encoder(PATH, True)
+    signs = [*map(chr, range(256)), *"abAB'.,!?;:%&$*#|  \n\t0129/-<>" * 8, "'s", "'ll", "\u00e9", "\u00df"]
+    for _ in range(4):
+        texts = ["".join(r.choice(signs) for _ in range(r.randrange(50))) for _ in range(500)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def changed(library, tmp_path, change):
+    spec = json.loads(library.to_str())
+    change(spec)
+    (tmp_path / "changed.json").write_text(json.dumps(spec))
+    return str(tmp_path / "changed.json")
+
+
+def test_marks_that_a_tokenizer_keeps_beside_letters(library, tmp_path):
+    parts = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+    path = changed(library, tmp_path, lambda s: s.update(pre_tokenizer={"type": "Sequence", "pretokenizers": parts}))
+    encoder, own, texts = t.Encoder(path, True), Tokenizer.from_file(path), ["zebra, the. a,b", "Plain words! x"]
+    for _ in range(3):
+        assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(texts)] == [own.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_added_words_are_found(library, tmp_path):
+    token = {"id": 49408, "content": "a.b", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+    path = changed(library, tmp_path, lambda s: s["added_tokens"].append(token))
+    assert 49408 in np.frombuffer(t.Encoder(path, True).encode(["see a.b, and a. b"])[0], "<u4")
+
+
 def test_frames_are_checked():
     data = t.frame(b"abc") + t.frame(b"")
     assert list(t.frames(io.BytesIO(data))) == [b"abc", b""]
