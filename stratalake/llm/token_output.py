@@ -240,8 +240,8 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, split_on_space: bo
             out, file = None, file + 1
 
         for batch in batches:
-            for piece in slices(batch, "text"):
-                for doc, raw in zip(piece.column("doc_id").to_pylist(), encoder.encode([t or "" for t in piece.column("text").to_pylist()])):
+            for piece, found in encoder.encode_rows(batch):
+                for doc, raw in zip(piece.column("doc_id").to_pylist(), found):
                     if out is None:
                         name = posixpath.join(base, f"part-{part:05d}-{file:04d}-{uuid.uuid4().hex}")
                         out, at, ids, offsets = fs.open_output_stream(f"{name}.rec"), 0, 0, []

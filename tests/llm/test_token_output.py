@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -99,6 +100,18 @@ def test_added_words_are_found(library, tmp_path):
     assert 49408 in np.frombuffer(t.Encoder(path, True).encode(["see a.b, and a. b"])[0], "<u4")
 
 
+def test_many_rows_are_encoded_at_a_time(library, monkeypatch):
+    encoder, calls = t.Encoder(PATH, True), []
+    monkeypatch.setattr(encoder, "encode", lambda texts: calls.append(len(texts)) or t.Encoder.encode(encoder, texts))
+    texts = [None if i % 100 == 0 else f"zebra {i}" for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array(texts)], ["doc_id", "text"])
+    got = [(d, raw) for piece, found in encoder.encode_rows(batch) for d, raw in zip(piece.column("doc_id").to_pylist(), found)]
+    assert [d for d, _ in got] == list(range(1500)) and sum(calls) == 1500 and len(calls) == 2
+    assert [np.frombuffer(r, "<u4").tolist() for _, r in got] == [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+    long = pa.RecordBatch.from_arrays([pa.array(["word " * (t.ENCODED_BYTES // 8)] * 4)], ["text"])
+    assert [piece.num_rows for piece, _ in encoder.encode_rows(long)] == [1, 1, 1, 1]
+
+
 def test_frames_are_checked():
     data = t.frame(b"abc") + t.frame(b"")
     assert list(t.frames(io.BytesIO(data))) == [b"abc", b""]
