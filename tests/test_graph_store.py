@@ -5,6 +5,7 @@ import pytest
 from stratalake.dims import iri
 from stratalake.operators import graph_queries, sinks, store
 from stratalake.operators.triples import SCHEMA
+from stratalake.plans import catalog
 from stratalake.sources.graph_text import read_graph_text
 from stratalake.storage import stored
 
@@ -122,6 +123,19 @@ def test_tasks_of_stored_and_written_triples_are_bounded(spark, tmp_path, monkey
     assert len(list(tmp_path.glob("nt/graph=g/*.txt"))) >= (n - 1) / 3
 
 
+def test_blocks_that_are_read_back_are_short_and_of_bounded_tasks(spark, tmp_path, monkeypatch):
+    n, task_rows = 2000, 5000
+    spark.range(n).selectExpr("id AS event_id", "timestamp_millis(1704067200000 + id * 60000) AS ts", "id % 7 AS user_id", "'view' AS event_type", "CAST(id % 90 AS DOUBLE) AS value", "'{}' AS props").write.parquet(f"{tmp_path}/d/events.parquet")
+    monkeypatch.setattr(sinks, "TASK_ROWS", task_rows)
+    monkeypatch.setattr(catalog, "new_dir", lambda spark, name: f"{tmp_path}/{name}")
+    got = catalog.read_graph_blocks(spark, f"{tmp_path}/d")
+    assert rows(got) == rows(catalog.core_graph(spark, f"{tmp_path}/d")) and got.count() == 19 * n
+    files = [f for f in tmp_path.glob("blocks/graph=core/*") if f.is_file() and f.name.startswith("part-")]
+    text = sum(len(r.value) for r in spark.read.text(f"{tmp_path}/blocks").collect())
+    assert sum(f.stat().st_size for f in files) < text / 10
+    assert got.rdd.getNumPartitions() == len(files) >= 19 * n / task_rows
+
+
 def observations(spark, n=300):
     kind = [("g", f"http://x/s{i}", iri("rdf:type"), iri("sosa:Observation"), "iri", None, None) for i in range(n)]
     values = [("g", f"http://x/s{i}", iri(p), str(i + k), "literal", None, None) for i in range(n) for k, p in enumerate(("sosa:resultTime", "sosa:hasSimpleResult", "own:smoothedValue_rollingMedian", "rdfs:label")) if i % 7 or k]
